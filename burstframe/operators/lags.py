@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burstframe.operators.reuse import keep
+
 BLOCK = 4096
 
 
@@ -64,7 +66,7 @@ def lag_products(
     ``pos`` is contiguous from 0; ``lo``/``hi`` may use the per-series column ``n``.
     """
     prepared = df.select(*keys, pos, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), n)
-    blk = blocks(prepared, keys, pos, ["_x", "_y", n], size).withColumn(n, F.col(n)[0])
+    blk = keep(blocks(prepared, keys, pos, ["_x", "_y", n], size).withColumn(n, F.col(n)[0]))
     pairs = block_pairs(blk, keys, ["_x", n], ["_y"], lo, hi, size)
     part = pairs.select(
         *keys, n, (F.col("_d") * F.lit(size) - (F.size("_x") - 1)).alias("_lag0"), _cross("_x", "_y").alias("_v")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach, dense_grid, first_max, sliding, with_position
 
 KEYS = ("burst_id", "band")
@@ -49,7 +50,7 @@ def bin_events(
     tc = F.col(t)
     unit = _dyadic_unit(binsize)
     if unit is not None:
-        cells = (
+        cells = keep(
             src.groupBy(*keys, F.floor(tc / F.lit(unit)).cast("long").alias("_cell"))
             .agg(F.count(F.lit(1)).alias("_n"), F.min(tc).alias("_lo"), F.max(tc).alias("_hi"))
         )
@@ -309,7 +310,7 @@ def regrid_linear(
     def build(spec):
         return {"_t1": F.lead(t, 1).over(spec), **{f"_{v}1": F.lead(v, 1).over(spec) for v in values}}
 
-    seg = sliding(src, keys, "_pos", 1, build)
+    seg = keep(sliding(src, keys, "_pos", 1, build))
     width = seg.groupBy(*keys).agg(
         F.min(t).alias("_lo"), F.max(t).alias("_hi"),
         F.greatest((F.max(t) - F.min(t)) / F.greatest(F.count(F.lit(1)) - 1, F.lit(1)), F.lit(1e-12)).alias("_cw"),

@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from burstframe.operators.reuse import keep
+
 CHUNK = 4096
 _CHUNK_COL = "_chunk"
 
@@ -124,9 +126,9 @@ def with_position(
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_wn"), F.min(lead_col).alias("_lo"), F.max(lead_col).alias("_hi")
     )
-    cells = attach(df, stats, keys).withColumn(
+    cells = keep(attach(df, stats, keys).withColumn(
         "_cell", value_cell(lead_col, F.col("_lo"), F.col("_hi"), F.col("_wn"), target)
-    )
+    ))
     group = [*keys, "_cell"]
     before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -148,11 +150,11 @@ def with_position(
 def dense_grid(per_key: DataFrame, n: Column, idx: str = "bin_idx", size: int = CHUNK) -> DataFrame:
     """One row per (key, 0..n-1); produced chunk by chunk so no long array is built."""
     n = n.cast("long")
-    chunks = per_key.withColumn("_n", n).filter(F.col("_n") > 0).withColumn(
-        "_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(size).cast("long")))
+    chunks = per_key.withColumn("_gn", n).filter(F.col("_gn") > 0).withColumn(
+        "_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_gn") - 1, F.lit(size).cast("long")))
     )
-    last = F.least(F.col("_start") + F.lit(size - 1), F.col("_n") - 1)
-    return chunks.withColumn(idx, F.explode(F.sequence(F.col("_start"), last))).drop("_n", "_start")
+    last = F.least(F.col("_start") + F.lit(size - 1), F.col("_gn") - 1)
+    return chunks.withColumn(idx, F.explode(F.sequence(F.col("_start"), last))).drop("_gn", "_start")
 
 
 def first_max(value: str, order: str, *payload: str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from burstframe.operators.lags import BLOCK, block_pairs, blocks, lag_products
 from burstframe.operators.lightcurve import KEYS, find_peak, rebin, regrid_linear
+from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach, dense_grid, running_sums, sliding, with_position
 
 
@@ -183,15 +184,15 @@ def detect_pulses(lc: DataFrame, keys: Sequence[str] = KEYS, pos: str = "bin_idx
         F.first("rate").alias("rate"), F.min(pos).alias("_a"), F.max(pos).alias("_z"))
     nb = sliding(tops, keys, "_run", 1, lambda w: {"_pr": F.lag("rate", 1).over(w), "_nr": F.lead("rate", 1).over(w)})
     stats = lc.groupBy(*keys).agg(F.avg("rate").alias("_mean"), F.max(pos).alias("_last"))
-    peaks = attach(nb.filter("rate > _pr AND rate > _nr"), stats, keys).filter("rate >= _mean").select(
-        *keys, F.floor((F.col("_a") + F.col("_z")) / 2).cast("long").alias("_peak"), "rate", "_last")
+    peaks = keep(attach(nb.filter("rate > _pr AND rate > _nr"), stats, keys).filter("rate >= _mean").select(
+        *keys, F.floor((F.col("_a") + F.col("_z")) / 2).cast("long").alias("_peak"), "rate", "_last"))
     size = F.lit(block)
-    blk = blocks(lc, keys, pos, ["rate"], block)
+    blk = keep(blocks(lc, keys, pos, ["rate"], block))
     grouped = peaks.groupBy(*keys, F.floor(F.col("_peak") / size).cast("long").alias("_b")).agg(
         F.collect_list("_peak").alias("_peaks"))
     local = grouped.join(blk, [*keys, "_b"]).select(
         *keys, F.inline(_local_bounds("rate", F.col("_b") * size, "_peaks"))).withColumnRenamed("pos", "_peak")
-    known = peaks.join(local, [*keys, "_peak"])
+    known = keep(peaks.join(local, [*keys, "_peak"]))
     tops_of = blk.select(*keys, F.col("_b").alias("_ob"), F.array_max("rate").alias("_bmax"))
     own = F.floor(F.col("_peak") / size).cast("long")
 
@@ -269,10 +270,10 @@ def simple_lag(
     lc: DataFrame, low: str, high: str, burst: str = "burst_id", band: str = "band", block: int = BLOCK
 ) -> DataFrame:
     """Lag of the first maximum of the z-scored cross-correlation; positive when ``high`` comes later."""
-    kept = with_position(_overlap(lc, low, high, burst, band), [burst, band], ["t"], "_pos", "_n")
+    kept = keep(with_position(_overlap(lc, low, high, burst, band), [burst, band], ["t"], "_pos", "_n"))
     stats = kept.groupBy(burst, band).agg(F.avg("rate").alias("_m"), F.stddev_pop("rate").alias("_sd"))
-    z = attach(kept, stats, [burst, band]).withColumn(
-        "_z", F.when(F.col("_sd") > 0, (F.col("rate") - F.col("_m")) / F.col("_sd")))
+    z = keep(attach(kept, stats, [burst, band]).withColumn(
+        "_z", F.when(F.col("_sd") > 0, (F.col("rate") - F.col("_m")) / F.col("_sd"))))
     is_low = F.col(band) == low
     wide = z.groupBy(burst, "_pos").agg(
         F.max(F.when(is_low, F.col("_z"))).alias("_x"), F.max(F.when(~is_low, F.col("_z"))).alias("_y"))
@@ -287,7 +288,7 @@ def simple_lag(
     prods = lag_products(rows, [burst], "_pos", "_x", "_y", -F.col("_n"), F.col("_n"), "_n", block)
     idx = F.col("lag") + F.floor(F.col("_nl") / 2)
     xc = attach(prods, ok, [burst]).withColumn("_i", idx).filter((F.col("_i") >= 0) & (F.col("_i") < F.col("_nh")))
-    xc = xc.withColumn("_lag", F.col("_i") - F.floor(F.col("_nh") / 2))
+    xc = keep(xc.withColumn("_lag", F.col("_i") - F.floor(F.col("_nh") / 2)))
     # round-off must not decide which of two equal maxima is the first
     val = F.round("sxy", 9)
     top = xc.groupBy(burst).agg(F.max(val).alias("_max"), F.max("_bs").alias("_bs"))
@@ -320,9 +321,9 @@ def prepare_lag_pair(
     on = regrid_linear(cut, targets, [burst, band], ["rate", "rate_err"])
     is_low = F.col(band) == low
     pick = lambda c, cond, a: F.max(F.when(cond, F.col(c))).alias(a)
-    wide = on.groupBy(burst, "pos", "t").agg(
+    wide = keep(on.groupBy(burst, "pos", "t").agg(
         pick("rate", is_low, "low"), pick("rate", ~is_low, "high"),
-        pick("rate_err", is_low, "low_err"), pick("rate_err", ~is_low, "high_err"))
+        pick("rate_err", is_low, "low_err"), pick("rate_err", ~is_low, "high_err")))
     means = wide.groupBy(burst).agg(F.avg("low").alias("_ml"), F.avg("high").alias("_mh"))
     sized = attach(attach(wide, means, [burst]), grid.select(burst, F.col("_n").alias("n"), F.col("_dt").alias("dt")), [burst])
     return sized.select(

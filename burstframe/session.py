@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,7 +39,7 @@ def build_session(app_name: str = "burstframe", master: str | None = None, **con
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder of the cluster; a local one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
@@ -45,8 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        import tempfile
-
         current = fallback or tempfile.mkdtemp(prefix="burstframe-ckpt-", dir=os.environ.get("TMPDIR"))
+        if not fallback:
+            atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(current)
     return current

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstframe.operators.lightcurve import bin_events
+from burstframe.operators.reuse import keep
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,11 +35,11 @@ def photons_dense(spark, sf_dir):
 
 
 def lightcurves(spark, sf_dir):
-    return bin_events(photons(spark, sf_dir))
+    return keep(bin_events(photons(spark, sf_dir)))
 
 
 def lightcurves_dense(spark, sf_dir):
-    return bin_events(photons_dense(spark, sf_dir), binsize=0.25)
+    return keep(bin_events(photons_dense(spark, sf_dir), binsize=0.25))
 
 
 def afterglow_points(spark, sf_dir):
@@ -68,7 +69,7 @@ def bursts(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         k.alias("burst_id"),
         F.col("c_name").alias("burst_name"),
-        (kd * F.lit(137.508) % F.lit(360.0)).alias("ra"),
+        (kd * F.lit(97.4137) % F.lit(360.0)).alias("ra"),
         F.degrees(F.asin(F.lit(2.0) * (kd * F.lit(0.618034) % F.lit(1.0)) - F.lit(1.0))).alias("dec"),
         F.when(k % 3 != 0, F.lit(0.1) + (k % 50) / F.lit(10.0)).alias("redshift"),
         F.pow(F.lit(10.0), F.col("c_acctbal") / F.lit(4000.0) - F.lit(0.5)).alias("t90"),
@@ -102,7 +103,7 @@ DUCK_VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM lineitem GROUP BY 1, 2"""),
     "bursts": ((), """
         SELECT c_custkey AS burst_id, c_name AS burst_name,
-               (c_custkey::DOUBLE * 137.508e0) % 360e0 AS ra,
+               (c_custkey::DOUBLE * 97.4137e0) % 360e0 AS ra,
                degrees(asin(2e0 * ((c_custkey::DOUBLE * 0.618034e0) % 1e0) - 1e0)) AS dec,
                CASE WHEN c_custkey % 3 <> 0 THEN 0.1e0 + (c_custkey % 50) / 10e0 END AS redshift,
                pow(10e0, c_acctbal / 4000e0 - 0.5e0) AS t90,
