@@ -37,3 +37,69 @@ def choose_model(fits: DataFrame, key: str = "burst_id") -> DataFrame:
 def flux_points(measurements: DataFrame) -> DataFrame:
     """Finite, positive points."""
     return measurements.filter(F.col("flux").isNotNull() & ~F.isnan("flux") & (F.col("flux") > 0))
+
+
+# Fit bounds per model; shape axes with the coarse grid, and the norm range.
+def _axes() -> dict:
+    from burstframe.operators.fit import Axis
+
+    return {
+        "Band": [Axis("alpha", -3.0, 1.0, 9), Axis("beta", -5.0, -1.5, 6), Axis("epeak", 10.0, 1e4, 13, True)],
+        "CPL": [Axis("alpha", -3.0, 1.0, 17), Axis("epeak", 10.0, 1e4, 25, True)],
+        "PL": [Axis("index", -3.0, 1.0, 81)],
+        "BB": [Axis("kT", 0.1, 100.0, 121, True)],
+        "SBPL": [Axis("alpha1", -3.0, 1.0, 9), Axis("alpha2", -5.0, -1.0, 7), Axis("e_break", 10.0, 1e4, 13, True)],
+    }
+
+
+NORM_BOUNDS = (1e-5, 1000.0)
+N_PARAMS = {"Band": 4, "CPL": 3, "PL": 2, "BB": 2, "SBPL": 4}
+
+
+def fit_model(
+    spectra: DataFrame, model: str, keys=("burst_id",), rounds: int | None = None, errors: bool = False
+) -> DataFrame:
+    """Cash-statistic fit of one model: params map, cstat (alias chi_sq), dof, aic, bic."""
+    from burstframe.functions.spectral_models import MODELS
+    from burstframe.operators.fit import curvature_errors, profile_fit
+    from burstframe.operators.series import attach
+
+    axes = _axes()[model]
+    names, build = MODELS[model]
+
+    def unit(p):
+        return build(F.col("energy"), *[p[n] for n in names], F.lit(1.0))
+
+    # the Band break needs alpha > -2 and alpha > beta
+    allowed = (lambda p: (p["alpha"] > -2.0) & (p["alpha"] > p["beta"])) if model == "Band" else None
+    fine = 5 if len(axes) < 3 else 3
+    fit = profile_fit(spectra, list(keys), axes, unit, stat="cash", y="counts", err=None, fine=fine,
+                      rounds=(4 if len(axes) < 3 else 5) if rounds is None else rounds,
+                      norm_bounds=NORM_BOUNDS, allowed=allowed)
+    k = N_PARAMS[model]
+    pars = F.map_from_arrays(F.array(*[F.lit(n) for n in [*names, "norm"]]), F.array(*[F.col(n) for n in [*names, "norm"]]))
+    cols = [*keys, F.lit(model).alias("model"), F.when(F.col("fit_success"), pars).alias("params"), F.col("stat").alias("cstat"),
+            F.col("stat").alias("chi_sq"), (F.col("n_points") - k).alias("dof"), (F.col("stat") + 2 * k).alias("aic"),
+            (F.col("stat") + k * F.ln(F.col("n_points").cast("double"))).alias("bic"), "fit_success"]
+    if not errors:
+        return fit.select(*cols)
+    errs = curvature_errors(spectra, list(keys), fit, list(names), unit, stat="cash", y="counts")
+    if model in ("BB", "SBPL"):
+        emap = F.map_from_arrays(F.array(*[F.lit(n) for n in [*names, "norm"]]),
+                                 F.array(*[F.lit(float("inf")) for _ in [*names, "norm"]]))
+    else:
+        emap = F.map_from_arrays(F.array(*[F.lit(n) for n in [*names, "norm"]]),
+                                 F.array(*[F.col(f"{n}_err") for n in [*names, "norm"]]))
+    return attach(fit, errs, list(keys), "left").select(*cols, emap.alias("errors"))
+
+
+def fit_spectra(spectra: DataFrame, models, keys=("burst_id",), rounds: int | None = None) -> DataFrame:
+    """Union of the fits of several models; unknown names are an error."""
+    unknown = [m for m in models if m not in N_PARAMS]
+    if unknown:
+        raise ValueError(f"unknown spectral model: {unknown}")
+    out = None
+    for order, m in enumerate(models):
+        one = fit_model(spectra, m, keys, rounds).withColumn("fit_order", F.lit(order))
+        out = one if out is None else out.unionByName(one)
+    return out
