@@ -200,34 +200,51 @@ def energy_injection(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int =
 
 
 def multi_band_fit(
-    points: DataFrame, burst: str = "burst_id", band: str = "band", n_tb: int = 24, n_alpha: int = 24
+    points: DataFrame, burst: str = "burst_id", band: str = "band", n_tb: int = 20, n_alpha: int = 10
 ) -> DataFrame:
-    """Shared break time, own indices and norm per band.
+    """Shared break time; two indices and a norm per band.
 
-    For a fixed break the bands decouple, so: grid fit per (burst, break, band), add chi2 over
-    bands, take the best break.  Bands with a flux scale beyond the norm range stay clamped to [0.01, 100].
+    For a fixed break the bands decouple, and inside a band the points before and after the break meet only in
+    the norm.  So each point is summed for its own side's indices only; pairs of indices are formed from those
+    sums, per (burst, break, band), and chi2 adds up over bands.  Norms stay in [0.01, 100].
     """
-    rows = points
-    n_bands = rows.groupBy(burst).agg(F.count_distinct(band).alias("_nb"), F.min("t").alias("_a"), F.max("t").alias("_z"),
-                                      F.count(F.lit(1)).alias("_np"))
-    ok = n_bands.filter("_nb >= 2 AND _z > _a")
+    span = points.groupBy(burst).agg(F.count_distinct(band).alias("_nb"), F.min("t").alias("_a"), F.max("t").alias("_z"))
     tb = F.exp(F.ln("_a") + (F.ln("_z") - F.ln("_a")) * (F.col("_tb") + 1) / F.lit(n_tb + 1.0))
-    grid = attach(rows, ok, [burst]).withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))).withColumn("t_break", tb)
-
-    def model(p):
-        x = F.col("t") / F.col("t_break")
-        return F.when(x < 1, F.pow(x, -p["alpha1"])).otherwise(F.pow(x, -p["alpha2"]))
-
-    fit = profile_fit(grid, [burst, "_tb", "t_break", band],
-                      [Axis("alpha1", 0.1, 3.0, n_alpha // 2), Axis("alpha2", 0.5, 5.0, n_alpha // 2)], model, rounds=0,
-                      norm_bounds=(0.01, 100.0))
-    total = fit.groupBy(burst, "_tb", "t_break").agg(
-        F.sum("stat").alias("chi_sq"), F.sum("n_points").alias("_np"), F.count(F.lit(1)).alias("_k"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(band, F.struct("alpha1", "alpha2", "norm"))))).alias("bands"))
-    best = total.groupBy(burst).agg(F.min_by(F.struct("t_break", "chi_sq", "bands", "_np", "_k"), F.struct("chi_sq", "_tb")).alias("_w"))
-    out = best.select(burst, "_w.t_break", "_w.chi_sq", "_w.bands",
-                      (F.col("_w._np") - F.lit(1) - F.lit(3) * F.col("_w._k")).alias("dof"))
-    return attach(rows.select(burst).distinct(), out, [burst], "left").withColumn("fit_success", F.col("chi_sq").isNotNull())
+    grid = attach(points, span.filter("_nb >= 2 AND _z > _a"), [burst]).withColumn(
+        "_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))).withColumn("_x", F.col("t") / tb)
+    side = (F.col("_x") >= 1).cast("int")
+    steps = F.explode(F.sequence(F.lit(0), F.lit(n_alpha - 1)))
+    alpha = lambda s, g: F.when(s == 0, F.lit(0.1) + F.lit(2.9) * g / F.lit(n_alpha - 1.0)).otherwise(
+        F.lit(0.5) + F.lit(4.5) * g / F.lit(n_alpha - 1.0))
+    w = F.lit(1.0) / (F.col("flux_err") * F.col("flux_err"))
+    rows = grid.withColumn("_side", side).withColumn("_i", steps).withColumn(
+        "_m", F.pow(F.col("_x"), -alpha(F.col("_side"), F.col("_i"))))
+    sums = rows.groupBy(burst, "_tb", band, "_side", "_i").agg(
+        F.sum(F.col("flux") * F.col("_m") * w).alias("fm"), F.sum(F.col("_m") * F.col("_m") * w).alias("mm"),
+        F.sum(F.col("flux") * F.col("flux") * w).alias("ff"), F.count(F.lit(1)).alias("n"))
+    # at most n_alpha entries per side
+    rec = F.struct(F.col("_i").alias("i"), "fm", "mm", "ff", "n")
+    sides = sums.groupBy(burst, "_tb", band).agg(
+        *[F.collect_list(F.when(F.col("_side") == s, rec)).alias(f"_s{s}") for s in (0, 1)])
+    empty = F.array(F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("fm"), F.lit(0.0).alias("mm"), F.lit(0.0).alias("ff"),
+                             F.lit(0).cast("long").alias("n")))
+    full = sides.select(burst, "_tb", band, *[
+        F.when(F.size(f"_s{s}") > 0, F.col(f"_s{s}")).otherwise(empty).alias(f"_s{s}") for s in (0, 1)])
+    pairs = full.withColumn("p", F.explode("_s0")).withColumn("q", F.explode("_s1"))
+    fm, mm, ff = (F.col(f"p.{c}") + F.col(f"q.{c}") for c in ("fm", "mm", "ff"))
+    norm = F.greatest(F.lit(0.01), F.least(F.lit(100.0), F.try_divide(fm, mm)))
+    scored = pairs.withColumn("norm", norm).withColumn(
+        "chi", ff - F.lit(2.0) * F.col("norm") * fm + F.col("norm") * F.col("norm") * mm)
+    best = scored.groupBy(burst, "_tb", band).agg(F.min_by(
+        F.struct("chi", (F.col("p.n") + F.col("q.n")).alias("n"), alpha(F.lit(0), F.col("p.i")).alias("alpha1"),
+                 alpha(F.lit(1), F.col("q.i")).alias("alpha2"), "norm"), F.struct("chi", F.col("p.i"), F.col("q.i"))).alias("b"))
+    total = best.groupBy(burst, "_tb").agg(
+        F.sum("b.chi").alias("chi_sq"), F.sum("b.n").alias("_np"), F.count(F.lit(1)).alias("_k"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(band), F.struct("b.alpha1", "b.alpha2", "b.norm"))))).alias("bands"))
+    win = total.groupBy(burst).agg(F.min_by(F.struct("_tb", "chi_sq", "bands", "_np", "_k"), F.struct("chi_sq", "_tb")).alias("w"))
+    out = attach(win.select(burst, "w.*"), span, [burst]).select(
+        burst, tb.alias("t_break"), "chi_sq", "bands", (F.col("_np") - F.lit(1) - F.lit(3) * F.col("_k")).alias("dof"))
+    return attach(span.select(burst), out, [burst], "left").withColumn("fit_success", F.col("chi_sq").isNotNull())
 
 
 def normalised(points: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burstframe.operators.fit import Axis, curvature_errors, profile_fit
 from burstframe.operators.lags import BLOCK, block_pairs, blocks, lag_products
 from burstframe.operators.lightcurve import KEYS, find_peak, rebin, regrid_linear
 from burstframe.operators.reuse import keep
@@ -306,7 +307,8 @@ def simple_lag(
 
 
 def prepare_lag_pair(
-    lc: DataFrame, low: str, high: str, tstart: float, tstop: float, burst: str = "burst_id", band: str = "band"
+    lc: DataFrame, low: str, high: str, tstart: float, tstop: float, burst: str = "burst_id", band: str = "band",
+    center: bool = True,
 ) -> DataFrame:
     """Trim, interpolate both bands to the finer common grid, subtract means.
 
@@ -328,7 +330,8 @@ def prepare_lag_pair(
     sized = attach(attach(wide, means, [burst]), grid.select(burst, F.col("_n").alias("n"), F.col("_dt").alias("dt")), [burst])
     return sized.select(
         burst, "pos", "t", "n", "dt", "low", "high", "low_err", "high_err",
-        (F.col("low") - F.col("_ml")).alias("x"), (F.col("high") - F.col("_mh")).alias("y"))
+        (F.col("low") - F.col("_ml") if center else F.col("low")).alias("x"),
+        (F.col("high") - F.col("_mh") if center else F.col("high")).alias("y"))
 
 
 def _lag_grid(lc, low, high, tstart, tstop, burst, band):
@@ -443,3 +446,89 @@ def cross_correlation_errors(
     size = pair.groupBy(burst).agg(F.max("n").alias("_n"))
     grid = dense_grid(size, F.col("_n") * 2 + 1, "_i").select(burst, (F.col("_i") - F.col("_n")).alias("lag"))
     return grid.join(dev, [burst, "lag"], "left").withColumn("ccf_err", F.coalesce("ccf_err", F.lit(0.0)))
+
+
+def _split_shape(p: dict[str, Column]) -> Column:
+    return split_normal(F.col("offset"), F.lit(0.0), F.lit(1.0), p["mu"], p["sigma1"], p["sigma2"])
+
+
+def fit_lag(
+    ccf: DataFrame, burst: str = "burst_id", window: tuple[int, int] | None = None, rounds: int = 5
+) -> DataFrame:
+    """Split-normal fit of the correlation; the lag is its mode.
+
+    ``window`` limits the fit to lags peak+window[0] .. peak+window[1].
+    """
+    if window is not None:
+        top = ccf.groupBy(burst).agg(F.max_by("lag", F.struct("ccf", -F.col("lag"))).alias("_pk"))
+        ccf = attach(ccf, top, [burst]).filter(
+            F.col("lag").between(F.col("_pk") + window[0], F.col("_pk") + window[1])).drop("_pk")
+    r = ccf.groupBy(burst).agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
+    r = r.withColumn("_range", F.col("_hi") - F.col("_lo")).withColumn("_smin", F.col("_range") / 400)
+    pts = attach(ccf, r, [burst])
+    axes = [Axis("mu", "_lo", "_hi", 25), Axis("sigma1", "_smin", "_range", 6, True), Axis("sigma2", "_smin", "_range", 6, True)]
+    fit = profile_fit(pts, [burst], axes, _split_shape, stat="chi2_offset", y="ccf", err=None, rounds=rounds, fine=3,
+                      norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
+    return fit.withColumnsRenamed({"norm": "amplitude", "offset": "const", "stat": "chi_sq"}).withColumn("lag", F.col("mu"))
+
+
+def lag_errors(
+    ccf: DataFrame, fit: DataFrame, n_sims: int = 1000, seed: int = 2, burst: str = "burst_id", rounds: int = 1
+) -> DataFrame:
+    """Deviation of the lag over refits of correlations redrawn within ``ccf_err``; NaN if none succeeds.
+
+    Simulations are keys of one more grid fit, on a small grid around the observed optimum.
+    """
+    near = fit.filter("fit_success").select(
+        burst, (F.col("mu") - 2 * (F.col("sigma1") + F.col("sigma2")) / 8).alias("_lo"),
+        (F.col("mu") + 2 * (F.col("sigma1") + F.col("sigma2")) / 8).alias("_hi"),
+        *[(F.col(s) * f).alias(f"_{s}{k}") for s in ("sigma1", "sigma2") for k, f in (("a", 0.7), ("z", 1.4))])
+    sims = attach(ccf, near, [burst]).withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))))
+    u = lambda k: (F.shiftrightunsigned(F.xxhash64(F.lit(seed + k), burst, "sim", "lag"), 11) + 1) / F.lit(2.0**53 + 1)
+    normal = F.sqrt(F.lit(-2.0) * F.ln(u(0))) * F.cos(F.lit(2 * np.pi) * u(1))
+    err = F.when(F.col("ccf_err") > 0, F.col("ccf_err")).otherwise(F.lit(1e-10))
+    drawn = sims.withColumn("ccf", F.col("ccf") + normal * err)
+    axes = [Axis("mu", "_lo", "_hi", 9), Axis("sigma1", "_sigma1a", "_sigma1z", 3, True),
+            Axis("sigma2", "_sigma2a", "_sigma2z", 3, True)]
+    refit = profile_fit(drawn, [burst, "sim"], axes, _split_shape, stat="chi2_offset", y="ccf", err=None, rounds=rounds,
+                        fine=3, norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
+    dev = refit.filter("fit_success").groupBy(burst).agg(F.stddev_pop("mu").alias("lag_err"))
+    return attach(fit.select(burst), dev, [burst], "left").withColumn("lag_err", F.coalesce("lag_err", F.lit(float("nan"))))
+
+
+def spectral_lag(
+    pair: DataFrame, n_ccf_sims: int = 10000, n_lag_sims: int = 1000, noise: str = "errors", burst: str = "burst_id"
+) -> DataFrame:
+    """Observed correlation, its errors, the fitted lag and the lag error in one row per burst."""
+    pair = keep(pair)
+    errs = cross_correlation_errors(pair, n_ccf_sims, noise, burst=burst)
+    ccf = keep(cross_correlation(pair, burst).join(errs, [burst, "lag"]))
+    fit = keep(fit_lag(ccf, burst))
+    return attach(fit, lag_errors(ccf, fit, n_lag_sims, burst=burst), [burst], "left").withColumns(
+        {"n_ccf_sims": F.lit(n_ccf_sims), "n_lag_sims": F.lit(n_lag_sims)})
+
+
+def fit_fred_pulse(lc: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 5) -> DataFrame:
+    """Fast-rise exponential-decay pulse A exp(-tau1/(t-ts) - (t-ts)/tau2), zero before ts.
+
+    Limits scale with the peak time, which must be positive; bins without an error count with unit weight.
+    """
+    keys = list(keys)
+    pk = find_peak(lc, keys).filter("peak_time > 0").select(
+        *keys, (F.col("peak_rate") * 10).alias("_amax"), F.lit(0.0).alias("_amin"), F.lit(1e-4).alias("_tau0"),
+        F.col("peak_time").alias("_tau1"), (F.col("peak_time") * 2).alias("_tau2"),
+        (F.col("peak_time") * 0.1).alias("_ts0"), (F.col("peak_time") * 0.9).alias("_ts1"))
+    pts = attach(lc, pk, keys).withColumn("_e", F.when(F.col("rate_err") > 0, F.col("rate_err")).otherwise(F.lit(1.0)))
+
+    def model(p):
+        dt = F.col("t") - p["t_start"]
+        return F.when(dt > 0, F.exp(-p["tau_rise"] / dt - dt / p["tau_decay"])).otherwise(F.lit(0.0))
+
+    axes = [Axis("tau_rise", "_tau0", "_tau1", 9, True), Axis("tau_decay", "_tau0", "_tau2", 11, True),
+            Axis("t_start", "_ts0", "_ts1", 7)]
+    fit = profile_fit(pts, keys, axes, model, y="rate", err="_e", rounds=rounds, fine=3, norm_bounds=("_amin", "_amax"), min_points=4)
+    errs = curvature_errors(pts, keys, fit, [a.name for a in axes], model, y="rate", err="_e")
+    out = attach(fit, errs, keys, "left").withColumnsRenamed(
+        {"norm": "amplitude", "stat": "chi_sq", "norm_err": "amplitude_err"}).withColumn("dof", F.col("n_points") - 4)
+    every = lc.select(*keys).distinct()
+    return attach(every, out, keys, "left").withColumn("fit_success", F.coalesce("fit_success", F.lit(False)))

@@ -72,12 +72,12 @@ md AS (SELECT f.burst_id, b.t, f.decay_index AS a FROM fit f JOIN base b ON b.bu
        WHERE abs(decay_index) < 0.5),
 sp AS (SELECT burst_id, min(t) AS st, max(t) AS et, avg(a) AS ma FROM md GROUP BY 1),
 lv AS (SELECT b.burst_id, avg(flux) AS lvl FROM base b JOIN sp ON b.burst_id = sp.burst_id AND b.t BETWEEN st AND et GROUP BY 1)
-SELECT k.burst_id, st IS NOT NULL AS has_plateau, st AS start_time, et AS end_time, round(lvl, 4) AS plateau_level,
+SELECT k.burst_id, st IS NOT NULL AS has_plateau, st AS start_time, et AS end_time, round(log10(lvl), 6) AS plateau_level,
        round(ma, 6) AS mean_alpha
 FROM (SELECT DISTINCT burst_id FROM afterglow_points) k LEFT JOIN sp USING (burst_id) LEFT JOIN lv USING (burst_id)""")
 def _(spark, d):
     return A.detect_plateau(rows(spark, d)).select(
-        "burst_id", "has_plateau", "start_time", "end_time", r6("plateau_level", 4).alias("plateau_level"),
+        "burst_id", "has_plateau", "start_time", "end_time", r6(F.log10("plateau_level")).alias("plateau_level"),
         r6("mean_alpha").alias("mean_alpha"))
 
 
@@ -193,3 +193,34 @@ def _(spark, d):
 def _(spark, d):
     fits = S.fit_spectra(keep(V.spectra(spark, d)), ["CPL", "PL", "BB"], rounds=2)
     return S.choose_model(fits).withColumn("params", F.to_json("params"))
+
+
+@query("fred_pulse_fit")
+def _(spark, d):
+    from burstframe.operators.temporal import fit_fred_pulse
+
+    return fit_fred_pulse(V.lightcurves_dense(spark, d))
+
+
+@query("spectral_lag_peak_fit")
+def _(spark, d):
+    from burstframe.operators import temporal as T
+    from burstframe.plans.temporal_queries import lag_pair
+
+    return T.fit_lag(keep(T.cross_correlation(lag_pair(spark, d))))
+
+
+@query("spectral_lag_with_errors")
+def _(spark, d):
+    from burstframe.operators import temporal as T
+    from burstframe.plans.temporal_queries import lag_pair
+
+    return T.spectral_lag(lag_pair(spark, d), n_ccf_sims=200, n_lag_sims=10)
+
+
+@query("spectral_lag_windowed_variant")
+def _(spark, d):
+    from burstframe.operators import temporal as T
+
+    pair = T.prepare_lag_pair(V.lightcurves_dense_pair(spark, d), "view", "click", -14.0, 16.0, center=False)
+    return T.fit_lag(keep(T.cross_correlation(pair)), window=(-1000, 2000))

@@ -42,6 +42,12 @@ def lightcurves_dense(spark, sf_dir):
     return keep(bin_events(photons_dense(spark, sf_dir), binsize=0.25))
 
 
+def lightcurves_dense_pair(spark, sf_dir):
+    """The dense series as bands of one burst."""
+    return lightcurves_dense(spark, sf_dir).select(
+        F.lit("all").alias("burst_id"), F.col("burst_id").alias("band"), "bin_idx", "t", "rate", "rate_err", "binsize")
+
+
 def afterglow_points(spark, sf_dir):
     days = F.floor(micros("o_orderdate", "1995-01-01 00:00:00") / F.lit(86400e6)).cast("double")
     return (
