@@ -28,19 +28,18 @@ def log_pairs(df: DataFrame, x: str, y: str, x_err: str | None = None, y_err: st
 
 def line_quality(pairs: DataFrame, line: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Scatter, R^2, 2-sigma outliers and size for a line (slope, intercept) over (lx, ly)."""
-    rows = attach(pairs, line, keys) if keys else pairs.crossJoin(F.broadcast(line))
+    rows = attach(pairs, line, keys)
     res = F.col("ly") - (F.col("slope") * F.col("lx") + F.col("intercept"))
     rows = rows.withColumn("_res", res)
     q = rows.groupBy(*keys, "slope", "intercept").agg(
         F.stddev_pop("_res").alias("scatter"), F.sum(F.col("_res") * F.col("_res")).alias("_ss"),
         F.var_pop("ly").alias("_v"), F.count(F.lit(1)).alias("n_points")).filter("n_points >= 3")
     q = q.withColumn("r_squared", F.when(F.col("_v") > 0, 1 - F.col("_ss") / (F.col("_v") * F.col("n_points"))).otherwise(F.lit(0.0)))
-    # the line and its scatter are one row (per key), so this join is a broadcast of measured size
     sc = q.select(*keys, "scatter")
-    marked = attach(rows, sc, keys) if keys else rows.crossJoin(F.broadcast(sc))
+    marked = attach(rows, sc, keys)
     out = marked.groupBy(*keys).agg(
         F.sum(F.when((F.col("scatter") > 0) & (F.abs("_res") > 2 * F.col("scatter")), 1).otherwise(0)).alias("n_outliers"))
-    both = attach(q, out, keys) if keys else q.crossJoin(F.broadcast(out))
+    both = attach(q, out, keys)
     return both.select(*keys, "slope", "intercept", "scatter", "r_squared", "n_outliers", "n_points")
 
 
@@ -69,12 +68,12 @@ def orthogonal_weighted(pairs: DataFrame, keys: Sequence[str] = (), rounds: int
     wx, wy = 1 / (F.col("sx") * F.col("sx")), 1 / (F.col("sy") * F.col("sy"))
     line = keep(least_squares(pairs, keys).withColumn("done", F.lit(False)))
     for _ in range(rounds):
-        rows = attach(pairs, line, keys) if keys else pairs.crossJoin(F.broadcast(line))
+        rows = attach(pairs, line, keys)
         b = F.col("slope")
         rows = rows.withColumn("_w", wx * wy / (wx + b * b * wy))
         mean = rows.groupBy(*keys).agg(
             (F.sum(F.col("_w") * F.col("lx")) / F.sum("_w")).alias("_mx"), (F.sum(F.col("_w") * F.col("ly")) / F.sum("_w")).alias("_my"))
-        rows = attach(rows, mean, keys) if keys else rows.crossJoin(F.broadcast(mean))
+        rows = attach(rows, mean, keys)
         u, v = F.col("lx") - F.col("_mx"), F.col("ly") - F.col("_my")
         beta = F.col("_w") * (u / wy + b * v / wx)
         nxt = rows.withColumn("_be", beta).groupBy(*keys).agg(
@@ -103,7 +102,7 @@ def band_lines(df: DataFrame, x: str, y: str, highlight: Column | None = None) -
     ends = pairs.agg(F.min("lx").alias("x_lo"), F.max("lx").alias("x_hi"),
                      *([F.max_by(F.struct("lx", "ly"), F.col("_hl").cast("int")).alias("_h"), F.max(F.col("_hl").cast("int")).alias("_any")]
                        if highlight is not None else []))
-    out = q.crossJoin(F.broadcast(ends))
+    out = attach(q, ends, ())
     line = lambda xx: F.col("slope") * xx + F.col("intercept")
     cols = ["slope", "intercept", "scatter", "n_points", "x_lo", "x_hi", line(F.col("x_lo")).alias("y_lo"), line(F.col("x_hi")).alias("y_hi"),
             (line(F.col("x_lo")) - 2 * F.col("scatter")).alias("y_lo_minus"), (line(F.col("x_hi")) + 2 * F.col("scatter")).alias("y_hi_plus")]
@@ -120,7 +119,7 @@ def histogram(df: DataFrame, value: Column, bins: int, keys: Sequence[str] = ())
     lim = lim.select(*keys, F.when(F.col("_a") == F.col("_z"), F.col("_a") - 0.5).otherwise(F.col("_a")).alias("_a"),
                      F.when(F.col("_a") == F.col("_z"), F.col("_z") + 0.5).otherwise(F.col("_z")).alias("_z"), "n_total").filter("n_total > 0")
     lim = lim.withColumn("_w", (F.col("_z") - F.col("_a")) / bins)
-    placed = attach(rows, lim, keys) if keys else rows.crossJoin(F.broadcast(lim))
+    placed = attach(rows, lim, keys)
     b = F.least(F.floor((F.col("_v") - F.col("_a")) / F.col("_w")), F.lit(bins - 1)).cast("long")
     counts = placed.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
     grid = lim.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
@@ -137,7 +136,7 @@ def kernel_density(df: DataFrame, value: Column, points: int = 200, bins_for_sca
     rows = df.select(value.alias("_v")).filter(finite(F.col("_v")))
     st = rows.agg(F.min("_v").alias("_a"), F.max("_v").alias("_z"), F.stddev("_v").alias("_s"), F.count(F.lit(1)).alias("_n")).filter("_n > 1 AND _s > 0")
     h = F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    g = rows.crossJoin(F.broadcast(st)).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
+    g = attach(rows, st, ()).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
     x = F.col("_a") + F.col("step") * (F.col("_z") - F.col("_a")) / (points - 1)
     d = (x - F.col("_v")) / h
     k = F.exp(-(d * d) / 2) / (h * math.sqrt(2 * math.pi))
@@ -149,7 +148,7 @@ def kernel_density(df: DataFrame, value: Column, points: int = 200, bins_for_sca
 def class_shares(df: DataFrame, column: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     total = counts.agg(F.sum("count").alias("_t"))
-    return counts.crossJoin(F.broadcast(total)).select(column, "count", (F.col("count") * 100.0 / F.col("_t")).alias("percent"))
+    return attach(counts, total, ()).select(column, "count", (F.col("count") * 100.0 / F.col("_t")).alias("percent"))
 
 
 def mission_timeline(df: DataFrame, mission: str, year: Column) -> DataFrame:

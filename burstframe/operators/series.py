@@ -28,8 +28,11 @@ def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "i
     """Join a one-row-per-key frame back to the rows.
 
     No broadcast hint: Spark broadcasts it when its measured size is under the
-    threshold, otherwise AQE splits the skewed side of the shuffled join.
+    threshold, otherwise AQE splits the skewed side of the shuffled join.  Without keys
+    ``per_key`` is the single row of a global aggregate.
     """
+    if not keys:
+        return df.join(F.broadcast(per_key), how="cross")
     return df.join(per_key, list(keys), how)
 
 
