@@ -240,12 +240,12 @@ def _(spark, d):
 
 
 @query("circular_archive_scan", "archive", """
-SELECT substr(event_code, 1, 6) || 'X' AS event_code, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM archive GROUP BY 1""")
+SELECT substr(event_code, 1, 4) || '01X' AS event_code, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM archive GROUP BY 1""")
 def _(spark, d):
     from burstframe.plans.circular_queries import archive
 
     path = scratch(spark)
-    a = archive(spark, d).select(F.concat(F.substring("event_code", 1, 6), F.lit("X")).alias("event"), F.col("text").alias("value"))
+    a = archive(spark, d).select(F.concat(F.substring("event_code", 1, 4), F.lit("01X")).alias("event"), F.col("text").alias("value"))
     # whole files are compared by their length: a text plus the line end the writer adds
     a.repartition("event").write.partitionBy("event").text(path)
     got = S.circular_archive(spark, path)

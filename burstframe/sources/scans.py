@@ -195,6 +195,6 @@ def work_list(spark: SparkSession, path: str) -> DataFrame:
 
 def circular_archive(spark: SparkSession, path: str) -> DataFrame:
     """Whole archive texts, one file (or folder) per event."""
-    code = path_part(r"(?:event=)?([0-9]{6}[A-Za-z]*)")
+    code = path_part(r"^(?:event=)?([0-9]{6}[A-Za-z]*)(?:\.gcn3)?$")
     return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
         code.alias("event_code"), F.col("value").alias("text"))
