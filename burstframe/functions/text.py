@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values: patterns tried in order -------------------------------------------------
@@ -63,8 +63,28 @@ def group(text: Column, pattern: str, n: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, n), F.lit(""))
 
 
-def first_of(text: Column, patterns: Sequence[str]) -> Column:
-    return F.coalesce(*[group(text, p) for p in patterns])
+class Matches:
+    """Runs every pattern once per text.
+
+    Extractors ask for (pattern, group); :meth:`apply` first projects the whole match of each
+    pattern, and the groups are then cut out of those short strings.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self._columns: dict[str, str] = {}
+
+    def group(self, pattern: str, n: int = 1) -> Column:
+        name = self._columns.setdefault(pattern, f"_match{len(self._columns)}")
+        return group(F.col(name), pattern, n)
+
+    def first_of(self, patterns: Sequence[str]) -> Column:
+        return F.coalesce(*[self.group(p) for p in patterns])
+
+    def apply(self, df: DataFrame, *columns: Column | str) -> DataFrame:
+        """Select ``columns`` (built from this object's groups) over ``df``."""
+        found = [F.regexp_extract(F.col(self.text), p, 0).alias(n) for p, n in self._columns.items()]
+        return df.select("*", *found).select(*columns)
 
 
 def event_code(name: Column) -> Column:
@@ -72,52 +92,52 @@ def event_code(name: Column) -> Column:
     return F.regexp_replace(F.replace(F.trim(name), F.lit(" "), F.lit("")), r"^(?i)GRB", "")
 
 
-def fermi_trigger(text: Column) -> Column:
-    return first_of(text, FERMI_TRIGGER)
+def fermi_trigger(m: Matches) -> Column:
+    return m.first_of(FERMI_TRIGGER)
 
 
-def swift_trigger(text: Column) -> Column:
-    return first_of(text, SWIFT_TRIGGER)
+def swift_trigger(m: Matches) -> Column:
+    return m.first_of(SWIFT_TRIGGER)
 
 
 def _num(c: Column) -> Column:
     return c.try_cast("double")
 
 
-def redshift(text: Column) -> Column:
+def redshift(m: Matches) -> Column:
     """First pattern whose first match is a number strictly between 0 and 20."""
     def ok(p):
-        v = _num(group(text, p))
+        v = _num(m.group(p))
         return F.when((v > 0) & (v < 20), v)
 
     return F.coalesce(*[ok(p) for p in REDSHIFT])
 
 
-def t90(text: Column) -> Column:
-    return F.coalesce(*[_num(group(text, p)) for p in T90_SECONDS], _num(group(text, T90_MILLISECONDS)) / F.lit(1000.0))
+def t90(m: Matches) -> Column:
+    return F.coalesce(*[_num(m.group(p)) for p in T90_SECONDS], _num(m.group(T90_MILLISECONDS)) / F.lit(1000.0))
 
 
-def position(text: Column) -> Column:
+def position(m: Matches) -> Column:
     """Struct ra, dec (degrees), ra_str, dec_str; decimal form first, then sexagesimal."""
-    d = [group(text, POSITION_DEGREES, i) for i in (1, 2)]
+    d = [m.group(POSITION_DEGREES, i) for i in (1, 2)]
     dra, ddec = _num(d[0]), _num(d[1])
-    s = [group(text, POSITION_SEXAGESIMAL, i) for i in range(1, 7)]
-    h, m, sec, deg, dm, ds = (_num(c) for c in s)
+    s = [m.group(POSITION_SEXAGESIMAL, i) for i in range(1, 7)]
+    h, mi, sec, deg, dm, ds = (_num(c) for c in s)
     sign = F.when(s[3].startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
-    hra = (h + m / F.lit(60.0) + sec / F.lit(3600.0)) * F.lit(15.0)
+    hra = (h + mi / F.lit(60.0) + sec / F.lit(3600.0)) * F.lit(15.0)
     hdec = sign * (F.abs(deg) + dm / F.lit(60.0) + ds / F.lit(3600.0))
     return (
         F.when(dra.isNotNull() & ddec.isNotNull(),
                F.struct(dra.alias("ra"), ddec.alias("dec"), d[0].alias("ra_str"), d[1].alias("dec_str")))
         .when(hra.isNotNull() & hdec.isNotNull(), F.struct(
             hra.alias("ra"), hdec.alias("dec"),
-            F.format_string("%02dh%02dm%.1fs", h.cast("int"), m.cast("int"), sec).alias("ra_str"),
+            F.format_string("%02dh%02dm%.1fs", h.cast("int"), mi.cast("int"), sec).alias("ra_str"),
             F.concat(s[3], F.format_string("d%02d'%.1f\"", dm.cast("int"), ds)).alias("dec_str"))))
 
 
 def duration_word(text: Column) -> Column:
     low = F.lower(text)
-    any_of = lambda ps: sum((low.rlike(p).cast("int") for p in ps), F.lit(0)) > 0
+    any_of = lambda ps: F.coalesce(*[F.when(low.rlike(p), F.lit(True)) for p in ps])
     return F.when(any_of(SHORT_WORDS), "short").when(any_of(LONG_WORDS), "long")
 
 

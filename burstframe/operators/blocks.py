@@ -1,18 +1,20 @@
 """Bayesian blocks (optimal partition of a series, Scargle et al. 2013) and the statistics of blocks.
 
-The partition is sequential in time, so it runs per series on binned rows inside ``applyInPandas``.
+The partition is sequential in time, so it runs per series, on binned rows packed into arrays (never on photons).
 Candidate change points that can no longer win are pruned exactly, so a series costs memory in
 proportion to its bins.  Block statistics go back to Spark as an equi-join on the block number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import PandasUDFType
 
 from burstframe.operators.lightcurve import KEYS
 
@@ -53,42 +55,45 @@ def midpoint_edges(t: np.ndarray) -> np.ndarray:
     return np.concatenate([t[:1], 0.5 * (t[1:] + t[:-1]), t[-1:]])
 
 
-def _partition(pdf: pd.DataFrame, fitness: str, p0: float) -> tuple[np.ndarray, np.ndarray]:
-    t = pdf["t"].to_numpy()
-    e = midpoint_edges(t)
-    if fitness == "events":
-        starts = change_points(e, "events", p0, pdf["counts"].to_numpy(dtype=float))
-    else:
-        err = pdf["rate_err"].to_numpy(dtype=float)
-        good = err[err > 0]
-        sigma = np.where(err > 0, err, good.min() if len(good) else 1.0) / 2.0
-        w = 1.0 / sigma**2
-        starts = change_points(e, "measures", p0, w, pdf["rate"].to_numpy() * w)
-    return e, starts
+_BLOCKS = T.ArrayType(T.StructType([
+    T.StructField("block", T.LongType()), T.StructField("t_lo", T.DoubleType()), T.StructField("t_hi", T.DoubleType())]))
+
+
+def _block_list(lo: np.ndarray, hi: np.ndarray) -> list[dict]:
+    return [{"block": i, "t_lo": float(a), "t_hi": float(b)} for i, (a, b) in enumerate(zip(lo, hi))]
+
+
+def _per_series(lc: DataFrame, keys: Sequence[str], columns: Sequence[str], find: Callable[..., list[dict]]) -> DataFrame:
+    """Pack each series into arrays in time order and run ``find`` on them in Arrow batches.
+
+    The partition count is explicit so that small inputs still use every core.
+    """
+    n = int(lc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = lc.select(*keys, F.struct("t", *columns).alias("_r")).repartition(n, *keys).groupBy(*keys).agg(
+        F.array_sort(F.collect_list("_r")).alias("_rows"))
+    udf = F.pandas_udf(lambda *cols: pd.Series([find(*row) for row in zip(*cols)]), _BLOCKS, PandasUDFType.SCALAR)
+    return packed.select(*keys, F.inline(udf(*[F.col("_rows")[c] for c in ("t", *columns)])))
 
 
 def bayesian_block_edges(
     lc: DataFrame, keys: Sequence[str] = KEYS, fitness: str = "measures", p0: float = 0.01
 ) -> DataFrame:
     """(keys, block, t_lo, t_hi) per series."""
-    keys = list(keys)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        if len(pdf) < 2:
-            edges, starts = np.repeat(pdf["t"].to_numpy(), 2), np.array([0])
-            ends = np.array([1])
+    def find(t, a, b=None):
+        if len(t) < 2:
+            return _block_list(t, t)
+        edges = midpoint_edges(t)
+        if fitness == "events":
+            starts = change_points(edges, "events", p0, np.asarray(a, dtype=float))
         else:
-            edges, starts = _partition(pdf, fitness, p0)
-            ends = np.append(starts[1:], len(pdf))
-        out = pd.DataFrame({"block": np.arange(len(starts)), "t_lo": edges[starts], "t_hi": edges[ends]})
-        for k in keys:
-            out.insert(keys.index(k), k, pdf[k].iloc[0])
-        return out
+            good = b[b > 0]
+            sigma = np.where(b > 0, b, good.min() if len(good) else 1.0) / 2.0
+            w = 1.0 / sigma**2
+            starts = change_points(edges, "measures", p0, w, a * w)
+        return _block_list(edges[starts], edges[np.append(starts[1:], len(t))])
 
-    cols = [*keys, "t", *(["counts"] if fitness == "events" else ["rate", "rate_err"])]
-    types = ", ".join(f"{k} {lc.schema[k].dataType.simpleString()}" for k in keys)
-    return lc.select(*cols).groupBy(*keys).applyInPandas(run, f"{types}, block bigint, t_lo double, t_hi double")
+    columns = ["counts"] if fitness == "events" else ["rate", "rate_err"]
+    return _per_series(lc, list(keys), columns, find)
 
 
 def greedy_block_edges(lc: DataFrame, keys: Sequence[str] = KEYS, gamma: float = 4.0) -> DataFrame:
@@ -97,40 +102,27 @@ def greedy_block_edges(lc: DataFrame, keys: Sequence[str] = KEYS, gamma: float =
     A bin stands for int(rate * bin) events at its time; an inner edge stays when the block that ends
     there has n ln(n / T) - gamma > -0.1 gamma.
     """
-    keys = list(keys)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        t = pdf["t"].to_numpy()
-        n_at = np.maximum((pdf["rate"] * pdf["binsize"]).to_numpy().astype(int), 0)
-        cum = np.concatenate([[0], np.cumsum(n_at)])
+    def find(t, rate, binsize):
+        cum = np.concatenate([[0], np.cumsum(np.maximum((rate * binsize).astype(int), 0))])
         total = int(cum[-1])
-        if total == 0:
-            edges = np.array([t[0], t[-1]])
-        else:
-            step = max(1, total // 50)
-            picks = np.searchsorted(cum, np.arange(0, total, step), side="right") - 1
-            edges = np.unique(np.append(t[picks], t[-1]))
-            for _ in range(10):
-                keep, lo = [edges[0]], edges[0]
-                for hi in edges[1:-1]:
-                    n = cum[np.searchsorted(t, hi)] - cum[np.searchsorted(t, lo)]
-                    if n > 0 and n * np.log(n / (hi - lo)) - gamma > -0.1 * gamma:
-                        keep.append(hi)
-                        lo = hi
-                keep.append(edges[-1])
-                if len(keep) == len(edges):
-                    break
-                edges = np.array(keep)
-        out = pd.DataFrame({"block": np.arange(max(len(edges) - 1, 1)), "t_lo": edges[:-1] if len(edges) > 1 else edges,
-                            "t_hi": edges[1:] if len(edges) > 1 else edges})
-        for k in keys:
-            out.insert(keys.index(k), k, pdf[k].iloc[0])
-        return out
-
-    types = ", ".join(f"{k} {lc.schema[k].dataType.simpleString()}" for k in keys)
-    return lc.select(*keys, "t", "rate", "binsize").groupBy(*keys).applyInPandas(
-        run, f"{types}, block bigint, t_lo double, t_hi double")
+        if total == 0 or len(t) < 2:
+            return _block_list(t[:1], t[-1:])
+        picks = np.searchsorted(cum, np.arange(0, total, max(1, total // 50)), side="right") - 1
+        edges = np.unique(np.append(t[picks], t[-1]))
+        for _ in range(10):
+            kept = [edges[0]]
+            for hi in edges[1:-1]:
+                lo = kept[-1]
+                n = cum[np.searchsorted(t, hi)] - cum[np.searchsorted(t, lo)]
+                if n > 0 and n * np.log(n / (hi - lo)) - gamma > -0.1 * gamma:
+                    kept.append(hi)
+            kept.append(edges[-1])
+            if len(kept) == len(edges):
+                break
+            edges = np.array(kept)
+        return _block_list(edges[:-1], edges[1:]) if len(edges) > 1 else _block_list(edges, edges)
+
+    return _per_series(lc, list(keys), ["rate", "binsize"], find)
 
 
 def block_statistics(lc: DataFrame, edges: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -25,14 +25,17 @@ def burst_info(archive: DataFrame, event: str = "event_code", text: str = "text"
     """Everything the extractors find in the whole archive text of an event (pattern order beats text order)."""
     t = F.col(text)
     sections = F.filter(F.split(t, X.DIVIDER), lambda s: F.length(F.regexp_replace(s, r"^\s+|\s+$", "")) >= X.MIN_SECTION)
-    pos = X.position(t)
-    return archive.select(
+    m = X.Matches(text)
+    fermi = X.fermi_trigger(m)
+    cols = [
         event, F.concat(F.lit("GRB"), X.event_code(F.col(event))).alias("burst_name"),
-        F.size(sections).cast("long").alias("num_circulars"),
-        X.fermi_trigger(t).alias("fermi_trigger_id"), F.concat(F.lit("bn"), X.fermi_trigger(t)).alias("fermi_bn_id"),
-        X.swift_trigger(t).alias("swift_trigger_id"), pos["ra"].alias("ra"), pos["dec"].alias("dec"),
-        pos["ra_str"].alias("ra_str"), pos["dec_str"].alias("dec_str"), X.redshift(t).alias("redshift"), X.t90(t).alias("t90"),
-        X.duration_word(t).alias("classification"), X.missions(t).alias("missions"))
+        F.size(sections).cast("long").alias("num_circulars"), fermi.alias("fermi_trigger_id"),
+        X.swift_trigger(m).alias("swift_trigger_id"), X.position(m).alias("_p"), X.redshift(m).alias("redshift"), X.t90(m).alias("t90"),
+        X.duration_word(t).alias("classification"), X.missions(t).alias("missions")]
+    out = m.apply(archive, *cols)
+    return out.select(
+        event, "burst_name", "num_circulars", "fermi_trigger_id", F.concat(F.lit("bn"), "fermi_trigger_id").alias("fermi_bn_id"),
+        "swift_trigger_id", "_p.ra", "_p.dec", "_p.ra_str", "_p.dec_str", "redshift", "t90", "classification", "missions")
 
 
 def resolve_triggers(names: DataFrame, info: DataFrame, catalog: DataFrame, name: str = "burst_name") -> DataFrame:

@@ -100,8 +100,8 @@ def _(spark, d):
 @query("trigger_ids_from_text", "archive", f"""
 SELECT k, {s_first(X.FERMI_TRIGGER)} AS fermi_trigger_id, {s_first(X.SWIFT_TRIGGER)} AS swift_trigger_id FROM archive""")
 def _(spark, d):
-    t = F.col("text")
-    return archive(spark, d).select("k", X.fermi_trigger(t).alias("fermi_trigger_id"), X.swift_trigger(t).alias("swift_trigger_id"))
+    m = X.Matches("text")
+    return m.apply(archive(spark, d), "k", X.fermi_trigger(m).alias("fermi_trigger_id"), X.swift_trigger(m).alias("swift_trigger_id"))
 
 
 def s_pos(i, p):
@@ -122,7 +122,9 @@ SELECT k, round(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a ELSE (h + m / 6
 
 @query("position_from_text", "archive", POS_SQL)
 def _(spark, d):
-    p = archive(spark, d).select("k", X.position(F.col("text")).alias("p"))
+    m = X.Matches("text")
+    pos = X.position(m)
+    p = m.apply(archive(spark, d), "k", pos.alias("p"))
     return p.select("k", r6("p.ra").alias("ra"), r6("p.dec").alias("dec"), "p.ra_str", "p.dec_str")
 
 
@@ -141,8 +143,8 @@ M_SQL = "concat_ws(', ', " + ", ".join(f"CASE WHEN regexp_matches(text, '{q(p)}'
 
 @query("redshift_and_duration_from_text", "archive", f"SELECT k, {Z_SQL} AS redshift, round({T_SQL}, 6) AS t90 FROM archive")
 def _(spark, d):
-    t = F.col("text")
-    return archive(spark, d).select("k", X.redshift(t).alias("redshift"), r6(X.t90(t)).alias("t90"))
+    m = X.Matches("text")
+    return m.apply(archive(spark, d), "k", X.redshift(m).alias("redshift"), r6(X.t90(m)).alias("t90"))
 
 
 @query("class_words_and_missions", "archive", f"SELECT k, {W_SQL} AS classification, {M_SQL} AS missions FROM archive")
@@ -154,10 +156,10 @@ def _(spark, d):
 @query("document_class_words", "", f"""SELECT doc_id, {W_SQL} AS classification, {M_SQL} AS missions, {s_first(X.FERMI_TRIGGER)} AS trigger_id
 FROM documents""")
 def _(spark, d):
-    t = F.col("text")
-    return V.table(spark, d, "documents").select(
-        "doc_id", X.duration_word(t).alias("classification"), F.array_join(X.missions(t), ", ").alias("missions"),
-        X.fermi_trigger(t).alias("trigger_id"))
+    t, m = F.col("text"), X.Matches("text")
+    return m.apply(
+        V.table(spark, d, "documents"), "doc_id", X.duration_word(t).alias("classification"),
+        F.array_join(X.missions(t), ", ").alias("missions"), X.fermi_trigger(m).alias("trigger_id"))
 
 
 @query("burst_info", "archive", f"""
@@ -195,7 +197,9 @@ SELECT 'GRB' || n.event_code AS burst_name, coalesce(c, nullif(regexp_extract(tn
 FROM n LEFT JOIN i USING (event_code) LEFT JOIN b ON b.dt = substr(n.event_code, 1, 6)""")
 def _(spark, d):
     a = archive(spark, d)
-    info = a.groupBy("event_code").agg(F.min(X.fermi_trigger(F.col("text"))).alias("fermi_trigger_id"))
+    m = X.Matches("text")
+    ids = m.apply(a, "event_code", X.fermi_trigger(m).alias("fermi_trigger_id"))
+    info = ids.groupBy("event_code").agg(F.min("fermi_trigger_id").alias("fermi_trigger_id"))
     names = a.select(F.concat(F.lit("GRB"), "event_code").alias("burst_name")).distinct()
     return C.resolve_triggers(names, info, trigger_catalog(spark, d))
 

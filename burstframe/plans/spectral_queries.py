@@ -75,7 +75,7 @@ def _(spark, d):
         F.round(M.chi_squared(*args), 4).alias("chi_squared"), F.round(M.cash(*args), 4).alias("cstat"))
 
 
-def q_flux(lo: str, hi: str, energy: bool, n: int = 400) -> str:
+def q_flux(lo: str, hi: str, energy: bool, n: int = 4000) -> str:
     ex = f"exp(ln({lo}) + i * (ln({hi}) - ln({lo})) / {n})"
     mod = (f"CASE model WHEN 'Band' THEN {q_band('ee', 'alpha', 'beta', 'epeak', 'norm')} "
            f"WHEN 'CPL' THEN {q_cpl('ee', 'alpha', 'epeak', 'norm')} WHEN 'PL' THEN {q_pl('ee', 'index', 'norm')} END")

@@ -24,10 +24,11 @@ def live_light_curve(photons: DataFrame, binsize: str = "1 day", late: str = "2
 def live_circulars(archive: DataFrame, ts: str = "ts", late: str = "30 days") -> DataFrame:
     """Circulars of arriving archive texts, each number once, with the extracted fields."""
     parts = split_circulars(archive.withColumn("event_code", F.struct("event_code", F.col(ts).alias("ts"))))
-    t = F.col("body")
-    rows = parts.select(F.col("event_code.ts").alias("ts"), F.col("event_code.event_code").alias("event_code"), F.col("number").alias("circular_number"),
-                        "subject", X.fermi_trigger(t).alias("fermi_trigger_id"), X.swift_trigger(t).alias("swift_trigger_id"),
-                        X.redshift(t).alias("redshift"), X.t90(t).alias("t90"))
+    m = X.Matches("body")
+    rows = m.apply(
+        parts, F.col("event_code.ts").alias("ts"), F.col("event_code.event_code").alias("event_code"), F.col("number").alias("circular_number"),
+        "subject", X.fermi_trigger(m).alias("fermi_trigger_id"), X.swift_trigger(m).alias("swift_trigger_id"),
+        X.redshift(m).alias("redshift"), X.t90(m).alias("t90"))
     return rows.withWatermark("ts", late).dropDuplicatesWithinWatermark(["circular_number"])
 
 
