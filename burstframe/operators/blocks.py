@@ -14,7 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import PandasUDFType
 
 from burstframe.operators.lightcurve import KEYS
 
@@ -71,7 +70,10 @@ def _per_series(lc: DataFrame, keys: Sequence[str], columns: Sequence[str], find
     n = int(lc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = lc.select(*keys, F.struct("t", *columns).alias("_r")).repartition(n, *keys).groupBy(*keys).agg(
         F.array_sort(F.collect_list("_r")).alias("_rows"))
-    udf = F.pandas_udf(lambda *cols: pd.Series([find(*row) for row in zip(*cols)]), _BLOCKS, PandasUDFType.SCALAR)
+    def search(*columns: pd.Series) -> pd.Series:
+        return pd.Series([find(*row) for row in zip(*columns)])
+
+    udf = F.pandas_udf(search, _BLOCKS)
     return packed.select(*keys, F.inline(udf(*[F.col("_rows")[c] for c in ("t", *columns)])))
 
 

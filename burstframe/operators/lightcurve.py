@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstframe.operators.reuse import keep
-from burstframe.operators.series import attach, dense_grid, first_max, sliding, with_position
+from burstframe.operators.series import attach, dense_grid, first_max, median_by_position, sliding, with_position
 
 KEYS = ("burst_id", "band")
 
@@ -138,8 +138,8 @@ def sum_channels(spectra: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         (F.sqrt("counts") / dt).alias("rate_err"),
         (F.col("tend") - F.col("tstart")).alias("_dt"),
     )
-    step = lc.groupBy(*keys).agg(F.percentile("_dt", F.lit(0.5)).alias("binsize"))
-    return attach(lc.drop("_dt"), step, keys)
+    lc = keep(lc)
+    return attach(lc.drop("_dt"), median_by_position(lc, keys, "_dt", "binsize"), keys)
 
 
 def prefer_source(tte: DataFrame, cspec: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

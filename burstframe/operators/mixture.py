@@ -73,7 +73,7 @@ def fit_mixture(
 
 def _expectation_maximisation(pts: DataFrame, k: int, kind: str, max_iter: int, tol: float) -> list[Component]:
     s = pts.agg(F.avg("x"), F.avg("y"), F.var_pop("x"), F.var_pop("y"),
-                F.percentile("x", F.array(*[F.lit((i + 0.5) / k) for i in range(k)])), F.count(F.lit(1))).first()
+                F.percentile_approx("x", [(i + 0.5) / k for i in range(k)], 10000), F.count(F.lit(1))).first()
     vx, vy, n = max(s[2], 1e-6), max(s[3], 1e-6), s[5]
     comps = [(1.0 / k, (float(m), s[1]), ((vx, 0.0), (0.0, vy))) for m in s[4]]
     last = -math.inf

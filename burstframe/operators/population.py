@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstframe.functions.geometry import separation
-from burstframe.operators.series import attach, with_position
+from burstframe.operators.series import attach, median_by_position, with_position
 
 
 def finite(c: Column) -> Column:
@@ -128,6 +128,12 @@ def histogram(df: DataFrame, value: Column, bins: int, keys: Sequence[str] = ())
         F.coalesce("_c", F.lit(0)).alias("count"), "n_total")
 
 
+def median_and_mean(df: DataFrame, value: Column) -> DataFrame:
+    """Median, mean and size of the finite values."""
+    v = df.select(value.alias("v")).filter(finite(F.col("v")))
+    return attach(median_by_position(v, [], "v", "median"), v.agg(F.avg("v").alias("mean"), F.count(F.lit(1)).alias("n")), ())
+
+
 def kernel_density(df: DataFrame, value: Column, points: int = 200, bins_for_scale: int = 50) -> DataFrame:
     """Gaussian density (Scott width, sample deviation) on a grid, scaled to counts per histogram bin.
 

@@ -163,3 +163,10 @@ def dense_grid(per_key: DataFrame, n: Column, idx: str = "bin_idx", size: int =
 def first_max(value: str, order: str, *payload: str) -> Column:
     """Struct of ``payload`` at the first maximum of ``value`` (numpy argmax rule)."""
     return F.max_by(F.struct(*payload), F.struct(F.col(value), -F.col(order)))
+
+
+def median_by_position(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Exact median per key from distributed row numbers, so no group is held in one aggregate buffer."""
+    rows = with_position(df.filter(F.col(value).isNotNull()).select(*keys, value), keys, [value], "_mp", "_mn")
+    middle = rows.filter((F.col("_mp") == F.floor((F.col("_mn") - 1) / 2)) | (F.col("_mp") == F.floor(F.col("_mn") / 2)))
+    return middle.groupBy(*keys).agg(F.avg(value).alias(name))

@@ -124,8 +124,8 @@ def _(spark, d):
 @query("redshift_summary_and_rate", "bursts", """
 SELECT round(median(redshift), 6) AS median, round(avg(redshift), 6) AS mean, count(*) AS n FROM bursts WHERE redshift >= 0""")
 def _(spark, d):
-    z = V.bursts(spark, d).filter("redshift >= 0")
-    return z.agg(r6(F.percentile("redshift", F.lit(0.5))).alias("median"), r6(F.avg("redshift")).alias("mean"), F.count(F.lit(1)).alias("n"))
+    m = P.median_and_mean(V.bursts(spark, d), F.when(F.col("redshift") >= 0, F.col("redshift")))
+    return m.select(r6("median").alias("median"), r6("mean").alias("mean"), "n")
 
 
 @query("burst_rate_by_redshift", "bursts", hist_sql("redshift", 20, "redshift >= 0"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstframe.operators.series import attach, sliding, with_position
+from burstframe.operators.series import attach, median_by_position, sliding, with_position
 from burstframe.schemas import SWIFT_BANDS
 
 
@@ -45,9 +45,8 @@ def four_band_light_curves(spark: SparkSession, path: str, binsize_ms: float | N
     if binsize_ms is None:
         numbered = with_position(rows.filter("binsize IS NULL").select("burst_name", "t"), ["burst_name"], ["t"], "_pos")
         steps = sliding(numbered, ["burst_name"], "_pos", 1, lambda w: {"_dt": F.col("t") - F.lag("t", 1).over(w)})
-        med = steps.groupBy("burst_name").agg(F.coalesce(
-            F.percentile(F.when(F.col("_dt") > 0, F.col("_dt")), F.lit(0.5)), F.lit(1.0)).alias("_med"))
-        rows = attach(rows, med, ["burst_name"], "left").withColumn("binsize", F.coalesce("binsize", "_med")).drop("_med")
+        med = median_by_position(steps.filter("_dt > 0"), ["burst_name"], "_dt", "_med")
+        rows = attach(rows, med, ["burst_name"], "left").withColumn("binsize", F.coalesce("binsize", "_med", F.lit(1.0))).drop("_med")
     bands = F.array(*[
         F.struct(F.lit(b).alias("band"), F.lit(lo).alias("energy_min"), F.lit(hi).alias("energy_max"), F.col(f"r{i}").alias("rate"),
                  F.col(f"e{i}").alias("rate_err")) for i, (b, lo, hi) in enumerate(SWIFT_BANDS)])
