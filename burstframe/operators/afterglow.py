@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstframe.operators.fit import Axis, curvature_errors, profile_fit
-from burstframe.operators.reuse import keep
-from burstframe.operators.series import attach, with_position
+from burstframe.operators.reuse import keep, spread
+from burstframe.operators.series import attach, running_sums, with_position
 
 KEYS = ("burst_id",)
 
@@ -50,7 +50,7 @@ def _at(pos: Column, value: str) -> Column:
     return F.when(F.col("pos") == pos, F.col(value))
 
 
-def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 3) -> DataFrame:
+def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 8) -> DataFrame:
     """f0 [(t/tb)^(a1 s) + (t/tb)^(a2 s)]^(-1/s) with f0 the first flux; needs numbered rows."""
     pts = _anchors(rows.filter("n >= 4"), keys, {
         "_f0": _at(F.lit(0), "flux"), "_tlo": _at(F.lit(1), "t"), "_thi": _at(F.col("n") - 2, "t")})
@@ -65,7 +65,7 @@ def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int =
     return fit.withColumn("dof", F.col("n_points") - 4).withColumnRenamed("stat", "chi_sq")
 
 
-def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 2) -> DataFrame:
+def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 4) -> DataFrame:
     """Three power laws through the first flux at the first break."""
     pts = _anchors(rows.filter("n >= 6"), keys, {
         "_f0": _at(F.lit(0), "flux"), "_t1": _at(F.lit(1), "t"), "_t2": _at(F.lit(2), "t"),
@@ -85,37 +85,31 @@ def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds:
     return fit.withColumn("dof", F.col("n_points") - 5).withColumnRenamed("stat", "chi_sq")
 
 
-def detect_plateau(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 0, n_grid: int = 99) -> DataFrame:
+SHORT_WINDOW = 16
+
+
+def detect_plateau(
+    rows: DataFrame, keys: Sequence[str] = KEYS, n_grid: int = 99, short_window: int = SHORT_WINDOW
+) -> DataFrame:
     """Sliding-window decay fits; plateau where the index is under 0.5.
 
-    A window of max(3, n // 10) points grows with the series, so exploding points to
-    windows would multiply a long series; each window's grid sums are differences of prefix sums over positions instead.
+    A window holds max(3, n // 10) points, so it grows with the series.  Short windows copy each point to the
+    windows that hold it; longer ones add running sums (see :func:`_long_window_indices`), so a long series is
+    never multiplied by its window.
     """
-    from burstframe.operators.series import running_sums
-
     keys = list(keys)
     w = F.greatest(F.lit(3), F.floor(F.col("n") / 10)).cast("long")
     base = keep(rows.filter("n >= 10").select(*keys, "pos", "n", "t", "flux", "flux_err").withColumn("_w", w))
-    grid = base.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1)))).withColumn(
-        "_a", F.lit(0.1) + F.lit(4.9) * F.col("_g") / F.lit(n_grid - 1.0))
-    m, wt = F.pow(F.col("t"), -F.col("_a")), F.lit(1.0) / (F.col("flux_err") * F.col("flux_err"))
-    # times are scaled per window start later, so sums stay within double range for decays up to 5
-    cum = running_sums(grid, [*keys, "_g"], "pos", {
-        "_fm": F.col("flux") * m * wt, "_mm": m * m * wt, "_ff": F.col("flux") * F.col("flux") * wt})
-    sums = cum.select(*keys, "_g", "_a", "_w", "n", "pos", "_fm", "_mm", "_ff")
-    ends = sums.select(*keys, "_g", "_a", "_w", "n", (F.col("pos") - F.col("_w") + 1).alias("_s"), "_fm", "_mm", "_ff")
-    begins = sums.select(*keys, "_g", (F.col("pos") + 1).alias("_s"), *[F.col(c).alias(f"{c}0") for c in ("_fm", "_mm", "_ff")])
-    win = ends.filter((F.col("_s") >= 0) & (F.col("_s") < F.col("n") - F.col("_w"))).join(begins, [*keys, "_g", "_s"], "left")
-    d = {c: F.col(c) - F.coalesce(F.col(f"{c}0"), F.lit(0.0)) for c in ("_fm", "_mm", "_ff")}
-    ext = _window_extremes(base, keys)
-    scored = win.join(ext, [*keys, "_s"]).withColumns({"_d" + c: v for c, v in d.items()})
-    norm = F.greatest(F.col("_fmin") * 0.5, F.least(F.col("_fmax") * 2.0, F.try_divide("_d_fm", "_d_mm")))
-    scored = scored.withColumn("_nrm", norm).withColumn(
-        "_chi", F.col("_d_ff") - F.lit(2.0) * F.col("_nrm") * F.col("_d_fm") + F.col("_nrm") * F.col("_nrm") * F.col("_d_mm"))
-    best = scored.groupBy(*keys, "_s", "_w").agg(F.min_by("_a", F.struct("_chi", "_g")).alias("_alpha"))
+    short = base.filter(F.col("_w") <= short_window).withColumn("_s", F.explode(F.sequence(
+        F.greatest(F.col("pos") - F.col("_w") + 1, F.lit(0)), F.col("pos")))).filter(F.col("_s") < F.col("n") - F.col("_w"))
+    fits = power_law_decay(short.drop("_w"), [*keys, "_s"], rounds=0, n=n_grid)
+    best = fits.select(*keys, "_s", F.col("n_points").alias("_w"), F.col("decay_index").alias("_alpha"))
+    long = base.filter(F.col("_w") > short_window)
+    if not long.isEmpty():
+        best = best.unionByName(_long_window_indices(long, keys, n_grid))
     flat = best.filter("abs(_alpha) < 0.5").select(*keys, (F.col("_s") + F.floor(F.col("_w") / 2)).alias("pos"), "_alpha")
     mid = flat.join(base.select(*keys, "pos", "t"), [*keys, "pos"])
-    span = mid.groupBy(*keys).agg(F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.avg("_alpha").alias("mean_alpha"))
+    span = keep(mid.groupBy(*keys).agg(F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.avg("_alpha").alias("mean_alpha")))
     level = attach(base, span, keys).filter(F.col("t").between(F.col("start_time"), F.col("end_time"))).groupBy(*keys).agg(
         F.avg("flux").alias("plateau_level"))
     every = rows.select(*keys).distinct()
@@ -123,6 +117,36 @@ def detect_plateau(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 0,
         "has_plateau", F.col("start_time").isNotNull())
 
 
+def _long_window_indices(base: DataFrame, keys: list[str], n_grid: int) -> DataFrame:
+    """Best index per window from running sums.
+
+    The series is cut into blocks of one window length; a window is the tail of one block plus the head of the next, so
+    its sums are a backward plus a forward running sum and nothing is subtracted.
+    """
+    grid = spread(base).withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1)))).withColumn(
+        "_a", F.lit(0.1) + F.lit(4.9) * F.col("_g") / F.lit(n_grid - 1.0))
+    m, wt = F.pow(F.col("t"), -F.col("_a")), F.lit(1.0) / (F.col("flux_err") * F.col("flux_err"))
+    grid = keep(grid.select(
+        *keys, "_g", "_a", "_w", "n", "pos", F.floor(F.col("pos") / F.col("_w")).cast("long").alias("_blk"),
+        (F.col("flux") * m * wt).alias("_vfm"), (m * m * wt).alias("_vmm"), (F.col("flux") * F.col("flux") * wt).alias("_vff")))
+    names = ("_fm", "_mm", "_ff")
+    sums = {c: F.col(f"_v{c[1:]}") for c in names}
+    part = [*keys, "_g", "_blk"]
+    head = running_sums(grid, part, "pos", sums).select(
+        *keys, "_g", "_a", "_w", "n", (F.col("pos") - F.col("_w") + 1).alias("_s"), *names)
+    tail = running_sums(grid.withColumn("_back", (F.col("_blk") + 1) * F.col("_w") - 1 - F.col("pos")), part, "_back", sums).select(
+        *keys, "_g", F.col("pos").alias("_s"), *[F.col(c).alias(f"{c}0") for c in names])
+    win = head.filter((F.col("_s") >= 0) & (F.col("_s") < F.col("n") - F.col("_w"))).join(tail, [*keys, "_g", "_s"])
+    whole = F.col("_s") % F.col("_w") == 0
+    win = win.select(*keys, "_g", "_a", "_w", "_s", *[
+        F.when(whole, F.col(c)).otherwise(F.col(c) + F.col(f"{c}0")).alias(c) for c in names])
+    scored = win.join(_window_extremes(base, keys), [*keys, "_s"])
+    norm = F.greatest(F.col("_fmin") * 0.5, F.least(F.col("_fmax") * 2.0, F.try_divide("_fm", "_mm")))
+    scored = scored.withColumn("_nrm", norm).withColumn(
+        "_chi", F.col("_ff") - F.lit(2.0) * F.col("_nrm") * F.col("_fm") + F.col("_nrm") * F.col("_nrm") * F.col("_mm"))
+    return scored.groupBy(*keys, "_s", "_w").agg(F.min_by("_a", F.struct("_chi", "_g")).alias("_alpha"))
+
+
 def _window_extremes(base: DataFrame, keys: list[str]) -> DataFrame:
     """Lowest and highest flux of each window, from two overlapping power-of-two blocks (sparse table).
 

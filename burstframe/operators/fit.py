@@ -2,7 +2,7 @@
 
 Shape parameters run over a grid, the normalisation (and an offset, if any) has a closed form, so a fit
 is one aggregate of a few sums per (series, grid point) followed by ``min_by``.  The grid is exploded inside
-the scan of the points (no join); refinement rounds explode a small grid around each series' winner.
+the scan of the points (no join); refinement rounds are a pattern search, a small grid around each series' winner.
 Partial sums combine map-side, so the number of points per series does not matter.
 """
 
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burstframe.operators.reuse import keep, spread
 from burstframe.operators.series import attach
 
 TINY = 1e-300
@@ -99,7 +100,7 @@ def _evaluate(points, keys, axes, model, stat, y, err, n_grid, values, norm_boun
     if offset is not None:
         cols["offset"] = offset
     scored = sums.withColumns(cols).filter(F.col("stat").isNotNull() & ~F.isnan("stat"))
-    fields = [*params, *cols, F.col("_n").alias("n_points")]
+    fields = [*params, *cols, F.col("_n").alias("n_points"), *[c for c in per_key_cols if c in ("_level", "_before")]]
     return scored.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct("stat", "_g")).alias("_w")).select(*keys, "_w.*")
 
 
@@ -125,6 +126,8 @@ def profile_fit(
     limits = [v for a in axes for v in (a.lo, a.hi) if isinstance(v, str)]
     bound_cols = [b for bs in (norm_bounds, offset_bounds) if bs for b in bs if isinstance(b, str)]
     per_key = list(dict.fromkeys(limits + bound_cols))
+    # every round scans the points again
+    points = spread(keep(points))
     common = (keys, axes, model, stat, y, err)
     sizes = [a.n for a in axes]
     values = []
@@ -136,19 +139,21 @@ def profile_fit(
     for n in sizes:
         total *= n
     best = _evaluate(points, *common, total, values, norm_bounds, offset_bounds, per_key, allowed)
-    fsizes = [fine] * len(axes)
-    for r in range(1, rounds + 1):
-        centre = best.select(*keys, *[(F.ln(a.name) if a.log else F.col(a.name)).alias(f"_c_{a.name}") for a in axes])
+    # pattern search: move while a neighbour is better, halve (nearly) the steps once the centre wins
+    best = best.withColumn("_level", F.lit(0))
+    for _ in range(rounds):
+        centre = best.select(*keys, "_level", F.col("stat").alias("_before"), *[(F.ln(a.name) if a.log else F.col(a.name)).alias(f"_c_{a.name}") for a in axes])
         near = attach(points, centre, keys)
         values = []
-        for a, s in zip(axes, _strides(fsizes)):
+        for a, s in zip(axes, _strides([fine] * len(axes))):
             i = F.floor(F.col("_g") / F.lit(s)) % F.lit(fine) - F.lit(fine // 2)
-            # five values span the previous step twice over, three values just over one step
-            shrink = 2.0**r if fine > 3 else 1.8**r
-            step = (a.limit("hi") - a.limit("lo")) / F.lit(float(max(a.n - 1, 1)) * shrink)
+            step = (a.limit("hi") - a.limit("lo")) / F.lit(float(max(a.n - 1, 1)) * (fine // 2 + 1)) / F.pow(F.lit(1.8), F.col("_level"))
             v = F.col(f"_c_{a.name}") + i * step
             values.append(F.greatest(a.limit("lo"), F.least(a.limit("hi"), v)))
-        best = _evaluate(near, *common, fine ** len(axes), values, norm_bounds, offset_bounds, per_key, allowed)
+        best = _evaluate(near, *common, fine ** len(axes), values, norm_bounds, offset_bounds, [*per_key, "_level", "_before"], allowed)
+        gained = F.col("_before") - F.col("stat") > F.lit(1e-9) * F.abs("_before")
+        best = best.withColumn("_level", F.col("_level") + F.when(gained, 0).otherwise(1)).drop("_before")
+    best = best.drop("_level")
     seen = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
     out = attach(seen, best, keys, "left")
     ok = (F.col("_np") >= min_points) & F.col("stat").isNotNull()

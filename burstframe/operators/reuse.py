@@ -29,3 +29,12 @@ def discard(spark: SparkSession) -> None:
     """Delete every kept table of this application; frames built on them must not be used again."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan that has fewer partitions than cores one partition per core; larger scans stay as they are.
+
+    For row-heavy work on small files only; ``scan`` must be a plain file scan, so that counting its partitions runs no job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

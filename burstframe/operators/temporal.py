@@ -404,7 +404,9 @@ def cross_correlation_errors(
     tasks = pairs.withColumn("s0", F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1), F.lit(sims_per_task)))).withColumn(
         "ident", F.xxhash64(burst))
     btype = pair.schema[burst].dataType.simpleString()
-    spread = tasks.repartition(F.col(burst), F.col("s0"), F.col("_b"), F.col("_to"))
+    # an explicit count: the simulations are far more work than their input size suggests
+    n_parts = int(pair.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = tasks.repartition(n_parts, burst, "s0", "_b", "_to")
 
     def simulate(frames):
         for f in frames:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from burstframe.functions import text as X
 from burstframe.operators import circulars as C
+from burstframe.operators.reuse import spread
 from burstframe.plans.registry import query, r6
 from burstframe.sources import views as V
 
@@ -40,7 +41,7 @@ def archive(spark, d):
     k, lit = F.col("o_orderkey"), F.lit
     num = lambda c: c.cast("string")
     cat = lambda *a: F.concat(*[lit(x) if isinstance(x, str) else x for x in a])
-    o = V.table(spark, d, "orders")
+    o = spread(V.table(spark, d, "orders"))
     day = F.date_format("o_orderdate", "yyMMdd")
     ev = F.concat(day, F.char(k % 26 + 65))
     trig = F.concat(day, F.lpad(num(k % 1000), 3, "0"))
@@ -158,7 +159,7 @@ FROM documents""")
 def _(spark, d):
     t, m = F.col("text"), X.Matches("text")
     return m.apply(
-        V.table(spark, d, "documents"), "doc_id", X.duration_word(t).alias("classification"),
+        spread(V.table(spark, d, "documents")), "doc_id", X.duration_word(t).alias("classification"),
         F.array_join(X.missions(t), ", ").alias("missions"), X.fermi_trigger(m).alias("trigger_id"))
 
 
@@ -229,7 +230,7 @@ def responses(spark, d):
             .when(k % 6 == 2, F.concat(F.lit("Answer "), p, F.lit(" done } end")))
             .when(k % 6 == 3, F.concat(F.lit("{\"k\": "), F.regexp_extract(p, r"(\d+)", 1), F.lit(",}")))
             .when(k % 6 == 4, F.concat(F.lit("List: ["), p, F.lit("]"))).otherwise(F.lit("nothing here")))
-    return V.table(spark, d, "events").select("event_id", "event_type", text.alias("text"))
+    return spread(V.table(spark, d, "events")).select("event_id", "event_type", text.alias("text"))
 
 
 @query("json_recovery", "", """

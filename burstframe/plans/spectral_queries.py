@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from burstframe.functions import relations as R
 from burstframe.functions import spectral_models as M
+from burstframe.operators.reuse import spread
 from burstframe.plans.registry import query, r6
 from burstframe.sources import views as V
 
@@ -18,7 +19,7 @@ V.DUCK_VIEWS["fit_params"] = (("bursts",), """
 
 def fit_params(spark, d):
     k = F.col("burst_id")
-    return V.bursts(spark, d).select(
+    return spread(V.bursts(spark, d)).select(
         "burst_id", F.when(k % 4 == 0, "Band").when(k % 4 == 1, "CPL").when(k % 4 == 2, "PL").otherwise("BB").alias("model"),
         (F.lit(-0.5) - (k % 10) / 10.0).alias("alpha"), (F.lit(-2.1) - (k % 7) / 10.0).alias("beta"),
         (F.lit(-1.0) - (k % 13) / 10.0).alias("index"), "epeak", (F.lit(0.01) * (k % 5 + 1)).alias("norm"), "redshift",
