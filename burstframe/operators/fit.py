@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstframe.operators.reuse import keep, spread
+from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach
 
 TINY = 1e-300
@@ -104,6 +104,22 @@ def _evaluate(points, keys, axes, model, stat, y, err, n_grid, values, norm_boun
     return scored.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct("stat", "_g")).alias("_w")).select(*keys, "_w.*")
 
 
+ROWS_PER_SLICE = 100_000
+
+
+def _clustered(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Kept copy of the points with each series in one partition, long series cut into slices by hash.
+
+    Every round scans it, and the sums per (series, grid point) then shrink map-side to about one row
+    per series and grid point instead of one per point and grid point.
+    """
+    sizes = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
+    slices = F.ceil(F.col("_np") / F.lit(float(ROWS_PER_SLICE)))
+    rows = attach(points, sizes, keys).withColumn("_slice", F.pmod(F.xxhash64(*points.columns), slices))
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keep(rows.repartition(n, *keys, "_slice").drop("_slice"))
+
+
 def profile_fit(
     points: DataFrame,
     keys: Sequence[str],
@@ -126,8 +142,7 @@ def profile_fit(
     limits = [v for a in axes for v in (a.lo, a.hi) if isinstance(v, str)]
     bound_cols = [b for bs in (norm_bounds, offset_bounds) if bs for b in bs if isinstance(b, str)]
     per_key = list(dict.fromkeys(limits + bound_cols))
-    # every round scans the points again
-    points = spread(keep(points))
+    points = _clustered(points, keys)
     common = (keys, axes, model, stat, y, err)
     sizes = [a.n for a in axes]
     values = []
@@ -154,7 +169,7 @@ def profile_fit(
         gained = F.col("_before") - F.col("stat") > F.lit(1e-9) * F.abs("_before")
         best = best.withColumn("_level", F.col("_level") + F.when(gained, 0).otherwise(1)).drop("_before")
     best = best.drop("_level")
-    seen = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
+    seen = points.groupBy(*keys).agg(F.first("_np").alias("_np"))
     out = attach(seen, best, keys, "left")
     ok = (F.col("_np") >= min_points) & F.col("stat").isNotNull()
     names = [a.name for a in axes] + ["norm"] + (["offset"] if stat == "chi2_offset" else [])
