@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstframe.llm.common import table
+from burstframe.llm.common import crc_of_id, table
 from burstframe.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,24 @@ def op8_url_filters(spark, sf_dir):
     from burstframe.llm.url_filter import judge
 
     return judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    """Language of every document, learned from those that are not held out."""
+    from burstframe.llm.language_id import LanguageId
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.pmod(crc_of_id(), F.lit(4)) == 2)
+    model = LanguageId.train(docs.where(~F.col("held_out")))
+    return model.predict(docs.select("doc_id", "held_out", "text")).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query("op10_bpe")
+def op10_bpe(spark, sf_dir):
+    """Ids and decoded text of every document under the public word-level vocabulary."""
+    import public_tokenizers
+
+    from burstframe.llm.bpe import encode
+
+    out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
