@@ -26,6 +26,7 @@ from burstframe.operators.reuse import keep
 
 SHARD_KEYS = 200_000
 SALTS = 16
+COPIES = 4
 STRIP = WHITE.encode()
 
 
@@ -265,8 +266,11 @@ class LineDedup:
         docs = docs.drop("n_lines", "n_dropped")
         drops = (self._possible(docs).join(self._frequent().select("k1", "k2"), ["k1", "k2"], "left_semi").distinct()
                  .groupBy("t1", "t2").agg(F.collect_list("k1").alias("a"), F.collect_list("k2").alias("b")))
+        drops = drops.withColumn("salt", F.explode(F.array(*[F.lit(s) for s in range(COPIES)])))  # copies of one text go to several tasks
         t1, t2 = text_key(F.col(self.text).cast("string"))
-        rows = docs.select(F.struct("*").alias("r"), t1, t2).join(drops, ["t1", "t2"], "left")
+        others = [F.col(c).cast("string") for c in docs.columns if c != self.text]
+        salt = F.pmod(F.xxhash64(F.lit(0), *others), F.lit(COPIES)).cast("int").alias("salt")
+        rows = docs.select(F.struct("*").alias("r"), t1, t2, salt).join(drops, ["t1", "t2", "salt"], "left")
 
         @F.pandas_udf("n_lines long, n_dropped long, kept string")
         def cut(text: pd.Series, a: pd.Series, b: pd.Series) -> pd.DataFrame:

@@ -135,3 +135,20 @@ def op10_bpe(spark, sf_dir):
 
     out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", "n_tokens", F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op6_repetition")
+def op6_repetition(spark, sf_dir):
+    """Repetition measures and verdict of every document."""
+    from burstframe.llm.repetition import judge
+
+    return judge(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words", "longest_repeat")
+
+
+@query("op9_permutation_index")
+def op9_permutation_index(spark, sf_dir):
+    """Five nearest vectors of every fiftieth vector."""
+    from burstframe.llm.permutation_index import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
