@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from burstframe.operators.reuse import keep
 
 BLOCK, QUERY_BLOCK = 8192, 2048
+#: A block reranks so many members at least.
+FEW = 1024
 
 
 def usable(vector: Column) -> Column:
@@ -58,7 +60,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = 128, prefix: int = 64, rerank: float = 0.2, vec_id: str = "vec_id",
+def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = 128, prefix: int = 64, rerank: float = 0.25, vec_id: str = "vec_id",
            vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows with the largest cosine to each row that ``is_query`` selects, its own row left out.
 
@@ -97,7 +99,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = 128,
             norms = np.linalg.norm(x, axis=1)
             files = Files(permutations(_unit(x), shared.value, prefix), len(shared.value))
             ids = block["ids"].to_numpy()
-            take = min(len(x), max(64, int(np.ceil(rerank * len(x)))))
+            take = min(len(x), max(FEW, int(np.ceil(rerank * len(x)))))
             for h1, h2, q, perm in zip(queries["h1"], queries["h2"], y, permutations(_unit(y), shared.value, prefix)):
                 near = np.argpartition(files.footrule(perm), take - 1)[:take]
                 score = (x[near] @ q) / (norms[near] * np.linalg.norm(q))
