@@ -152,3 +152,11 @@ def op9_permutation_index(spark, sf_dir):
     from burstframe.llm.permutation_index import search
 
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op4_jaccard_tree")
+def op4_jaccard_tree(spark, sf_dir):
+    """Components of documents at 90 % Jaccard similarity of three-word shingles."""
+    from burstframe.llm.jaccard_tree import JaccardJoin
+
+    return JaccardJoin(3, 90, 100).classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
