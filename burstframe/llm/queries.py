@@ -160,3 +160,13 @@ def op4_jaccard_tree(spark, sf_dir):
     from burstframe.llm.jaccard_tree import JaccardJoin
 
     return JaccardJoin(3, 90, 100).classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    from burstframe.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    size = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
+    return out.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
