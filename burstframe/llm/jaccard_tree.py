@@ -1,13 +1,14 @@
 """N-gram Jaccard join with signature trees: near-duplicate components of documents by their word shingles.
 
-Documents with equal sets are one node.  Two sets that link must share one of the first few shingles of each in any common order (prefix
-filter); the order here is rare shingles first, by hash, then those that a bounded sample shows to be frequent.  So only nodes that share a
-prefix shingle can link, and only these have their sets built a second time from their texts.
+Documents with equal sets are one node.  A set that links has all but a few of its shingles in another set.  So among the first shingles of a set in any
+order a known number must stand elsewhere too; the order is by hash, with shingles last that a bounded sample shows to be frequent.  Nodes that
+pass this filter have their sets built a second time from their texts, and now the shingles are counted exactly and ordered by their number
+of nodes: two sets that link share one of the first few shingles of each (prefix filter), rarest first.
 
 Nodes that share a key are joined in one signature tree: leaves in the order of their smallest shingles, inner nodes with the OR of the bitmaps below
 and the range of set sizes.  A dual traversal descends into pairs of tree nodes and drops a pair when the largest overlap that bitmaps and
 sizes allow is too small, or when everything below is linked already; what is left is compared exactly.  The first keys are minimal hashes, which link
-nearly all copies while each set is sent once; the last round takes every prefix shingle whose nodes are not yet in one component,
+nearly all copies while each set is sent once; the last round takes every shared prefix shingle whose nodes are not yet in one component,
 which makes the result complete.  Large groups are cut into blocks that meet in pairs, so a task holds at most two blocks.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstframe.llm.common import arrow_map, as_bytes, blocks, lists, mix64, text_key
@@ -237,6 +238,14 @@ class JaccardJoin:
         #: smallest set that can link to a different one (its partner has one shingle more)
         self.least = next(n for n in range(1, 10 * den) if den * n >= num * (n + 1))
 
+    def _alone(self, n: int) -> int:
+        """How many shingles of a set may be missing in a set that links to it."""
+        return n - -(-self.num * n // self.den)
+
+    def _found(self, n: int) -> int:
+        """How many of the first ``_alone + _found`` shingles must stand in another set."""
+        return max(1, self._alone(n) // 2)
+
     def _rows(self, docs: DataFrame) -> DataFrame:
         text = F.col(self.text).cast("string")
         return docs.select(F.col(self.doc_id).cast("long").alias("id"), text.alias("text"), text_key(text)[0])
@@ -256,7 +265,7 @@ class JaccardJoin:
 
     def _sketch(self, rows: DataFrame) -> DataFrame:
         """Per row: set size, digest, minimal hashes and prefix."""
-        k, num, den, least = self.k, self.num, self.den, self.least
+        k, least = self.k, self.least
         shared = rows.sparkSession.sparkContext.broadcast(self._order(rows))
 
         def step(batch: pa.RecordBatch):
@@ -269,7 +278,7 @@ class JaccardJoin:
                     digest.append(xxhash.xxh3_128_digest(m.tobytes()))
                     if len(m) >= least:
                         keys.append([m[0], *((mix64(m ^ np.uint64(j * 0xA0761D6478BD642F % (1 << 64)))).min() for j in range(1, KEYS))])
-                        prefix.append(order.first(m, len(m) - -(-num * len(m) // den) + 1))
+                        prefix.append(order.first(m, self._alone(len(m)) + self._found(len(m))))
                         at.append(at[-1] + len(prefix[-1]))
                     else:
                         keys.append([0] * KEYS)
@@ -320,13 +329,23 @@ class JaccardJoin:
         first = ["n", *[f"a{j}" for j in range(KEYS)], "prefix"]
         nodes = some.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.min(F.struct("id", "t1")).alias("at"), *[F.first(c).alias(c) for c in first])
         nodes = keep(nodes.withColumn("nid", F.monotonically_increasing_id()))
-        able = nodes.where(F.col("n") >= self.least)
-        tokens = able.select("nid", "n", F.explode("prefix").alias("key"))
+        n = F.col("n")
+        alone = n - F.ceil(n * F.lit(self.num) / F.lit(float(self.den)) - F.lit(1e-9))
+        found = F.greatest(F.lit(1), F.floor(alone / 2))
+        able = nodes.where(n >= self.least)
+        tokens = able.select("nid", F.explode("prefix").alias("key"))
         twice = tokens.groupBy("key").count().where("count > 1").select("key")
-        tokens = keep(tokens.join(twice, "key", "left_semi"))
-        able = able.join(tokens.select("nid").distinct(), "nid", "left_semi")
+        hits = tokens.join(twice, "key", "left_semi").groupBy("nid").count()
+        able = able.join(hits, "nid").where(F.col("count") >= found)
         able = keep(able.select("nid", "n", F.col("at.id").alias("id"), F.col("at.t1").alias("t1"), *[f"a{j}" for j in range(KEYS)]))
         members = keep(self._sets(rows, able))
+        tokens = members.select("nid", "n", F.explode("members").alias("key"))
+        twice = tokens.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+        rare = Window.partitionBy("nid").orderBy("df", "key")
+        ranked = tokens.join(twice, "key").withColumns({"i": F.row_number().over(rare), "common": F.count("*").over(Window.partitionBy("nid"))})
+        # shingles of one node only come first; where they fill the prefix the node cannot link
+        tokens = keep(ranked.where(F.col("i") <= alone + 1 - (n - F.col("common"))).select("nid", "n", "key"))
+        able = keep(able.join(tokens.select("nid").distinct(), "nid", "left_semi"))
         comps = able.select("nid", F.col("nid").alias("comp"))
         links = None
         minimal = [able.select("nid", "n", F.col(f"a{j}").alias("key")) for j in range(KEYS)]

@@ -170,3 +170,14 @@ def op7_suffix_dedup(spark, sf_dir):
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
     size = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
     return out.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark, sf_dir):
+    """Base and model log10 probability of every document."""
+    import public_tokenizers
+
+    from burstframe.llm.lm_scoring import score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.pmod(crc_of_id(), F.lit(5)) == 1).alias("held_out"))
+    return score(docs, ~F.col("held_out"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
