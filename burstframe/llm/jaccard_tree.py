@@ -308,8 +308,10 @@ class JaccardJoin:
     def _round(self, keyed: DataFrame, comps: DataFrame, members: DataFrame) -> DataFrame:
         """Links among nodes that share a key (key, nid), for keys whose nodes are in several components."""
         rows = keyed.join(comps, "nid")
-        mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("total")).where("x != y")
-        mixed = mixed.select("key", F.ceil(F.col("total") / F.lit(BLOCK)).cast("int").alias("parts"))
+        marks = [F.sum(F.xxhash64(F.lit(i), "nid").cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("total"), F.count("*").alias("m"), *marks).where("x != y")
+        mixed = mixed.groupBy("m", "h0", "h1").agg(F.min(F.struct("key", "total")).alias("g"))  # keys of the same nodes: once
+        mixed = mixed.select("g.key", F.ceil(F.col("g.total") / F.lit(BLOCK)).cast("int").alias("parts"))
         part = F.pmod("nid", "parts").cast("int")
         dealt = rows.join(mixed, "key").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         dealt = dealt.select("key", F.least(part, "o").alias("i"), F.greatest(part, "o").alias("j"), "nid", "comp")

@@ -20,6 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ GRAM = 36
 #: Bytes that one vectorised step takes: a long text is cut into pieces that overlap by a window.
 PIECE = 512 << 10
 #: Bytes of regions in a shard; regions of one anchor beyond PART rows are cut into several shards.
-SHARD, PART = 1 << 20, 20_000
+SHARD, PART = 2 << 20, 20_000
 #: Tasks that the rows of one text's copies are dealt to.
 COPIES = 4
 BASE = 0x9E3779B97F4A7C15
@@ -130,45 +131,43 @@ def suffix_ranks(data: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     for i in range(8):
         key = key << np.uint64(8) | padded[i : i + n]
     places = np.arange(n)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     s = key[order]
     new = np.ones(n, bool)
     new[1:] = s[1:] != s[:-1]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, places, 0))
-    rank = np.where(places + 8 <= ends, rank, n + places)
     open_ = np.flatnonzero(places + 8 <= ends)  # suffixes that may share their rank
+    rank = np.where(places + 8 <= ends, rank, n + places)
     h = 8
     while h < depth:
-        short = places[open_] + 2 * h > ends[open_]
-        rank_next = rank.copy()
-        rank_next[open_[short]] = n + open_[short]
-        open_ = open_[~short]
-        first, second = rank[open_], rank[open_ + h]
-        by = np.lexsort((second, first))
-        f, s2, o = first[by], second[by], open_[by]
-        same_group = np.zeros(len(o), bool)
-        same_group[1:] = f[1:] == f[:-1]
-        split = ~same_group
-        split[1:] |= s2[1:] != s2[:-1]
-        group = np.maximum.accumulate(np.where(~same_group, np.arange(len(o)), 0))
-        begin = np.maximum.accumulate(np.where(split, np.arange(len(o)), 0))
-        rank_next[o] = f + (begin - group)
-        alone = split & np.append(split[1:], True)
-        shared = np.sort(o[~alone])
-        rank = rank_next
+        after = rank.copy()
+        long = places[open_] + 2 * h <= ends[open_]
+        after[open_[~long]] = n + open_[~long]
+        open_ = open_[long]
+        both = rank[open_] * (2 * n) + rank[open_ + h]  # only what still shares a rank is sorted again
+        by = np.argsort(both)
+        f, b, o = rank[open_][by], both[by], open_[by]
+        begins, split = np.ones(len(o), bool), np.ones(len(o), bool)
+        begins[1:], split[1:] = f[1:] != f[:-1], b[1:] != b[:-1]
+        i = np.arange(len(o))
+        after[o] = f + np.maximum.accumulate(np.where(split, i, 0)) - np.maximum.accumulate(np.where(begins, i, 0))
+        shared = np.zeros(n, bool)
+        shared[o[~(split & np.append(split[1:], True))]] = True
+        rank, open_ = after, np.flatnonzero(shared)
         h *= 2
-        open_ = shared if h >= depth else np.union1d(shared, shared)  # refined: only what still shares a rank
     return rank
 
 
-def prefixes_by_kasai(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, before: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
-    """Common prefix (up to ``length``) of each wanted suffix with its predecessor in the order (-1: none).
+def prefixes_by_kasai(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, before: np.ndarray, rank: np.ndarray, least: int, length: int) -> np.ndarray:
+    """Common prefix (up to ``length``) of each wanted suffix with its predecessor in the order, which shares ``least`` bytes (-1: none does).
 
     Kasai's rule: one place to the right at least one byte less is common, if the suffix there is sorted before this one too (suffixes are sorted by
     ``length`` bytes only; ``rank`` is the place in the order, -1 for unwanted ones).  All regions take the step to their next place together.
     """
     out = np.zeros(len(data), np.int64)
+    wide = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
+    four = (wide[:-4] << np.uint32(24) | wide[1:-3] << np.uint32(16) | wide[2:-2] << np.uint32(8) | wide[3:-1])
     held = np.zeros(len(starts), np.int64)
     prev = np.full(len(starts), -1, np.int64)
     for step in range(int(counts.max(initial=0))):
@@ -177,8 +176,12 @@ def prefixes_by_kasai(data: np.ndarray, starts: np.ndarray, counts: np.ndarray,
         q = before[p]
         other = rank[np.minimum(prev[live] + 1, len(data) - 1)]
         follows = (prev[live] >= 0) & (other >= 0) & (other < rank[p])
-        l = np.where(follows, np.maximum(held[live] - 1, 0), 0)
-        l[q < 0] = 0
+        l = np.where(q < 0, 0, np.where(follows, np.maximum(held[live] - 1, least), least))
+        todo = np.flatnonzero((q >= 0) & (l + 4 <= length))
+        while len(todo):  # four bytes at a time
+            same = four[p[todo] + l[todo]] == four[q[todo] + l[todo]]
+            l[todo] += 4 * same
+            todo = todo[same & (l[todo] + 4 <= length)]
         todo = np.flatnonzero((q >= 0) & (l < length))
         while len(todo):
             same = data[p[todo] + l[todo]] == data[q[todo] + l[todo]]
@@ -204,12 +207,13 @@ class Shard:
             depth *= 2
         rank = suffix_ranks(self.data, ends, depth)
         w = np.flatnonzero(wanted)
-        self.order = w[np.lexsort((rank[w + length - depth], rank[w]))]
+        self.order = w[np.argsort(rank[w] * (2 * len(places)) + rank[w + length - depth])]
         before = np.full(len(places), -1, np.int64)
-        before[self.order[1:]] = self.order[:-1]
+        close = rank[self.order[1:]] == rank[self.order[:-1]]  # others share fewer than depth bytes
+        before[self.order[1:][close]] = self.order[:-1][close]
         placed = np.full(len(places), -1, np.int64)
         placed[self.order] = np.arange(len(self.order))
-        lcp = prefixes_by_kasai(self.data, self.at, sizes - length + 1, before, placed, length)
+        lcp = prefixes_by_kasai(self.data, self.at, sizes - length + 1, before, placed, depth, length)
         self.run = np.cumsum(lcp[self.order] < length) - 1
         region = self.of[self.order]
         self.key = ids[region], texts[region], starts[region] + self.order - self.at[region]
@@ -217,10 +221,14 @@ class Shard:
 
     def leaders(self) -> np.ndarray:
         """Per run of equal windows the place (in the order) of the earliest."""
-        by = np.lexsort((*self.key[::-1], self.run))
+        sizes = np.bincount(self.run)
+        lead = np.cumsum(sizes) - sizes
+        several = np.flatnonzero(sizes[self.run] > 1)
+        by = several[np.lexsort((*(k[several] for k in self.key[::-1]), self.run[several]))]
         first = np.ones(len(by), bool)
         first[1:] = self.run[by][1:] != self.run[by][:-1]
-        return by[first]
+        lead[self.run[by[first]]] = by[first]
+        return lead
 
     def covered(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, start, end) of what later windows cover."""
@@ -265,14 +273,15 @@ def _resolve(length: int):
 
         def flush():
             rows = pa.Table.from_batches(held)
-            regions = rows.column("region").to_pylist()
+            regions = rows.column("region").combine_chunks()
+            sizes = pc.binary_length(regions).to_numpy()
             key, part, parts, d1, ids, text, start = (rows.column(c).to_numpy() for c in ("key", "part", "parts", "d1", "id", "t1", "s"))
             by = np.lexsort((start, text, ids, d1, part, key))
             same = np.zeros(len(by), bool)  # an equal region of the same anchor came earlier
             same[1:] = (key[by][1:] == key[by][:-1]) & (d1[by][1:] == d1[by][:-1])
             again, first = by[same], by[~same]
             if len(again):
-                yield _spans(text[again], start[again], start[again] + np.array([len(regions[i]) for i in again]))
+                yield _spans(text[again], start[again], start[again] + sizes[again])
             k = np.stack([key[first], part[first]])
             several = np.zeros(len(first), bool)
             several[1:] |= (k[:, 1:] == k[:, :-1]).all(0)
@@ -280,7 +289,7 @@ def _resolve(length: int):
             first = first[several | (parts[first] > 1)]
             if not len(first):
                 return
-            shard = Shard([regions[i] for i in first], ids[first], text[first], start[first], length)
+            shard = Shard(regions.take(pa.array(first)).to_pylist(), ids[first], text[first], start[first], length)
             yield _spans(*shard.covered())
             if (parts[first] > 1).any():
                 lead = shard.leaders()
@@ -298,7 +307,7 @@ def _resolve(length: int):
                 batch = batch.filter(pa.array(~e))
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "part")], axis=1)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
-            lengths = np.cumsum(np.concatenate([[0], [len(x) for x in batch.column("region").to_pylist()]]))
+            lengths = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("region")).to_numpy())])
             begin = 0
             for s, t in zip(cuts, cuts[1:]):
                 if s == t:
@@ -367,6 +376,17 @@ def _before(ids, text, start, a, b) -> np.ndarray:
     return (ids[a] < ids[b]) | ((ids[a] == ids[b]) & ((text[a] < text[b]) | ((text[a] == text[b]) & (start[a] < start[b]))))
 
 
+def _merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Overlapping spans (text, start, end) of a text as one."""
+    out: list[tuple[int, int, int]] = []
+    for t, s, e in sorted(spans):
+        if out and out[-1][0] == t and s <= out[-1][2]:
+            out[-1] = t, out[-1][1], max(e, out[-1][2])
+        else:
+            out.append((t, s, e))
+    return out
+
+
 def covered_spans(rows: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """(t1, s, e): covered byte ranges, which may overlap, of the first row of each text.
 
@@ -410,6 +430,7 @@ def covered_spans(rows: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
                 else:
                     seen[k, d] = None
                     found.append((k, d % int(n[j]), int(n[j]), d, me, t, s, region))
+        spans = _merged(spans)
         f = list(zip(*found)) or [[] for _ in range(8)]
         t, s, e = list(zip(*spans)) or ([], [], [])
         m, n = len(found), len(spans)
