@@ -235,6 +235,7 @@ class JaccardJoin:
 
     def __init__(self, k: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text"):
         self.k, self.num, self.den, self.doc_id, self.text = k, num, den, doc_id, text
+        self.part = max(1, k - 1)
         #: smallest set that can link to a different one (its partner has one shingle more)
         self.least = next(n for n in range(1, 10 * den) if den * n >= num * (n + 1))
 
@@ -243,8 +244,8 @@ class JaccardJoin:
         return n - -(-self.num * n // self.den)
 
     def _found(self, n: int) -> int:
-        """How many of the first ``_alone + _found`` shingles must stand in another set."""
-        return max(1, self._alone(n) // 2)
+        """How many of the first ``_alone + _found`` shingles must stand in another set; longer shingles seldom do by chance."""
+        return max(1, self._alone(n) // self.part)
 
     def _rows(self, docs: DataFrame) -> DataFrame:
         text = F.col(self.text).cast("string")
@@ -319,7 +320,7 @@ class JaccardJoin:
         return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_join_groups(self.num, self.den), "a long, b long")
 
     def classes(self, docs: DataFrame) -> DataFrame:
-        """(id, n_shingles, component_id) for every row of ``docs``.
+        """(id, n_shingles, component_id, t1) for every row of ``docs``; t1 is a hash of the text.
 
         The component is the smallest id that links reach, the row's own included; rows without words are linked with nothing and keep their
         own id.  Null ids take part in links but name no component unless there is no other id (then null).  Rows that repeat
@@ -333,7 +334,7 @@ class JaccardJoin:
         nodes = keep(nodes.withColumn("nid", F.monotonically_increasing_id()))
         n = F.col("n")
         alone = n - F.ceil(n * F.lit(self.num) / F.lit(float(self.den)) - F.lit(1e-9))
-        found = F.greatest(F.lit(1), F.floor(alone / 2))
+        found = F.greatest(F.lit(1), F.floor(alone / self.part))
         able = nodes.where(n >= self.least)
         tokens = able.select("nid", F.explode("prefix").alias("key"))
         twice = tokens.groupBy("key").count().where("count > 1").select("key")
@@ -369,12 +370,18 @@ class JaccardJoin:
         else:
             named = named.withColumn("component_id", F.col("least"))
         named = named.select("d1", "d2", "component_id")
-        out = some.select("id", "n", "d1", "d2").join(named, ["d1", "d2"]).select("id", "n", "component_id")
-        return out.unionAll(sketch.where("n = 0").select("id", "n", F.col("id").alias("component_id"))).withColumnRenamed("n", "n_shingles")
+        out = some.select("id", "n", "d1", "d2", "t1").join(named, ["d1", "d2"]).select("id", "n", "component_id", "t1")
+        return out.unionAll(sketch.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "t1")).withColumnRenamed("n", "n_shingles")
 
     def representatives(self, docs: DataFrame) -> DataFrame:
-        """The documents that name their component: one of each group, with all columns.  Rows that repeat an id count once."""
-        kept = self.classes(docs).where("id <=> component_id").select("id").distinct()
-        key = F.col(self.doc_id).cast("long")
-        return docs.join(kept, key.eqNullSafe(F.col("id")), "left_semi").dropDuplicates([self.doc_id])
+        """One document of each component, with all columns: that of the smallest id.
 
+        Rows that repeat an id count once.  Rows without an id stay if their component has no id at all, one for each text.
+        """
+        rows = keep(self.classes(docs))
+        named = rows.where("id = component_id").select(F.col("id").alias("__id")).distinct()
+        key = F.col(self.doc_id)
+        out = docs.where(key.isNotNull()).join(named, key == F.col("__id"), "left_semi").dropDuplicates([self.doc_id])
+        bare = rows.where("id IS NULL AND component_id IS NULL").select(F.col("t1").alias("__t1")).distinct()
+        rest = docs.where(key.isNull()).withColumn("__t", text_key(F.col(self.text).cast("string"))[0])
+        return out.unionAll(rest.join(bare, F.col("__t") == F.col("__t1"), "left_semi").dropDuplicates(["__t"]).select(*docs.columns))
