@@ -9,7 +9,8 @@ Nodes that share a key are joined in one signature tree: leaves in the order of
 and the range of set sizes.  A dual traversal descends into pairs of tree nodes and drops a pair when the largest overlap that bitmaps and
 sizes allow is too small, or when everything below is linked already; what is left is compared exactly.  The first keys are minimal hashes, which link
 nearly all copies while each set is sent once; the last round takes every shared prefix shingle whose nodes are not yet in one component,
-which makes the result complete.  Large groups are cut into blocks that meet in pairs, so a task holds at most two blocks.
+which makes the result complete.  Nodes that meet under several keys are joined once, in the tree of their family, unless that is larger
+than a block.  Large groups are cut into blocks that meet in pairs, so a task holds at most two blocks.
 """
 
 from __future__ import annotations
@@ -235,7 +236,7 @@ class JaccardJoin:
 
     def __init__(self, k: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text"):
         self.k, self.num, self.den, self.doc_id, self.text = k, num, den, doc_id, text
-        self.part = max(1, k - 1)
+        self.share = 0.5 ** max(0, k - 3)
         #: smallest set that can link to a different one (its partner has one shingle more)
         self.least = next(n for n in range(1, 10 * den) if den * n >= num * (n + 1))
 
@@ -245,7 +246,7 @@ class JaccardJoin:
 
     def _found(self, n: int) -> int:
         """How many of the first ``_alone + _found`` shingles must stand in another set; longer shingles seldom do by chance."""
-        return max(1, self._alone(n) // self.part)
+        return max(1, int(self._alone(n) * self.share))
 
     def _rows(self, docs: DataFrame) -> DataFrame:
         text = F.col(self.text).cast("string")
@@ -306,16 +307,28 @@ class JaccardJoin:
         texts = rows.join(w, (F.col("t1") == F.col("wt")) & F.col("id").eqNullSafe(F.col("wid"))).select("nid", "text")
         return arrow_map(texts, "nid long, n long, members array<long>", step)
 
-    def _round(self, keyed: DataFrame, comps: DataFrame, members: DataFrame) -> DataFrame:
+    def _round(self, keyed: DataFrame, comps: DataFrame, members: DataFrame, overlapping: bool) -> DataFrame:
         """Links among nodes that share a key (key, nid), for keys whose nodes are in several components."""
         rows = keyed.join(comps, "nid")
         marks = [F.sum(F.xxhash64(F.lit(i), "nid").cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
         mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("total"), F.count("*").alias("m"), *marks).where("x != y")
-        mixed = mixed.groupBy("m", "h0", "h1").agg(F.min(F.struct("key", "total")).alias("g"))  # keys of the same nodes: once
-        mixed = mixed.select("g.key", F.ceil(F.col("g.total") / F.lit(BLOCK)).cast("int").alias("parts"))
-        part = F.pmod("nid", "parts").cast("int")
-        dealt = rows.join(mixed, "key").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.select("key", F.least(part, "o").alias("i"), F.greatest(part, "o").alias("j"), "nid", "comp")
+        mixed = mixed.groupBy("m", "h0", "h1").agg(F.min(F.struct("key", "total")).alias("g")).select("g.*")  # keys of the same nodes: once
+        rows = rows.join(mixed, "key").select("key", "nid", "comp", "n", "total")
+        if overlapping:  # nodes that share several keys meet once, in their family, unless it is too large
+            rows = keep(rows)
+            first = rows.groupBy("key").agg(F.min("nid").alias("b"))
+            family = keep(components(rows.join(first, "key").select(F.col("nid").alias("a"), "b")))
+            sized = family.select(F.col("node").alias("nid"), F.col("root").alias("family")).join(rows.select("nid", "comp", "n").distinct(), "nid")
+            small = sized.groupBy("family").agg(F.sum("n").alias("total")).where(F.col("total") <= BLOCK)
+            rest = sized.select("nid", "family").join(small, "family", "left_anti").select("nid")
+            whole = sized.join(small, "family").select(F.col("family").alias("key"), "nid", "comp", "n", "total", F.lit(0).alias("kind"))
+            rows = whole.unionAll(rows.join(rest, "nid", "left_semi").select("key", "nid", "comp", "n", "total", F.lit(1).alias("kind")))
+        else:
+            rows = rows.withColumn("kind", F.lit(1))
+        parts = F.ceil(F.col("total") / F.lit(BLOCK)).cast("int")
+        part = F.pmod("nid", parts).cast("int")
+        dealt = rows.withColumn("o", F.explode(F.sequence(F.lit(0), parts - 1)))
+        dealt = dealt.select(F.xxhash64("kind", "key").alias("key"), F.least(part, "o").alias("i"), F.greatest(part, "o").alias("j"), "nid", "comp")
         dealt = dealt.join(members.select("nid", "members"), "nid").select("key", "i", "j", "nid", "comp", "members")
         return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_join_groups(self.num, self.den), "a long, b long")
 
@@ -334,7 +347,7 @@ class JaccardJoin:
         nodes = keep(nodes.withColumn("nid", F.monotonically_increasing_id()))
         n = F.col("n")
         alone = n - F.ceil(n * F.lit(self.num) / F.lit(float(self.den)) - F.lit(1e-9))
-        found = F.greatest(F.lit(1), F.floor(alone / self.part))
+        found = F.greatest(F.lit(1), F.floor(alone * self.share))
         able = nodes.where(n >= self.least)
         tokens = able.select("nid", F.explode("prefix").alias("key"))
         twice = tokens.groupBy("key").count().where("count > 1").select("key")
@@ -355,8 +368,8 @@ class JaccardJoin:
         others = minimal[1]
         for m in minimal[2:]:
             others = others.unionAll(m)
-        for keyed in (minimal[0], others, tokens):
-            new = keep(self._round(keyed, comps, members))
+        for keyed, overlapping in ((minimal[0], False), (others, True), (tokens, True)):
+            new = keep(self._round(keyed, comps, members, overlapping))
             if new.isEmpty():
                 continue
             links = keep(components(new if links is None else links.unionAll(new))).select(F.col("node").alias("a"), F.col("root").alias("b"))
