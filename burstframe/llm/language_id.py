@@ -257,6 +257,6 @@ class LanguageId:
         far: Column = F.lit(False)
         n, h = F.col("__lid.n"), F.col("__lid.h")
         for name, limit in self.limits.items():
-            far = far | ((F.col("__lid.best") == name) & (h > limit + SLACK / F.sqrt(n)))
+            far = far | ((F.col("__lid.best") == name) & (h > limit + SLACK / F.sqrt(F.greatest(n, F.lit(1)))))
         return out.withColumns({"lang_pred": F.col("__lid.best"), "score": F.col("__lid.score"), "cross_entropy": h,
                                 "rejected": (n == 0) | F.coalesce(far, F.lit(False))}).drop("__lid")
