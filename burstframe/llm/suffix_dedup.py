@@ -109,15 +109,13 @@ def _all_anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarra
     for held in _cut(texts, length):
         piece, place, h = anchors([p for p, _, _ in held], length)
         rows, offsets = (np.array([x[i] for x in held], np.int64) for i in (1, 2))
-        row, place = rows[piece], place + offsets[piece]
-        first = np.ones(len(row), bool)  # pieces overlap
-        if len(held) > len(set(rows.tolist())):
-            _, i = np.unique(np.stack([row, place]), axis=1, return_index=True)
-            first[:] = False
-            first[i] = True
-        for o, v in zip(out, (row[first], place[first], h[first])):
+        for o, v in zip(out, (rows[piece], place + offsets[piece], h)):
             o.append(v)
-    return tuple(np.concatenate(o) for o in out)
+    row, place, h = (np.concatenate(o) for o in out)
+    if any(len(t) > PIECE for t in texts):  # pieces of a text overlap
+        _, i = np.unique(np.stack([row, place]), axis=1, return_index=True)
+        row, place, h = row[i], place[i], h[i]
+    return row, place, h
 
 
 def suffix_ranks(data: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
@@ -279,7 +277,9 @@ def _resolve(length: int):
             by = np.lexsort((start, text, ids, d1, part, key))
             same = np.zeros(len(by), bool)  # an equal region of the same anchor came earlier
             same[1:] = (key[by][1:] == key[by][:-1]) & (d1[by][1:] == d1[by][:-1])
-            again, first = by[same], by[~same]
+            own = np.zeros(len(by), bool)  # and is the same one: a repeated row
+            own[1:] = (text[by][1:] == text[by][:-1]) & (start[by][1:] == start[by][:-1])
+            again, first = by[same & ~own], by[~same]
             if len(again):
                 yield _spans(text[again], start[again], start[again] + sizes[again])
             k = np.stack([key[first], part[first]])
@@ -425,10 +425,11 @@ def covered_spans(rows: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
                 s = max(0, at - (length - GRAM))
                 region = text[s : at + length]
                 d = int.from_bytes(xxhash.xxh3_64_digest(region, seed=at - s), "little", signed=True)
-                if (k, d) in seen:  # all of an equal region's windows start earlier there
-                    spans.append((t, s, s + len(region)))
+                if (k, d) in seen:  # all of an equal region's windows start earlier there, unless it is this one (a repeated row)
+                    if seen[k, d] != (t, s):
+                        spans.append((t, s, s + len(region)))
                 else:
-                    seen[k, d] = None
+                    seen[k, d] = t, s
                     found.append((k, d % int(n[j]), int(n[j]), d, me, t, s, region))
         spans = _merged(spans)
         f = list(zip(*found)) or [[] for _ in range(8)]
