@@ -18,7 +18,7 @@ HEADLINE = [
     "discrete_cross_correlation", "burst_duration_and_class", "net_count_durations", "polynomial_background", "detector_selection",
     "power_law_decay_grid", "jet_break_detection", "power_law_spectrum_grid", "energy_and_photon_flux", "full_classification",
     "epeak_eiso_least_squares", "population_comparison", "gravitational_wave_cross_match", "burst_info", "trigger_resolution",
-    "json_recovery", "bayesian_blocks_measured",
+    "json_recovery", "bayesian_blocks_measured", "broken_power_law_fit", "band_spectrum_fit", "spectral_lag_peak_fit", "mixture_fit_full",
 ]
 
 

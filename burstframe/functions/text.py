@@ -155,10 +155,12 @@ def json_value(text: Column) -> Column:
         rest = F.substr(text, at)
         ends = F.size(F.split(rest, closing if closing == "}" else r"\]")) - 1
         widths = F.when((at > 0) & (ends > 0), F.sequence(ends, F.lit(1), F.lit(-1)))
-        tries = F.transform(
-            widths, lambda k: F.concat(F.call_function("substring_index", rest, F.lit(closing), k), F.lit(closing)))
-        valid = F.filter(tries, lambda s: F.try_parse_json(s).isNotNull())
-        return F.try_parse_json(F.get(valid, F.lit(0)))
+
+        def widest(found: Column, k: Column) -> Column:  # one candidate at a time; none after the first valid one
+            part = F.concat(F.call_function("substring_index", rest, F.lit(closing), k), F.lit(closing))
+            return F.coalesce(found, F.when(F.try_parse_json(part).isNotNull(), part))
+
+        return F.try_parse_json(F.aggregate(widths, F.lit(None).cast("string"), widest))
 
     repaired = F.regexp_replace(text, r",(\s*[}\]])", "$1")
     return F.coalesce(F.try_parse_json(text), F.try_parse_json(fence), from_first("{", "}"), from_first("[", "]"),

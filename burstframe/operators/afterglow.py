@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstframe.operators.fit import Axis, curvature_errors, profile_fit
-from burstframe.operators.reuse import keep, spread
+from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach, running_sums, with_position
 
 KEYS = ("burst_id",)
@@ -24,12 +24,12 @@ def _with_norm_range(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def power_law_decay(
-    points: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 5, t0: float = 0.0, n: int = 99, errors: bool = False
+    points: DataFrame, keys: Sequence[str] = KEYS, refine: bool = True, t0: float = 0.0, n: int = 99, errors: bool = False
 ) -> DataFrame:
     """flux = F0 (t - t0)^-a, a in [0.1, 5], F0 between half the lowest and twice the highest flux."""
     src = points.withColumn("t", F.col("t") - F.lit(t0)) if t0 else points
     src = _with_norm_range(src, keys)
-    fit = profile_fit(src, keys, [Axis("decay_index", 0.1, 5.0, n)], _decay, rounds=rounds, norm_bounds=("_f_lo", "_f_hi"))
+    fit = profile_fit(src, keys, [Axis("decay_index", 0.1, 5.0, n)], _decay, refine=refine, norm_bounds=("_f_lo", "_f_hi"))
     fit = fit.withColumn("dof", F.col("n_points") - 2)
     if errors:
         fit = attach(fit, curvature_errors(src, keys, fit, ["decay_index"], _decay), keys, "left")
@@ -50,7 +50,7 @@ def _at(pos: Column, value: str) -> Column:
     return F.when(F.col("pos") == pos, F.col(value))
 
 
-def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 8) -> DataFrame:
+def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """f0 [(t/tb)^(a1 s) + (t/tb)^(a2 s)]^(-1/s) with f0 the first flux; needs numbered rows."""
     pts = _anchors(rows.filter("n >= 4"), keys, {
         "_f0": _at(F.lit(0), "flux"), "_tlo": _at(F.lit(1), "t"), "_thi": _at(F.col("n") - 2, "t")})
@@ -61,11 +61,11 @@ def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int =
 
     axes = [Axis("alpha1", 0.1, 3.0, 5), Axis("alpha2", 1.0, 5.0, 5), Axis("t_break", "_tlo", "_thi", 6, True),
             Axis("smoothness", 0.5, 5.0, 3, True)]
-    fit = profile_fit(pts, keys, axes, model, rounds=rounds, fine=3, norm_bounds=(1.0, 1.0), min_points=4)
+    fit = profile_fit(pts, keys, axes, model, norm_bounds=(1.0, 1.0), min_points=4)
     return fit.withColumn("dof", F.col("n_points") - 4).withColumnRenamed("stat", "chi_sq")
 
 
-def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 4) -> DataFrame:
+def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Three power laws through the first flux at the first break."""
     pts = _anchors(rows.filter("n >= 6"), keys, {
         "_f0": _at(F.lit(0), "flux"), "_t1": _at(F.lit(1), "t"), "_t2": _at(F.lit(2), "t"),
@@ -81,32 +81,20 @@ def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS, rounds:
 
     axes = [Axis("alpha1", 0.1, 3.0, 4), Axis("alpha2", 0.5, 3.0, 4), Axis("alpha3", 1.0, 5.0, 4),
             Axis("t_break1", "_t1", "_t3", 4, True), Axis("t_break2", "_t2", "_t4", 4, True)]
-    fit = profile_fit(pts, keys, axes, model, rounds=rounds, fine=3, norm_bounds=(1.0, 1.0), min_points=6)
+    fit = profile_fit(pts, keys, axes, model, norm_bounds=(1.0, 1.0), min_points=6)
     return fit.withColumn("dof", F.col("n_points") - 5).withColumnRenamed("stat", "chi_sq")
 
 
-SHORT_WINDOW = 16
-
-
-def detect_plateau(
-    rows: DataFrame, keys: Sequence[str] = KEYS, n_grid: int = 99, short_window: int = SHORT_WINDOW
-) -> DataFrame:
+def detect_plateau(rows: DataFrame, keys: Sequence[str] = KEYS, n_grid: int = 99) -> DataFrame:
     """Sliding-window decay fits; plateau where the index is under 0.5.
 
-    A window holds max(3, n // 10) points, so it grows with the series.  Short windows copy each point to the
-    windows that hold it; longer ones add running sums (see :func:`_long_window_indices`), so a long series is
-    never multiplied by its window.
+    A window holds max(3, n // 10) points, so it grows with the series; a window's sums are two running sums
+    added (see :func:`_window_indices`), so a series is never multiplied by its window.
     """
     keys = list(keys)
     w = F.greatest(F.lit(3), F.floor(F.col("n") / 10)).cast("long")
     base = keep(rows.filter("n >= 10").select(*keys, "pos", "n", "t", "flux", "flux_err").withColumn("_w", w))
-    short = base.filter(F.col("_w") <= short_window).withColumn("_s", F.explode(F.sequence(
-        F.greatest(F.col("pos") - F.col("_w") + 1, F.lit(0)), F.col("pos")))).filter(F.col("_s") < F.col("n") - F.col("_w"))
-    fits = power_law_decay(short.drop("_w"), [*keys, "_s"], rounds=0, n=n_grid)
-    best = fits.select(*keys, "_s", F.col("n_points").alias("_w"), F.col("decay_index").alias("_alpha"))
-    long = base.filter(F.col("_w") > short_window)
-    if not long.isEmpty():
-        best = best.unionByName(_long_window_indices(long, keys, n_grid))
+    best = _window_indices(base, keys, n_grid)
     flat = best.filter("abs(_alpha) < 0.5").select(*keys, (F.col("_s") + F.floor(F.col("_w") / 2)).alias("pos"), "_alpha")
     mid = flat.join(base.select(*keys, "pos", "t"), [*keys, "pos"])
     span = keep(mid.groupBy(*keys).agg(F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.avg("_alpha").alias("mean_alpha")))
@@ -117,13 +105,13 @@ def detect_plateau(
         "has_plateau", F.col("start_time").isNotNull())
 
 
-def _long_window_indices(base: DataFrame, keys: list[str], n_grid: int) -> DataFrame:
+def _window_indices(base: DataFrame, keys: list[str], n_grid: int) -> DataFrame:
     """Best index per window from running sums.
 
     The series is cut into blocks of one window length; a window is the tail of one block plus the head of the next, so
     its sums are a backward plus a forward running sum and nothing is subtracted.
     """
-    grid = spread(base).withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1)))).withColumn(
+    grid = base.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1)))).withColumn(
         "_a", F.lit(0.1) + F.lit(4.9) * F.col("_g") / F.lit(n_grid - 1.0))
     m, wt = F.pow(F.col("t"), -F.col("_a")), F.lit(1.0) / (F.col("flux_err") * F.col("flux_err"))
     grid = keep(grid.select(
@@ -179,12 +167,12 @@ def _window_extremes(base: DataFrame, keys: list[str]) -> DataFrame:
     return out
 
 
-def detect_jet_break(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 0, n_grid: int = 99) -> DataFrame:
+def detect_jet_break(rows: DataFrame, keys: Sequence[str] = KEYS, refine: bool = True, n_grid: int = 99) -> DataFrame:
     """Decay index of both halves; break at the first time of the second half when they differ by > 0.5."""
     keys = list(keys)
     split = F.floor(F.col("n") / 2)
     halves = rows.filter("n >= 20").withColumn("_half", F.when(F.col("pos") < split, 0).otherwise(1))
-    fits = power_law_decay(halves, [*keys, "_half"], rounds=rounds, n=n_grid)
+    fits = power_law_decay(halves, [*keys, "_half"], refine=refine, n=n_grid)
     wide = fits.groupBy(*keys).agg(
         F.max(F.when(F.col("_half") == 0, F.col("decay_index"))).alias("alpha_before"),
         F.max(F.when(F.col("_half") == 1, F.col("decay_index"))).alias("alpha_after"))
@@ -199,15 +187,15 @@ def detect_jet_break(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int =
         F.when(has, diff).alias("steepening"))
 
 
-def reverse_shock(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 0, n_grid: int = 99) -> DataFrame:
+def reverse_shock(rows: DataFrame, keys: Sequence[str] = KEYS, refine: bool = True, n_grid: int = 99) -> DataFrame:
     """Steep (> 2) decay of the first quarter of the points."""
     early = rows.filter((F.col("n") >= 10) & (F.floor(F.col("n") / 4) >= 3) & (F.col("pos") < F.floor(F.col("n") / 4)))
-    fit = power_law_decay(early, keys, rounds=rounds, n=n_grid).filter("decay_index > 2").select(*keys, "decay_index")
+    fit = power_law_decay(early, keys, refine=refine, n=n_grid).filter("decay_index > 2").select(*keys, "decay_index")
     return attach(rows.select(*keys).distinct(), fit, keys, "left").withColumn(
         "has_reverse_shock", F.col("decay_index").isNotNull())
 
 
-def energy_injection(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 4) -> DataFrame:
+def energy_injection(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Index alpha0 - 0.5 before and alpha0 after the end of injection, continuous there."""
     pts = _with_norm_range(_anchors(rows.filter("n >= 4"), keys, {
         "_tlo": _at(F.lit(1), "t"), "_thi": _at(F.col("n") - 2, "t")}), keys)
@@ -217,7 +205,7 @@ def energy_injection(rows: DataFrame, keys: Sequence[str] = KEYS, rounds: int =
         return F.when(t < te, F.pow(t, F.lit(0.5) - a)).otherwise(F.pow(te, F.lit(0.5) - a) * F.pow(t / te, -a))
 
     fit = profile_fit(pts, keys, [Axis("alpha0", 0.5, 5.0, 19), Axis("injection_end", "_tlo", "_thi", 12, True)], model,
-                      rounds=rounds, norm_bounds=("_f_lo", "_f_hi"), min_points=4)
+                      norm_bounds=("_f_lo", "_f_hi"), min_points=4)
     # the second index of the published form is unused by its model and keeps its start value
     return fit.withColumns({"alpha1": F.when(F.col("fit_success"), F.lit(1.5)),
                             "injection_rate": F.col("alpha0") - F.lit(1.5) - F.lit(0.5)}).withColumnRenamed("stat", "chi_sq")

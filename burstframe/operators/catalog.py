@@ -13,24 +13,27 @@ from burstframe.operators.series import attach
 def insert_unique(table: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(table after the insert, rejected rows).
 
-    A new row is rejected when its key exists already, or repeats inside the batch (the first by content stays).
+    A new row is rejected when its key exists already, or repeats inside the batch: the first by content stays, all its other copies and the
+    other contents are rejected.  Equal rows are counted, not moved, so a key with very many copies is one row.
     """
     cols = table.columns
     for c in cols:
         if c not in new.columns:
             new = new.withColumn(c, F.lit(None).cast(table.schema[c].dataType))
-    new = new.select(*cols)
-    rec = F.struct(*[c for c in cols if c != key])
-    tagged = new.withColumn("_h", F.xxhash64(*cols))
-    firsts = tagged.groupBy(key).agg(F.min_by(F.struct(rec.alias("r"), F.lit(1).alias("x")), "_h").alias("_f"), F.min("_h").alias("_h"),
-                                     F.count(F.lit(1)).alias("_k"))
-    fresh = firsts.join(table.select(key), key, "left_anti")
-    accepted = fresh.select(key, "_f.r.*").select(*cols)
-    known = new.join(table.select(key).distinct(), key, "left_semi").withColumn("reason", F.lit("key exists"))
-    repeats = firsts.filter("_k > 1").select(key, "_h")
-    again = tagged.join(repeats.withColumnRenamed("_h", "_keep"), key).join(table.select(key).distinct(), key, "left_anti").filter(
-        "_h <> _keep").select(*cols).withColumn("reason", F.lit("repeated in batch"))
-    return table.unionByName(accepted), known.unionByName(again)
+    rec = F.struct(*cols)
+    counts = new.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_k")).select(F.col(key).alias("_key"), rec.alias("_r"), F.xxhash64(*cols).alias("_h"), "_k")
+    old = table.select(F.col(key).alias("_old")).distinct()
+    known = counts.join(old, F.col("_key") == F.col("_old"), "left_semi")
+    fresh = counts.join(old, F.col("_key") == F.col("_old"), "left_anti")
+    first = fresh.groupBy(F.col("_key").alias("_fk")).agg(F.min(F.struct("_h", "_r")).alias("_f"))
+    accepted = first.select("_f._r.*")
+    rest = fresh.join(first, F.col("_key").eqNullSafe(F.col("_fk"))).withColumn("_k", F.col("_k") - F.when(F.col("_r").eqNullSafe(F.col("_f._r")), 1).otherwise(0))
+
+    def copies(rows: DataFrame, reason: str) -> DataFrame:
+        many = rows.where("_k > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))))
+        return many.select("_r.*", F.lit(reason).alias("reason"))
+
+    return table.unionByName(accepted), copies(known, "key exists").unionByName(copies(rest, "repeated in batch"))
 
 
 def append(table: DataFrame, new: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Distributed grid-profile fits: one operator for every curve fit.
 
 Shape parameters run over a grid, the normalisation (and an offset, if any) has a closed form, so a fit
-is one aggregate of a few sums per (series, grid point) followed by ``min_by``.  The grid is exploded inside
-the scan of the points (no join); refinement rounds are a pattern search, a small grid around each series' winner.
-Partial sums combine map-side, so the number of points per series does not matter.
+is one aggregate of a few sums per (series, grid point) followed by the best few.  The grid is exploded inside
+the scan of the points (no join).  From these starts every series descends (``descent.py``) until it has converged; ``fit_success``
+needs that.  Partial sums combine map-side, so the number of points per series does not matter.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burstframe.operators.descent import descend
 from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach
 
@@ -83,8 +84,8 @@ def _norm_and_stat(stat: str, bounds, offset_bounds) -> tuple[Column, Column, Co
 
 
 def _evaluate(points, keys, axes, model, stat, y, err, n_grid, values, norm_bounds, offset_bounds, per_key_cols,
-              allowed) -> DataFrame:
-    """Best grid point per key for grids given as scaled value columns of ``_g``."""
+              allowed, starts) -> DataFrame:
+    """The ``starts`` best grid points per key (``_s`` from 0) for grids given as scaled value columns of ``_g``."""
     grid = points.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))))
     params = {a.name: a.unscale(v) for a, v in zip(axes, values)}
     grid = grid.withColumns({f"_p_{k}": v for k, v in params.items()})
@@ -100,8 +101,8 @@ def _evaluate(points, keys, axes, model, stat, y, err, n_grid, values, norm_boun
     if offset is not None:
         cols["offset"] = offset
     scored = sums.withColumns(cols).filter(F.col("stat").isNotNull() & ~F.isnan("stat"))
-    fields = [*params, *cols, F.col("_n").alias("n_points"), *[c for c in per_key_cols if c in ("_level", "_before")]]
-    return scored.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct("stat", "_g")).alias("_w")).select(*keys, "_w.*")
+    best = F.slice(F.sort_array(F.collect_list(F.struct("stat", "_g", *params, *[c for c in cols if c != "stat"]))), 1, starts)  # of a grid of fixed size
+    return scored.groupBy(*keys).agg(best.alias("_w")).select(*keys, F.posexplode("_w").alias("_s", "_b")).select(*keys, "_s", *[f"_b.{c}" for c in [*params, *cols]])
 
 
 ROWS_PER_SLICE = 100_000
@@ -128,16 +129,19 @@ def profile_fit(
     stat: str = "chi2",
     y: str = "flux",
     err: str | None = "flux_err",
-    rounds: int = 4,
-    fine: int = 5,
+    refine: bool = True,
+    starts: int = 3,
+    start: DataFrame | None = None,
     norm_bounds=None,
     offset_bounds=None,
     min_points: int = 1,
     allowed: Callable[[dict[str, Column]], Column] | None = None,
 ) -> DataFrame:
-    """Best parameters per key: shape axes, ``norm`` (``offset``), ``stat``, ``n_points``, ``fit_success``.
+    """Best parameters per key: shape axes, ``norm`` (``offset``), ``stat``, ``n_points``, ``converged``, ``fit_success``.
 
-    ``model`` maps parameter columns to the unit-norm model at a point.  ``stat`` is chi2, chi2_offset or cash.
+    ``model`` maps parameter columns to the unit-norm model at a point.  ``stat`` is chi2, chi2_offset or cash.  The descent begins at the
+    ``starts`` best grid points, or at ``start`` (keys and axis values) without a grid; ``refine=False`` stops at the grid, whose
+    best point counts as a success.
     """
     limits = [v for a in axes for v in (a.lo, a.hi) if isinstance(v, str)]
     bound_cols = [b for bs in (norm_bounds, offset_bounds) if bs for b in bs if isinstance(b, str)]
@@ -153,29 +157,22 @@ def profile_fit(
     total = 1
     for n in sizes:
         total *= n
-    best = _evaluate(points, *common, total, values, norm_bounds, offset_bounds, per_key, allowed)
-    # pattern search: move while a neighbour is better, halve (nearly) the steps once the centre wins
-    best = best.withColumn("_level", F.lit(0))
-    for _ in range(rounds):
-        centre = best.select(*keys, "_level", F.col("stat").alias("_before"), *[(F.ln(a.name) if a.log else F.col(a.name)).alias(f"_c_{a.name}") for a in axes])
-        near = attach(points, centre, keys)
-        values = []
-        for a, s in zip(axes, _strides([fine] * len(axes))):
-            i = F.floor(F.col("_g") / F.lit(s)) % F.lit(fine) - F.lit(fine // 2)
-            step = (a.limit("hi") - a.limit("lo")) / F.lit(float(max(a.n - 1, 1)) * (fine // 2 + 1)) / F.pow(F.lit(1.8), F.col("_level"))
-            v = F.col(f"_c_{a.name}") + i * step
-            values.append(F.greatest(a.limit("lo"), F.least(a.limit("hi"), v)))
-        best = _evaluate(near, *common, fine ** len(axes), values, norm_bounds, offset_bounds, [*per_key, "_level", "_before"], allowed)
-        gained = F.col("_before") - F.col("stat") > F.lit(1e-9) * F.abs("_before")
-        best = best.withColumn("_level", F.col("_level") + F.when(gained, 0).otherwise(1)).drop("_before")
-    best = best.drop("_level")
+    if start is None:
+        best = _evaluate(points, *common, total, values, norm_bounds, offset_bounds, per_key, allowed, starts if refine else 1)
+        start = best.select(*keys, "_s", *[a.name for a in axes])
+    if refine:
+        found = descend(points, keys, start, axes, model, stat, y, err, norm_bounds, offset_bounds, allowed)
+        best = found.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in found.columns if c not in keys]), "stat").alias("_w")).select(*keys, "_w.*")
+        best = best.where(F.col("stat") < float("inf"))
+    else:
+        best = best.withColumn("converged", F.lit(True))
     seen = points.groupBy(*keys).agg(F.first("_np").alias("_np"))
     out = attach(seen, best, keys, "left")
-    ok = (F.col("_np") >= min_points) & F.col("stat").isNotNull()
+    ok = (F.col("_np") >= min_points) & F.col("stat").isNotNull() & F.col("converged")
     names = [a.name for a in axes] + ["norm"] + (["offset"] if stat == "chi2_offset" else [])
     return out.select(
         *keys, *[F.when(ok, F.col(n)).alias(n) for n in names], F.when(ok, F.col("stat")).alias("stat"),
-        F.col("_np").alias("n_points"), F.coalesce(ok, F.lit(False)).alias("fit_success"))
+        F.col("_np").alias("n_points"), F.coalesce("converged", F.lit(False)).alias("converged"), F.coalesce(ok, F.lit(False)).alias("fit_success"))
 
 
 def curvature_errors(

@@ -57,17 +57,17 @@ def orthogonal_unweighted(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFra
     return m.select(*keys, slope.alias("slope"), (F.col("_my") - slope * F.col("_mx")).alias("intercept"))
 
 
-def orthogonal_weighted(pairs: DataFrame, keys: Sequence[str] = (), rounds: int = 10, tol: float = 1e-10) -> DataFrame:
+def orthogonal_weighted(pairs: DataFrame, keys: Sequence[str] = (), limit: int = 500, tol: float = 1e-10) -> DataFrame:
     """Line with errors in both coordinates (York's equations), one aggregate pass per round.
 
     Only the slope and the weighted means (one row per key) move between rounds; rounds
-    end early when no slope changes by more than ``tol``.
+    end when no slope changes by more than ``tol``; ``converged`` says whether it did within ``limit`` rounds.
     """
     from burstframe.operators.reuse import keep
 
     wx, wy = 1 / (F.col("sx") * F.col("sx")), 1 / (F.col("sy") * F.col("sy"))
     line = keep(least_squares(pairs, keys).withColumn("done", F.lit(False)))
-    for _ in range(rounds):
+    for _ in range(limit):
         rows = attach(pairs, line, keys)
         b = F.col("slope")
         rows = rows.withColumn("_w", wx * wy / (wx + b * b * wy))
@@ -83,7 +83,7 @@ def orthogonal_weighted(pairs: DataFrame, keys: Sequence[str] = (), rounds: int
                                (F.abs(F.col("_b2") - F.col("_old")) < tol).alias("done")))
         if line.filter("NOT done").limit(1).count() == 0:
             break
-    return line.drop("done")
+    return line.withColumnRenamed("done", "converged")
 
 
 def sample_fit(df: DataFrame, x: str, y: str, method: str = "odr", keys: Sequence[str] = (), x_err=None, y_err=None) -> DataFrame:

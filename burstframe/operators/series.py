@@ -5,8 +5,8 @@ hold a third of all rows, so ordered operators here work on *chunks*:
 
 * ``running_sums``  - local prefix sums per chunk plus the prefix of chunk totals;
 * ``sliding``       - fixed offset frames; each chunk receives a halo of border rows;
-* ``with_position`` - row numbers per series: value cells of bounded size are numbered
-  locally and shifted by the prefix of the cell counts.
+* ``with_position`` - row numbers per series: even ranges of the whole order are numbered
+  locally and shifted by the prefix of the range counts.
 
 ``pos`` is always a 0-based position that is unique inside a series.
 """
@@ -94,60 +94,32 @@ def sliding(
     return built.filter(F.col("_own") == F.col(_CHUNK_COL)).drop("_own", _CHUNK_COL)
 
 
-def value_cell(value: Column, lo: Column, hi: Column, n: Column, target: int = CHUNK) -> Column:
-    """Monotone cell number of ``value`` in [lo, hi], about ``target`` rows per cell.
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Kept rows, cut into even ranges of (keys, order); ``_part`` is the number of the range, ``_tie`` tells equal rows apart.
 
-    Cells follow a floating-point grid (octave of the distance from ``lo``, then equal parts of
-    the octave), so uniform and log-spaced series are both cut evenly.  It depends only on
-    exact aggregates and the value, hence is stable under task retries.
+    The cuts are quantiles of the whole order with a unique last column, so neither ties nor clustered values pile up in one range.
     """
-    parts = F.ceil(n / F.lit(float(target))).cast("double")
-    u = (value - lo) / (hi - lo)
-    octave = F.greatest(F.floor(F.log2(u)), F.lit(-60)).cast("double")
-    cell = octave * parts + F.floor((u * F.pow(F.lit(2.0), -octave) - F.lit(1.0)) * parts)
-    return (
-        F.when((n <= target) | (hi <= lo) | value.isNull() | F.isnan(value), F.lit(0.0))
-        .when(u <= 0, F.lit(-61.0) * parts)
-        .otherwise(cell)
-        .cast("long")
-    )
+    rows = df.withColumn("_tie", F.monotonically_increasing_id())
+    return keep(rows.repartitionByRange(*keys, *order, "_tie").withColumn("_part", F.spark_partition_id()))
 
 
-def with_position(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    pos: str = "pos",
-    size: str | None = None,
-    target: int = CHUNK,
-) -> DataFrame:
-    """0-based row number in each series ordered by ``order`` (first column numeric).
+def _before_part(parts: DataFrame, keys: Sequence[str], size: Column) -> DataFrame:
+    """Per (keys, range) the total of the earlier ranges of the key (``_off``) and of all (``_all``); a key has at most one row per range."""
+    totals = parts.groupBy(*keys, "_part").agg(size.alias("_cn"))
+    order = Window.partitionBy(*keys).orderBy("_part")
+    return totals.select(*keys, "_part", F.coalesce(F.sum("_cn").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+                         F.sum("_cn").over(Window.partitionBy(*keys)).alias("_all"))
 
-    ``size`` names an optional column for the row count of the series.
-    """
-    lead_col = F.col(order[0]).cast("double")
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_wn"), F.min(lead_col).alias("_lo"), F.max(lead_col).alias("_hi")
-    )
-    cells = keep(attach(df, stats, keys).withColumn(
-        "_cell", value_cell(lead_col, F.col("_lo"), F.col("_hi"), F.col("_wn"), target)
-    ))
-    group = [*keys, "_cell"]
-    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cells.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_cn"))
-        .select(*group, F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_off"))
-    )
-    local = Window.partitionBy(*group).orderBy(*order)
-    out = (
-        cells.withColumn("_rn", F.row_number().over(local) - 1)
-        .join(offsets, group)
-        .withColumn(pos, (F.col("_rn") + F.col("_off")).cast("long"))
-    )
+
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos: str = "pos", size: str | None = None) -> DataFrame:
+    """0-based row number in each series ordered by ``order``; ``size`` names an optional column for the row count of the series."""
+    rows = ranged(df, keys, order)
+    offsets = _before_part(rows, keys, F.count(F.lit(1)))
+    local = Window.partitionBy(*keys, "_part").orderBy(*order, "_tie")
+    out = rows.withColumn("_rn", F.row_number().over(local) - 1).join(offsets, [*keys, "_part"]).withColumn(pos, (F.col("_rn") + F.col("_off")).cast("long"))
     if size:
-        out = out.withColumn(size, F.col("_wn"))
-    return out.drop("_wn", "_lo", "_hi", "_cell", "_rn", "_off")
+        out = out.withColumn(size, F.col("_all"))
+    return out.drop("_rn", "_off", "_all", "_part", "_tie")
 
 
 def dense_grid(per_key: DataFrame, n: Column, idx: str = "bin_idx", size: int = CHUNK) -> DataFrame:
@@ -166,7 +138,14 @@ def first_max(value: str, order: str, *payload: str) -> Column:
 
 
 def median_by_position(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Exact median per key from distributed row numbers, so no group is held in one aggregate buffer."""
-    rows = with_position(df.filter(F.col(value).isNotNull()).select(*keys, value), keys, [value], "_mp", "_mn")
-    middle = rows.filter((F.col("_mp") == F.floor((F.col("_mn") - 1) / 2)) | (F.col("_mp") == F.floor(F.col("_mn") / 2)))
-    return middle.groupBy(*keys).agg(F.avg(value).alias(name))
+    """Exact median per key from running counts of its distinct values, which are combined before the shuffle."""
+    counts = ranged(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k")), keys, [value])
+    offsets = _before_part(counts, keys, F.sum("_k"))
+    local = Window.partitionBy(*keys, "_part").orderBy(value, "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    rows = counts.withColumn("_to", F.sum("_k").over(local)).join(offsets, [*keys, "_part"]).withColumn("_to", F.col("_to") + F.col("_off"))
+
+    def at(i: Column) -> Column:
+        return F.max(F.when((F.col("_to") - F.col("_k") <= i) & (i < F.col("_to")), F.col(value)))
+
+    two = rows.groupBy(*keys).agg(at(F.floor((F.col("_all") - 1) / 2)).alias("_a"), at(F.floor(F.col("_all") / 2)).alias("_b"))
+    return two.select(*keys, ((F.col("_a") + F.col("_b")) / 2).alias(name))

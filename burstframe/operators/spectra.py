@@ -57,7 +57,7 @@ N_PARAMS = {"Band": 4, "CPL": 3, "PL": 2, "BB": 2, "SBPL": 4}
 
 
 def fit_model(
-    spectra: DataFrame, model: str, keys=("burst_id",), rounds: int | None = None, errors: bool = False
+    spectra: DataFrame, model: str, keys=("burst_id",), refine: bool = True, errors: bool = False
 ) -> DataFrame:
     """Cash-statistic fit of one model: params map, cstat (alias chi_sq), dof, aic, bic."""
     from burstframe.functions.spectral_models import MODELS
@@ -72,9 +72,7 @@ def fit_model(
 
     # the Band break needs alpha > -2 and alpha > beta
     allowed = (lambda p: (p["alpha"] > -2.0) & (p["alpha"] > p["beta"])) if model == "Band" else None
-    fine = 5 if len(axes) < 3 else 3
-    fit = profile_fit(spectra, list(keys), axes, unit, stat="cash", y="counts", err=None, fine=fine,
-                      rounds=(4 if len(axes) < 3 else 5) if rounds is None else rounds,
+    fit = profile_fit(spectra, list(keys), axes, unit, stat="cash", y="counts", err=None, refine=refine,
                       norm_bounds=NORM_BOUNDS, allowed=allowed)
     k = N_PARAMS[model]
     pars = F.map_from_arrays(F.array(*[F.lit(n) for n in [*names, "norm"]]), F.array(*[F.col(n) for n in [*names, "norm"]]))
@@ -93,13 +91,13 @@ def fit_model(
     return attach(fit, errs, list(keys), "left").select(*cols, emap.alias("errors"))
 
 
-def fit_spectra(spectra: DataFrame, models, keys=("burst_id",), rounds: int | None = None) -> DataFrame:
+def fit_spectra(spectra: DataFrame, models, keys=("burst_id",), refine: bool = True) -> DataFrame:
     """Union of the fits of several models; unknown names are an error."""
     unknown = [m for m in models if m not in N_PARAMS]
     if unknown:
         raise ValueError(f"unknown spectral model: {unknown}")
     out = None
     for order, m in enumerate(models):
-        one = fit_model(spectra, m, keys, rounds).withColumn("fit_order", F.lit(order))
+        one = fit_model(spectra, m, keys, refine).withColumn("fit_order", F.lit(order))
         out = one if out is None else out.unionByName(one)
     return out

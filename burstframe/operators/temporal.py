@@ -455,7 +455,7 @@ def _split_shape(p: dict[str, Column]) -> Column:
 
 
 def fit_lag(
-    ccf: DataFrame, burst: str = "burst_id", window: tuple[int, int] | None = None, rounds: int = 5
+    ccf: DataFrame, burst: str = "burst_id", window: tuple[int, int] | None = None
 ) -> DataFrame:
     """Split-normal fit of the correlation; the lag is its mode.
 
@@ -466,34 +466,33 @@ def fit_lag(
         ccf = attach(ccf, top, [burst]).filter(
             F.col("lag").between(F.col("_pk") + window[0], F.col("_pk") + window[1])).drop("_pk")
     r = ccf.groupBy(burst).agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
-    r = r.withColumn("_range", F.col("_hi") - F.col("_lo")).withColumn("_smin", F.col("_range") / 400)
+    r = r.withColumn("_range", F.col("_hi") - F.col("_lo")).withColumn("_smin", F.lit(1e-6))
     pts = attach(ccf, r, [burst])
-    axes = [Axis("mu", "_lo", "_hi", 25), Axis("sigma1", "_smin", "_range", 6, True), Axis("sigma2", "_smin", "_range", 6, True)]
-    fit = profile_fit(pts, [burst], axes, _split_shape, stat="chi2_offset", y="ccf", err=None, rounds=rounds, fine=3,
+    axes = [Axis("mu", "_lo", "_hi", 25), Axis("sigma1", "_smin", "_range", 12, True), Axis("sigma2", "_smin", "_range", 12, True)]
+    fit = profile_fit(pts, [burst], axes, _split_shape, stat="chi2_offset", y="ccf", err=None,
                       norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
     return fit.withColumnsRenamed({"norm": "amplitude", "offset": "const", "stat": "chi_sq"}).withColumn("lag", F.col("mu"))
 
 
 def lag_errors(
-    ccf: DataFrame, fit: DataFrame, n_sims: int = 1000, seed: int = 2, burst: str = "burst_id", rounds: int = 1
+    ccf: DataFrame, fit: DataFrame, n_sims: int = 1000, seed: int = 2, burst: str = "burst_id"
 ) -> DataFrame:
     """Deviation of the lag over refits of correlations redrawn within ``ccf_err``; NaN if none succeeds.
 
-    Simulations are keys of one more grid fit, on a small grid around the observed optimum.
+    Simulations are keys of one more fit within the limits of the first, from the observed optimum.
     """
-    near = fit.filter("fit_success").select(
-        burst, (F.col("mu") - 2 * (F.col("sigma1") + F.col("sigma2")) / 8).alias("_lo"),
-        (F.col("mu") + 2 * (F.col("sigma1") + F.col("sigma2")) / 8).alias("_hi"),
-        *[(F.col(s) * f).alias(f"_{s}{k}") for s in ("sigma1", "sigma2") for k, f in (("a", 0.7), ("z", 1.4))])
-    sims = attach(ccf, near, [burst]).withColumn("sim", F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))))
+    good = fit.filter("fit_success")
+    r = ccf.groupBy(burst).agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
+    r = r.withColumn("_range", F.col("_hi") - F.col("_lo")).withColumn("_smin", F.lit(1e-6))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))).alias("sim")
+    sims = attach(attach(ccf, r, [burst]), good.select(burst), [burst]).select("*", every)
     u = lambda k: (F.shiftrightunsigned(F.xxhash64(F.lit(seed + k), burst, "sim", "lag"), 11) + 1) / F.lit(2.0**53 + 1)
     normal = F.sqrt(F.lit(-2.0) * F.ln(u(0))) * F.cos(F.lit(2 * np.pi) * u(1))
     err = F.when(F.col("ccf_err") > 0, F.col("ccf_err")).otherwise(F.lit(1e-10))
     drawn = sims.withColumn("ccf", F.col("ccf") + normal * err)
-    axes = [Axis("mu", "_lo", "_hi", 9), Axis("sigma1", "_sigma1a", "_sigma1z", 3, True),
-            Axis("sigma2", "_sigma2a", "_sigma2z", 3, True)]
-    refit = profile_fit(drawn, [burst, "sim"], axes, _split_shape, stat="chi2_offset", y="ccf", err=None, rounds=rounds,
-                        fine=3, norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
+    axes = [Axis("mu", "_lo", "_hi", 25), Axis("sigma1", "_smin", "_range", 12, True), Axis("sigma2", "_smin", "_range", 12, True)]
+    refit = profile_fit(drawn, [burst, "sim"], axes, _split_shape, stat="chi2_offset", y="ccf", err=None,
+                        start=good.select(burst, every, "mu", "sigma1", "sigma2"), norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
     dev = refit.filter("fit_success").groupBy(burst).agg(F.stddev_pop("mu").alias("lag_err"))
     return attach(fit.select(burst), dev, [burst], "left").withColumn("lag_err", F.coalesce("lag_err", F.lit(float("nan"))))
 
@@ -510,7 +509,7 @@ def spectral_lag(
         {"n_ccf_sims": F.lit(n_ccf_sims), "n_lag_sims": F.lit(n_lag_sims)})
 
 
-def fit_fred_pulse(lc: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 5) -> DataFrame:
+def fit_fred_pulse(lc: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Fast-rise exponential-decay pulse A exp(-tau1/(t-ts) - (t-ts)/tau2), zero before ts.
 
     Limits scale with the peak time, which must be positive; bins without an error count with unit weight.
@@ -528,7 +527,7 @@ def fit_fred_pulse(lc: DataFrame, keys: Sequence[str] = KEYS, rounds: int = 5) -
 
     axes = [Axis("tau_rise", "_tau0", "_tau1", 9, True), Axis("tau_decay", "_tau0", "_tau2", 11, True),
             Axis("t_start", "_ts0", "_ts1", 7)]
-    fit = profile_fit(pts, keys, axes, model, y="rate", err="_e", rounds=rounds, fine=3, norm_bounds=("_amin", "_amax"), min_points=4)
+    fit = profile_fit(pts, keys, axes, model, y="rate", err="_e", norm_bounds=("_amin", "_amax"), min_points=4)
     errs = curvature_errors(pts, keys, fit, [a.name for a in axes], model, y="rate", err="_e")
     out = attach(fit, errs, keys, "left").withColumnsRenamed(
         {"norm": "amplitude", "stat": "chi_sq", "norm_err": "amplitude_err"}).withColumn("dof", F.col("n_points") - 4)

@@ -40,7 +40,7 @@ fit AS (SELECT {k}, arg_min(a, {{'c': chi, 'g': g}}) AS decay_index, arg_min(f0,
 WITH {decay_ctes("afterglow_points")}
 SELECT burst_id, round(decay_index, 6) AS decay_index, round(log10(norm), 6) AS log_norm, n_points - 2 AS dof FROM fit""")
 def _(spark, d):
-    return A.power_law_decay(points(spark, d), rounds=0).select(
+    return A.power_law_decay(points(spark, d), refine=False).select(
         "burst_id", r6("decay_index").alias("decay_index"), r6(F.log10("norm")).alias("log_norm"), "dof")
 
 
@@ -92,7 +92,7 @@ o AS (SELECT k.burst_id, coalesce(abs(a2 - a1) > 0.5, false) AS has, a1, a2, t F
 SELECT burst_id, has AS has_jet_break, CASE WHEN has THEN t END AS break_time, round(CASE WHEN has THEN a1 END, 6) AS alpha_before,
        round(CASE WHEN has THEN a2 END, 6) AS alpha_after, round(CASE WHEN has THEN a2 - a1 END, 6) AS steepening FROM o""")
 def _(spark, d):
-    j = A.detect_jet_break(rows(spark, d))
+    j = A.detect_jet_break(rows(spark, d), refine=False)
     return j.select("burst_id", "has_jet_break", "break_time", *[r6(c).alias(c) for c in ("alpha_before", "alpha_after", "steepening")])
 
 
@@ -103,7 +103,7 @@ ea AS (SELECT * FROM num WHERE n >= 10 AND n // 4 >= 3 AND pos < n // 4),
 SELECT k.burst_id, round(decay_index, 6) AS decay_index, decay_index IS NOT NULL AS has_reverse_shock
 FROM (SELECT DISTINCT burst_id FROM num) k LEFT JOIN (SELECT * FROM fit WHERE decay_index > 2) f USING (burst_id)""")
 def _(spark, d):
-    return A.reverse_shock(rows(spark, d)).select("burst_id", r6("decay_index").alias("decay_index"), "has_reverse_shock")
+    return A.reverse_shock(rows(spark, d), refine=False).select("burst_id", r6("decay_index").alias("decay_index"), "has_reverse_shock")
 
 
 @query("energy_injection_fit")
@@ -142,7 +142,7 @@ SELECT burst_id, round(arg_min(p, {{'c': st, 'g': g}}), 6) AS {name}, round(min(
 
 
 def spec_fit(spark, d, model, name):
-    f = S.fit_model(V.spectra(spark, d), model, rounds=0)
+    f = S.fit_model(V.spectra(spark, d), model, refine=False)
     return f.select("burst_id", r6(F.col("params")[name]).alias(name), r6("cstat", 4).alias("cstat"), "dof", r6("aic", 4).alias("aic"),
                     r6("bic", 4).alias("bic"))
 
@@ -191,7 +191,7 @@ def _(spark, d):
 
 @query("best_spectral_model")
 def _(spark, d):
-    fits = S.fit_spectra(keep(V.spectra(spark, d)), ["CPL", "PL", "BB"], rounds=2)
+    fits = S.fit_spectra(keep(V.spectra(spark, d)), ["Band", "CPL", "PL", "BB", "SBPL"])
     return S.choose_model(fits).withColumn("params", F.to_json("params"))
 
 

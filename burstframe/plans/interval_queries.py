@@ -67,6 +67,26 @@ def _(spark, d):
     return consensus(V.lightcurves_dense(spark, d)).select("burst_id", "tstart", "tstop", r6("confidence").alias("confidence"))
 
 
+def full_consensus(lc):
+    """All three methods at their default thresholds."""
+    return I.consensus_interval([I.snr_interval(lc, K), I.block_interval(lc, K), I.cumulative_interval(lc, K)], K)
+
+
+@query("interval_consensus_three_methods")
+def _(spark, d):
+    return full_consensus(V.lightcurves_dense(spark, d))
+
+
+@query("burst_duration_three_methods")
+def _(spark, d):
+    """Photons to light curves, consensus of the three interval methods, net-count T90 and class."""
+    from burstframe.operators.classify import by_duration
+
+    lc = V.lightcurves_dense(spark, d)
+    out = I.net_durations(lc, full_consensus(lc), None, K)
+    return out.withColumn("duration_class", by_duration(F.col("t90")))
+
+
 def fixed_interval(lc):
     """The same interval for every series: -2 .. 4 s."""
     return lc.select(*K).distinct().select(*K, F.lit(-2.0).alias("tstart"), F.lit(4.0).alias("tstop"))

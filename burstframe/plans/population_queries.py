@@ -274,7 +274,7 @@ def _(spark, d):
     out = None
     p = plane(spark, d)
     for kind in ("tied", "diag", "spherical"):
-        one = X.components_frame(spark, X.fit_mixture(p, covariance_type=kind, max_iter=15)).withColumn("covariance_type", F.lit(kind))
+        one = X.components_frame(spark, X.fit_mixture(p, covariance_type=kind)).withColumn("covariance_type", F.lit(kind))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -282,7 +282,7 @@ def _(spark, d):
 @query("mixture_labels")
 def _(spark, d):
     p = plane(spark, d)
-    return X.predict(p, X.fit_mixture(p, covariance_type="diag", max_iter=15))
+    return X.predict(p, X.fit_mixture(p, covariance_type="diag"))
 
 
 @query("mixture_probability_surface")

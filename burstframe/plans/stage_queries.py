@@ -39,7 +39,7 @@ def _(spark, d):
 
 @query("stage_spectral")
 def _(spark, d):
-    return G.spectral(inputs(spark, d), ("CPL", "PL"), rounds=2)["derived_quantities"]
+    return G.spectral(inputs(spark, d))["derived_quantities"]
 
 
 @query("stage_afterglow")

@@ -63,9 +63,9 @@ def temporal(t: Tables) -> Tables:
 RANGES = ((15.0, 150.0), (50.0, 300.0), (100.0, 1000.0))
 
 
-def spectral(t: Tables, models: Sequence[str] = ("Band", "CPL", "PL"), rounds: int | None = None) -> Tables:
+def spectral(t: Tables, models: Sequence[str] = ("Band", "CPL", "PL")) -> Tables:
     """Fits of the models, the best one, fluxes, and luminosities where a redshift is known."""
-    fits = keep(S.fit_spectra(keep(t["spectra"]), models, [KEY], rounds))
+    fits = keep(S.fit_spectra(keep(t["spectra"]), models, [KEY]))
     best = keep(S.choose_model(fits, KEY))
     p = {n: F.col("params")[n] for n in ("alpha", "beta", "epeak", "index", "norm")}
     ranges = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in RANGES])
@@ -85,7 +85,7 @@ def spectral(t: Tables, models: Sequence[str] = ("Band", "CPL", "PL"), rounds: i
 def afterglow(t: Tables) -> Tables:
     """Decay fits, plateau, jet break, reverse shock and closure relations."""
     rows = A.numbered(t["afterglow_points"], [KEY])
-    decay = keep(A.power_law_decay(t["afterglow_points"], [KEY], rounds=2))
+    decay = keep(A.power_law_decay(t["afterglow_points"], [KEY]))
     params = decay.select(KEY, "decay_index", "chi_sq", "dof", "fit_success")
     for part in (A.detect_plateau(rows, [KEY]), A.detect_jet_break(rows, [KEY]), A.reverse_shock(rows, [KEY]).drop("decay_index")):
         params = attach(params, part, [KEY], "left")
@@ -168,12 +168,12 @@ def run(
             status.append((name, "skipped", "missing input: " + ", ".join(missing)))
         else:
             try:
-                t.update(fn(t))
+                t.update({n: keep(d) for n, d in fn(t).items()})  # completed means written
                 status.append((name, "completed", ""))
             except Exception as e:
                 if not continue_on_error:
                     raise
-                status.append((name, "failed", f"{type(e).__name__}: {str(e)[:200]}"))
+                status.append((name, "failed", f"{type(e).__name__}: {e}"))
     return t, spark.createDataFrame(status, "stage string, status string, note string")
 
 

@@ -99,3 +99,14 @@ def test_failed_stage_is_reported(spark):
     _, status = G.run(spark, {"bursts": bad, "photons": bad})
     got = {r["stage"]: r["status"] for r in status.collect()}
     assert got["temporal"] == "failed" and got["acquisition"] == "completed"
+
+
+def test_insert_keeps_every_rejected_copy(spark):
+    from burstframe.operators.catalog import insert_unique
+
+    table = spark.createDataFrame([("a", 1.0)], "name string, t90 double")
+    new = spark.createDataFrame([("a", 2.0), ("a", 2.0), ("b", 3.0), ("b", 3.0), ("b", 3.0), ("b", 4.0), ("c", 5.0)], "name string, t90 double")
+    after, rejected = insert_unique(table, new, "name")
+    assert sorted(r["name"] for r in after.collect()) == ["a", "b", "c"]
+    reasons = sorted((r["name"], r["reason"]) for r in rejected.collect())
+    assert reasons == [("a", "key exists")] * 2 + [("b", "repeated in batch")] * 3

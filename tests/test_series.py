@@ -42,17 +42,26 @@ def test_with_position(spark, spacing):
     t = {"log": np.logspace(-6, 6, n), "uniform": np.arange(n) * 0.1, "same": np.zeros(n)}[spacing]
     order = np.random.default_rng(0).permutation(n)
     df = spark.createDataFrame([("a", float(t[i]), int(i)) for i in order], "k string, t double, i long")
-    got = {r["i"]: r["pos"] for r in S.with_position(df, ["k"], ["t", "i"], "pos", target=16).collect()}
+    got = {r["i"]: r["pos"] for r in S.with_position(df, ["k"], ["t", "i"], "pos").collect()}
     assert got == {i: i for i in range(n)}
 
 
-def test_value_cells_stay_small_on_log_spaced_times(spark):
-    n = 20000
-    df = spark.range(n).select(F.pow(F.lit(10.0), F.col("id") * 12.0 / n - 6).alias("t"))
-    lim = df.agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count(F.lit(1)).alias("n"))
-    cells = df.join(F.broadcast(lim), how="cross").groupBy(
-        S.value_cell(F.col("t"), F.col("lo"), F.col("hi"), F.col("n"), 500).alias("c")).count()
-    assert cells.agg(F.max("count")).first()[0] <= 500
+@pytest.mark.parametrize("kind", ["equal", "outliers", "log"])
+def test_ranges_are_even_for_ties_and_clusters(spark, kind):
+    n = 200_000
+    v = {"equal": F.lit(1.0), "outliers": F.when(F.col("id") == 0, -1e9).when(F.col("id") == 1, 1e9).otherwise(F.col("id") % 7 * 1e-6),
+         "log": F.pow(F.lit(10.0), F.col("id") * 12.0 / n - 6)}[kind]
+    df = spark.range(n, numPartitions=8).select(F.lit("a").alias("k"), v.cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else Spark puts these few rows together
+    try:
+        sizes = [r["count"] for r in S.ranged(df, ["k"], ["v"]).groupBy("_part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < 2 * n / 8
+    got = S.with_position(df, ["k"], ["v"], "pos", "n").agg(F.min("pos"), F.max("pos"), F.countDistinct("pos"), F.max("n")).first()
+    assert tuple(got) == (0, n - 1, n, n)
+    values = np.array([r["v"] for r in df.collect()])
+    assert S.median_by_position(df, ["k"], "v", "m").first()["m"] == np.median(values)
 
 
 def test_dense_grid_crosses_chunks(spark):
