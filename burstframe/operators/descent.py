@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from burstframe.operators.reuse import keep
 
-#: A series has converged when an accepted step gains less than GAIN of the statistic (or GAIN at all), or no damping finds a gain.
-GAIN, DAMPED, LIMIT = 1e-9, 1e9, 200
+#: A series has converged when a step that is hardly damped gains less than GAIN of the statistic (or GAIN at all), or no damping finds a gain.
+#: After LIMIT steps what is left is reported as not converged.
+GAIN, FREE, DAMPED, LIMIT = 1e-6, 1.0, 1e6, 60
 TINY = 1e-300
 
 
@@ -133,14 +134,14 @@ def descend(points: DataFrame, keys: Sequence[str], start: DataFrame, axes, mode
                 if better:
                     gain = np.inf if first else old["stat"][r] - value[r]
                     best, g, h, s, a, k = trial[r], grad[r], curve[r], value[r], norm[r], shift[r]
-                    damp = max(damp / 5, 1e-12)
-                    done = good = bool(gain <= GAIN * max(1.0, abs(s)))
+                    damp = max(damp / 8, 1e-9)
+                    done = good = bool(gain <= GAIN * max(1.0, abs(s)) and damp <= FREE)
                 elif first:  # nothing to go on
                     best, g, h, s, a, k, done = trial[r], np.zeros(n), np.eye(n), np.inf, 0.0, 0.0, True
                 else:
                     best, g, h, s, a, k = (np.asarray(old["best"][r]), np.asarray(old["grad"][r]), np.asarray(old["curve"][r]).reshape(n, n), old["stat"][r], old["norm"][r],
                                            old["shift"][r])
-                    damp *= 4
+                    damp *= 8
                     done = good = damp > DAMPED
                 step = np.zeros(n)
                 width = np.maximum(hi[r] - lo[r], TINY)
