@@ -18,7 +18,7 @@ from burstframe.operators.reuse import keep
 
 #: A series has converged when a step that is hardly damped gains less than GAIN of the statistic (or GAIN at all), or no damping finds a gain.
 #: After LIMIT steps what is left is reported as not converged.
-GAIN, FREE, DAMPED, LIMIT = 1e-6, 1.0, 1e6, 60
+GAIN, FREE, DAMPED, LIMIT = 1e-6, 1.0, 1e6, 40
 TINY = 1e-300
 
 
