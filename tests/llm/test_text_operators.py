@@ -181,6 +181,22 @@ def test_lm_scores(docs, empty, monkeypatch):
     assert S.score(empty, ~held, path).count() == 0
 
 
+def test_rare_word_beginnings_keep_their_counts(docs, monkeypatch):
+    """Beginnings beyond those in memory meet their counts in a join: the scores do not depend on how many are in memory."""
+    import public_tokenizers
+
+    from burstframe.llm import lm_scoring as S
+
+    path, train = public_tokenizers.path("byte_bpe_50k.tiktoken"), F.coalesce(F.col("doc_id"), F.lit(0)) % 3 != 1
+    some = docs.where("coalesce(n_chars, 0) < 3000").coalesce(1)
+    rows = []
+    for n in (400_000, 40, 0):
+        monkeypatch.setattr(S, "NODES", n)
+        rows.append({(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r["score"] for r in S.score(some, train, path).collect()})
+    assert rows[0] and all(set(r) == set(rows[0]) for r in rows)
+    assert all(abs(r[k] - rows[0][k]) < 1e-2 + 1e-4 * abs(v) for r in rows[1:] for k, v in rows[0].items())
+
+
 def test_attention_gradients_and_windows():
     from burstframe.llm import lm_scoring as S
 
