@@ -190,13 +190,32 @@ def test_rare_word_beginnings_keep_their_counts(docs, monkeypatch):
     path, train = public_tokenizers.path("byte_bpe_50k.tiktoken"), F.coalesce(F.col("doc_id"), F.lit(0)) % 3 != 1
     some = docs.where("coalesce(n_chars, 0) < 3000").coalesce(1)
     rows = []
-    for n in (400_000, 40, 0):
+    for n in (400_000, 40, 5):
         monkeypatch.setattr(S, "NODES", n)
         rows.append({(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r["score"] for r in S.score(some, train, path).collect()})
     assert rows[0] and all(set(r) == set(rows[0]) for r in rows)
     assert all(abs(r[k] - rows[0][k]) < 1e-2 + 1e-4 * abs(v) for r in rows[1:] for k, v in rows[0].items())
 
 
+def test_all_training_texts_reach_the_model(spark, monkeypatch):
+    """At any size, the statistics of kinds and the training of the attention take every text."""
+    import public_tokenizers
+
+    from burstframe.llm import lm_scoring as S
+
+    seen, made = [], []
+    init, fit = S.Inner.__init__, S.fit
+    monkeypatch.setattr(S.Inner, "__init__", lambda self, counts, head, by_kind: (seen.append((counts, by_kind)), init(self, counts, head, by_kind))[1])
+    monkeypatch.setattr(S, "fit", lambda *a: (made.append(fit(*a)), made[-1])[1])
+    texts = [" ".join(f"{a} walks to {b}" for b in "alpha beta gamma delta".split() for _ in range(25)) for a in "one two three four five".split()] * 80
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    assert sum(len(t.split()) for t in texts) > 100_000
+    S.score(train, F.lit(True), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    (counts, by_kind), = seen
+    assert by_kind.sum() == counts.sum() - len(texts)
+    assert made[0][0].trained == counts.sum()
+
+
 def test_attention_gradients_and_windows():
     from burstframe.llm import lm_scoring as S
 
