@@ -103,6 +103,25 @@ def test_language_id(docs, empty):
     assert model.predict(empty).count() == 0
 
 
+def test_language_models_keep_all_ngrams(docs):
+    """What is in memory does not change the models: rarer n-grams are joined."""
+    from burstframe.llm.language_id import LanguageId
+
+    some = docs.where("doc_id IS NOT NULL AND coalesce(n_chars, 0) < 3000").dropDuplicates(["doc_id"])
+    train = some.where("doc_id % 5 != 1")
+    rows = []
+    for n in (1_500_000, 300, 0):
+        model = LanguageId.train(train, max_entries=n)
+        rows.append({r["doc_id"]: r for r in model.predict(some).collect()})
+        rows[-1]["limits"] = model.limits
+    want = rows[0]
+    for got in rows[1:]:
+        assert set(got) == set(want) and all(abs(got["limits"][k] - v) < 1e-4 for k, v in want["limits"].items())
+        for i in set(want) - {"limits"}:
+            assert (got[i]["lang_pred"], got[i]["rejected"]) == (want[i]["lang_pred"], want[i]["rejected"])
+            assert abs((got[i]["cross_entropy"] or 0) - (want[i]["cross_entropy"] or 0)) < 1e-4
+
+
 def test_kneser_ney_is_a_distribution():
     import pandas as pd
 
