@@ -215,7 +215,7 @@ def _(spark, d):
     from burstframe.operators import temporal as T
     from burstframe.plans.temporal_queries import lag_pair
 
-    return T.spectral_lag(lag_pair(spark, d), n_ccf_sims=200, n_lag_sims=10)
+    return T.spectral_lag(lag_pair(spark, d))
 
 
 @query("spectral_lag_windowed_variant")

@@ -236,7 +236,7 @@ def _(spark, d):
 
 @query("cross_correlation_errors")
 def _(spark, d):
-    return T.cross_correlation_errors(lag_pair(spark, d), n_sims=1000)
+    return T.cross_correlation_errors(lag_pair(spark, d))
 
 
 @query("cumulative_counts", "lightcurves", """

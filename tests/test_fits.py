@@ -172,3 +172,17 @@ def test_mixture_weights_and_labels(spark):
         X.fit_mixture(df, covariance_type="odd")
     with pytest.raises(ValueError):
         X.predict(df, [])
+
+
+def test_registered_lag_errors_use_all_simulations(spark, monkeypatch):
+    """The registered queries leave the numbers of simulations to the operators."""
+    from burstframe.operators import temporal as T
+    from burstframe.plans import QUERIES, temporal_queries
+
+    seen = []
+    monkeypatch.setattr(temporal_queries, "lag_pair", lambda spark, d: None)
+    monkeypatch.setattr(T, "spectral_lag", lambda pair, n_ccf_sims=10000, n_lag_sims=1000: seen.append((n_ccf_sims, n_lag_sims)))
+    monkeypatch.setattr(T, "cross_correlation_errors", lambda pair, n_sims=10000: seen.append(n_sims))
+    for name in ("spectral_lag_with_errors", "cross_correlation_errors"):
+        QUERIES[name](spark, "")
+    assert seen == [(10000, 1000), 10000]
