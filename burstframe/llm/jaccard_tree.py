@@ -389,12 +389,13 @@ class JaccardJoin:
     def representatives(self, docs: DataFrame) -> DataFrame:
         """One document of each component, with all columns: that of the smallest id.
 
-        Rows that repeat an id count once.  Rows without an id stay if their component has no id at all, one for each text.
+        Rows that repeat an id and text count once; other texts under an id are judged by their own components.  Rows without an id stay if their component has no id at all, one for each text.
         """
         rows = keep(self.classes(docs))
-        named = rows.where("id = component_id").select(F.col("id").alias("__id")).distinct()
-        key = F.col(self.doc_id)
-        out = docs.where(key.isNotNull()).join(named, key == F.col("__id"), "left_semi").dropDuplicates([self.doc_id])
+        named = rows.where("id = component_id").select(F.col("id").alias("__id"), F.col("t1").alias("__t1")).distinct()
+        key, hashed = F.col(self.doc_id), docs.withColumn("__t", text_key(F.col(self.text).cast("string"))[0])
+        out = hashed.where(key.isNotNull()).join(named, (key == F.col("__id")) & (F.col("__t") == F.col("__t1")), "left_semi")
+        out = out.dropDuplicates([self.doc_id, "__t"]).select(*docs.columns)
         bare = rows.where("id IS NULL AND component_id IS NULL").select(F.col("t1").alias("__t1")).distinct()
-        rest = docs.where(key.isNull()).withColumn("__t", text_key(F.col(self.text).cast("string"))[0])
+        rest = hashed.where(key.isNull())
         return out.unionAll(rest.join(bare, F.col("__t") == F.col("__t1"), "left_semi").dropDuplicates(["__t"]).select(*docs.columns))

@@ -93,6 +93,16 @@ def test_representatives(docs):
     assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == sorted(want)
 
 
+def test_representatives_of_repeated_ids(spark):
+    from burstframe.llm.jaccard_tree import JaccardJoin
+
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, b), (5, a), (5, b), (5, a)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in JaccardJoin(3, 90, 100).representatives(docs).collect()) == [(1, b), (5, a)]
+    both = docs.where("doc_id = 5")
+    assert sorted(tuple(r) for r in JaccardJoin(3, 90, 100).representatives(both).collect()) == [(5, a), (5, b)]
+
+
 def test_components(spark):
     from burstframe.llm.graph import components
 
