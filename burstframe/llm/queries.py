@@ -181,3 +181,15 @@ def op3_lm_scoring(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.pmod(crc_of_id(), F.lit(5)) == 1).alias("held_out"))
     return score(docs, ~F.col("held_out"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op11_token_files")
+def op11_token_files(spark, sf_dir):
+    """Ids of every document written to token files in order of doc_id, found again by key and read back."""
+    import public_tokenizers
+
+    from burstframe.llm.token_files import TokenFiles
+
+    docs = table(spark, sf_dir, "documents")
+    files = TokenFiles.write(docs, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    return files.fetch(files.lookup(docs)).select("doc_id", "start", "n_tokens", F.crc32("id_bytes").alias("ids_crc32"))
