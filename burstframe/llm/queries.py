@@ -193,3 +193,54 @@ def op11_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     files = TokenFiles.write(docs, public_tokenizers.path("byte_bpe_50k.json"), end=2)
     return files.fetch(files.lookup(docs)).select("doc_id", "start", "n_tokens", F.crc32("id_bytes").alias("ids_crc32"))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, row_number() OVER () AS u,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front,
+         -- crc32, bit by bit, of the decimal id
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: coalesce(ascii(nullif(c, '')), 0)::BIGINT)),
+             lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) AS crc
+  FROM documents),
+h AS (SELECT *, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(front || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) AS cut FROM d),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, u) - 1 AS pos FROM h),
+t AS (SELECT source, 0 AS level, pos AS i, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM l
+      UNION ALL
+      SELECT source, level + 1, i // 3, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM t WHERE n > 1 GROUP BY source, level, i // 3),
+s AS (SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS spos FROM t WHERE n = 1),
+v AS (SELECT 0 AS level, spos AS i, subroot AS node, count(*) OVER () AS n FROM s
+      UNION ALL
+      SELECT level + 1, i // 3, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 2) // 3 FROM v WHERE n > 1 GROUP BY level, i // 3),
+p AS (SELECT l.u, t.level, coalesce(string_agg(t.node, '' ORDER BY t.i) FILTER (t.i < pos // (3 ** t.level)::BIGINT), '') AS a,
+             coalesce(string_agg(t.node, '' ORDER BY t.i) FILTER (t.i > pos // (3 ** t.level)::BIGINT), '') AS b
+      FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source AND t.n > 1 AND t.i // 3 = pos // (3 ** (t.level + 1))::BIGINT GROUP BY l.u, t.level),
+w AS (SELECT source, v.level, coalesce(string_agg(v.node, '' ORDER BY v.i) FILTER (v.i < spos // (3 ** v.level)::BIGINT), '') AS a,
+             coalesce(string_agg(v.node, '' ORDER BY v.i) FILTER (v.i > spos // (3 ** v.level)::BIGINT), '') AS b
+      FROM s JOIN v ON v.n > 1 AND v.i // 3 = spos // (3 ** (v.level + 1))::BIGINT GROUP BY source, v.level),
+x AS (SELECT u, level, a, b FROM p UNION ALL SELECT l.u, 100 + w.level, a, b FROM l JOIN w ON l.source IS NOT DISTINCT FROM w.source),
+y AS (SELECT u, list({'a': a, 'b': b} ORDER BY level) AS steps, string_agg(a || b, '' ORDER BY level) AS proof FROM x GROUP BY u),
+z AS (SELECT l.*, subroot, (SELECT node FROM v WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+             list_reduce(list_prepend({'a': CASE WHEN crc % 2 = 0 THEN cut ELSE leaf END, 'b': ''}, coalesce(steps, [])),
+                         lambda x, y: {'a': sha256(y.a || x.a || y.b), 'b': ''}).a AS folded_root
+      FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source LEFT JOIN y USING (u))
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM z
+"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def op12_merkle_manifest(spark, sf_dir):
+    """Merkle proof of every document, folded again after some texts lose their line breaks."""
+    from burstframe.llm.merkle import fold, leaf_hash, manifest, proof_hash
+
+    def leaf(text):
+        return leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    cut = F.when((F.pmod(crc_of_id(), F.lit(2)) == 0) & F.contains("text", F.lit("\n")), leaf(F.replace("text", F.lit("\n"), F.lit(""))))
+    rows = manifest(table(spark, sf_dir, "documents"), leaf(F.col("text")), carry=[cut.alias("tampered")])
+    rows = rows.withColumns({"proof_sha256": proof_hash(F.col("lefts"), F.col("rights")),
+                             "folded_root": fold(F.coalesce("tampered", "leaf"), F.col("lefts"), F.col("rights"))})
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
