@@ -244,3 +244,11 @@ def op12_merkle_manifest(spark, sf_dir):
     rows = rows.withColumns({"proof_sha256": proof_hash(F.col("lefts"), F.col("rights")),
                              "folded_root": fold(F.coalesce("tampered", "leaf"), F.col("lefts"), F.col("rights"))})
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    """All embeddings on up to 32 whitened components."""
+    from burstframe.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
