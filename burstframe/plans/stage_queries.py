@@ -94,6 +94,16 @@ def _(spark, d):
     return status.groupBy("status").agg(F.count(F.lit(1)).alias("count"))
 
 
+@query("stage_resume_records", "bursts photons", """
+SELECT burst_id, coalesce(n, 0) AS n_photons, CASE WHEN t90 < 2 THEN 'Short' WHEN t90 < 10000 THEN 'Long' ELSE 'Ultra-long' END AS duration_class
+FROM bursts LEFT JOIN (SELECT burst_id, count(*) AS n FROM photons GROUP BY 1) USING (burst_id)""")
+def _(spark, d):
+    t = {"bursts": V.bursts(spark, d), "photons": V.photons(spark, d)}
+    first, _status = G.run(spark, t, ["acquisition"])
+    full, _status = G.run_from(spark, {"bursts": t["bursts"]}, "classification", first)
+    return full["analysis_results"].select("burst_id", F.col("metadata.n_photons").alias("n_photons"), F.col("classification.duration_class").alias("duration_class"))
+
+
 @query("live_light_curve", "", """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS t_start, user_id AS burst_id, event_type AS band, count(*) AS counts FROM events
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY GROUP BY 1, 2, 3""")

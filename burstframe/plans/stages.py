@@ -125,7 +125,8 @@ def summary(t: Tables) -> Tables:
         if name in ("temporal_properties", "pulses", "closure_relations"):
             part = df.groupBy(KEY).agg(F.count(F.lit(1)).alias(f"n_{name}"))
         else:
-            part = df.select(KEY, F.struct(*[c for c in df.columns if c != KEY]).alias(name))
+            values = [c for c in df.columns if c != KEY] or [F.lit(True).alias("present")]  # an empty struct cannot be written
+            part = df.select(KEY, F.struct(*values).alias(name))
         out = attach(out, part, [KEY], "left")
     res = {"analysis_results": out}
     numeric = [c for c in ("t90", "epeak", "eiso", "lpeak", "redshift") if c in t["bursts"].columns]
