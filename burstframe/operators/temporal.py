@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from burstframe.operators import lag_fit
 from burstframe.operators.fit import Axis, curvature_errors, profile_fit
-from burstframe.operators.lags import BLOCK, block_pairs, blocks, lag_products
+from burstframe.operators.lag_fit import fine_grid_lag, fit_lag, lag_errors  # noqa: F401
+from burstframe.operators.lags import BLOCK, lag_products
 from burstframe.operators.lightcurve import KEYS, find_peak, rebin, regrid_linear
 from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach, dense_grid, running_sums, sliding, with_position
@@ -369,132 +371,17 @@ def split_normal(x: Column, const: Column, amplitude: Column, mu: Column, s1: Co
     return const + amplitude * F.exp(-(d * d) / F.lit(2.0))
 
 
-def _noise(seed: int, ident: int, side: int, sims: range, block: int, scale: np.ndarray) -> np.ndarray:
-    """Normal noise per simulation for one block; depends only on its identifiers."""
-    out = np.empty((len(sims), len(scale)))
-    for row, s in enumerate(sims):
-        gen = np.random.Generator(np.random.Philox(key=[seed, ident & (2**64 - 1)], counter=[0, s, block, side]))
-        out[row] = gen.standard_normal(len(scale))
-    return out * scale
-
-
-def _row_corr(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Row-wise sum_i x[i] y[i+m], m = -(nx-1) .. ny-1."""
-    size = 1 << int(x.shape[1] + y.shape[1] - 2).bit_length() if x.shape[1] + y.shape[1] > 2 else 1
-    spec = np.conj(np.fft.rfft(x, size, axis=1)) * np.fft.rfft(y, size, axis=1)
-    full = np.fft.irfft(spec, size, axis=1) if size > 1 else x * y
-    nx, ny = x.shape[1], y.shape[1]
-    return np.concatenate([full[:, size - nx + 1:], full[:, :ny]], axis=1) if nx > 1 else full[:, :ny]
-
-
 def cross_correlation_errors(
     pair: DataFrame, n_sims: int = 10000, noise: str = "errors", seed: int = 1,
-    burst: str = "burst_id", sims_per_task: int = 500, block: int = BLOCK,
+    burst: str = "burst_id", sims_per_task: int = 500, block: int = lag_fit.CELLS,
 ) -> DataFrame:
     """Population deviation of the correlation per lag over noisy copies of both series.
 
-    ``noise`` is 'errors' (measured errors) or 'poisson' (sqrt of the rate).  Work is split by (block pair,
-    simulation range).  Series of one block finish their correlations inside the task and ship two moments per
-    lag; longer ones ship partial products per simulation.
+    ``noise`` is 'errors' (measured errors) or 'poisson' (sqrt of the rate).  Work is split by (burst, simulation range); a task draws
+    ``block`` values at a time (one simulation at least) and ships two moments per lag.
     """
     scale = (lambda r, e: F.sqrt(F.abs(F.col(r)))) if noise == "poisson" else (lambda r, e: F.abs(F.col(e)))
-    src = pair.select(burst, "pos", "n", "x", "y", scale("low", "low_err").alias("ex"), scale("high", "high_err").alias("ey"))
-    blk = blocks(src, [burst], "pos", ["x", "y", "ex", "ey", "n"], block).withColumn("n", F.col("n")[0])
-    pairs = block_pairs(blk, [burst], ["x", "ex", "n"], ["y", "ey"], -F.col("n"), F.col("n"), block)
-    tasks = pairs.withColumn("s0", F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1), F.lit(sims_per_task)))).withColumn(
-        "ident", F.xxhash64(burst))
-    btype = pair.schema[burst].dataType.simpleString()
-    # an explicit count: the simulations are far more work than their input size suggests
-    n_parts = int(pair.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = tasks.repartition(n_parts, burst, "s0", "_b", "_to")
-
-    def simulate(frames):
-        for f in frames:
-            keep = []
-            for r in f.itertuples(index=False):
-                row = r._asdict() if hasattr(r, "_asdict") else dict(zip(f.columns, r))
-                sims = range(row["s0"], min(row["s0"] + sims_per_task, n_sims))
-                x = row["x"] + _noise(seed, row["ident"], 0, sims, row["b"], row["ex"])
-                y = row["y"] + _noise(seed, row["ident"], 1, sims, row["to"], row["ey"])
-                c = _row_corr(x, y)
-                lag0 = row["d"] * block - (x.shape[1] - 1)
-                if row["n"] <= block:
-                    norm = np.sqrt((x * x).sum(1) * (y * y).sum(1))
-                    c = np.divide(c, norm[:, None], out=np.zeros_like(c), where=norm[:, None] > 0)
-                    keep.append((row["burst"], -1, lag0, c.sum(0), (c * c).sum(0)))
-                else:
-                    same = row["d"] == 0
-                    for k, s in enumerate(sims):
-                        extra = [(x[k] ** 2).sum(), (y[k] ** 2).sum()] if same else []
-                        keep.append((row["burst"], s, lag0, c[k], np.array(extra)))
-            yield pd.DataFrame(keep, columns=["burst", "sim", "lag0", "v", "w"])
-
-    plain = spread.select(F.col(burst).alias("burst"), "n", F.col("_b").alias("b"), F.col("_to").alias("to"),
-                          F.col("_d").alias("d"), "s0", "ident", "x", "ex", "y", "ey")
-    out = plain.mapInPandas(simulate, f"burst {btype}, sim bigint, lag0 bigint, v array<double>, w array<double>")
-    short = out.filter("sim < 0").select("burst", "lag0", F.posexplode(F.arrays_zip("v", "w")).alias("i", "m")).groupBy(
-        "burst", (F.col("lag0") + F.col("i")).alias("lag")).agg(F.sum("m.v").alias("s1"), F.sum("m.w").alias("s2"))
-    long_parts = out.filter("sim >= 0")
-    norms = long_parts.filter(F.size("w") == 2).groupBy("burst", "sim").agg(
-        F.sqrt(F.sum(F.col("w")[0]) * F.sum(F.col("w")[1])).alias("norm"))
-    long_ = (
-        long_parts.select("burst", "sim", "lag0", F.posexplode("v").alias("i", "p"))
-        .groupBy("burst", "sim", (F.col("lag0") + F.col("i")).alias("lag")).agg(F.sum("p").alias("p"))
-        .join(norms, ["burst", "sim"]).withColumn("c", F.coalesce(F.try_divide("p", "norm"), F.lit(0.0)))
-        .groupBy("burst", "lag").agg(F.sum("c").alias("s1"), F.sum(F.col("c") * F.col("c")).alias("s2")))
-    ns = F.lit(float(n_sims))
-    var = F.col("s2") / ns - (F.col("s1") / ns) * (F.col("s1") / ns)
-    dev = short.unionByName(long_).select(F.col("burst").alias(burst), "lag", F.sqrt(F.greatest(var, F.lit(0.0))).alias("ccf_err"))
-    size = pair.groupBy(burst).agg(F.max("n").alias("_n"))
-    grid = dense_grid(size, F.col("_n") * 2 + 1, "_i").select(burst, (F.col("_i") - F.col("_n")).alias("lag"))
-    return grid.join(dev, [burst, "lag"], "left").withColumn("ccf_err", F.coalesce("ccf_err", F.lit(0.0)))
-
-
-def _split_shape(p: dict[str, Column]) -> Column:
-    return split_normal(F.col("offset"), F.lit(0.0), F.lit(1.0), p["mu"], p["sigma1"], p["sigma2"])
-
-
-def fit_lag(
-    ccf: DataFrame, burst: str = "burst_id", window: tuple[int, int] | None = None
-) -> DataFrame:
-    """Split-normal fit of the correlation; the lag is its mode.
-
-    ``window`` limits the fit to lags peak+window[0] .. peak+window[1].
-    """
-    if window is not None:
-        top = ccf.groupBy(burst).agg(F.max_by("lag", F.struct("ccf", -F.col("lag"))).alias("_pk"))
-        ccf = attach(ccf, top, [burst]).filter(
-            F.col("lag").between(F.col("_pk") + window[0], F.col("_pk") + window[1])).drop("_pk")
-    r = ccf.groupBy(burst).agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
-    r = r.withColumn("_range", F.col("_hi") - F.col("_lo")).withColumn("_smin", F.lit(1e-6))
-    pts = attach(ccf, r, [burst])
-    axes = [Axis("mu", "_lo", "_hi", 25), Axis("sigma1", "_smin", "_range", 12, True), Axis("sigma2", "_smin", "_range", 12, True)]
-    fit = profile_fit(pts, [burst], axes, _split_shape, stat="chi2_offset", y="ccf", err=None,
-                      norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
-    return fit.withColumnsRenamed({"norm": "amplitude", "offset": "const", "stat": "chi_sq"}).withColumn("lag", F.col("mu"))
-
-
-def lag_errors(
-    ccf: DataFrame, fit: DataFrame, n_sims: int = 1000, seed: int = 2, burst: str = "burst_id"
-) -> DataFrame:
-    """Deviation of the lag over refits of correlations redrawn within ``ccf_err``; NaN if none succeeds.
-
-    Simulations are keys of one more fit within the limits of the first, from the observed optimum.
-    """
-    good = fit.filter("fit_success")
-    r = ccf.groupBy(burst).agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
-    r = r.withColumn("_range", F.col("_hi") - F.col("_lo")).withColumn("_smin", F.lit(1e-6))
-    every = F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))).alias("sim")
-    sims = attach(attach(ccf, r, [burst]), good.select(burst), [burst]).select("*", every)
-    u = lambda k: (F.shiftrightunsigned(F.xxhash64(F.lit(seed + k), burst, "sim", "lag"), 11) + 1) / F.lit(2.0**53 + 1)
-    normal = F.sqrt(F.lit(-2.0) * F.ln(u(0))) * F.cos(F.lit(2 * np.pi) * u(1))
-    err = F.when(F.col("ccf_err") > 0, F.col("ccf_err")).otherwise(F.lit(1e-10))
-    drawn = sims.withColumn("ccf", F.col("ccf") + normal * err)
-    axes = [Axis("mu", "_lo", "_hi", 25), Axis("sigma1", "_smin", "_range", 12, True), Axis("sigma2", "_smin", "_range", 12, True)]
-    refit = profile_fit(drawn, [burst, "sim"], axes, _split_shape, stat="chi2_offset", y="ccf", err=None,
-                        start=good.select(burst, every, "mu", "sigma1", "sigma2"), norm_bounds=(0.0, 2.0), offset_bounds=(-1.0, 1.0), min_points=5)
-    dev = refit.filter("fit_success").groupBy(burst).agg(F.stddev_pop("mu").alias("lag_err"))
-    return attach(fit.select(burst), dev, [burst], "left").withColumn("lag_err", F.coalesce("lag_err", F.lit(float("nan"))))
+    return lag_fit.correlation_errors(pair, n_sims, scale, seed, burst, sims_per_task, block)
 
 
 def spectral_lag(

@@ -222,5 +222,6 @@ def _(spark, d):
 def _(spark, d):
     from burstframe.operators import temporal as T
 
-    pair = T.prepare_lag_pair(V.lightcurves_dense_pair(spark, d), "view", "click", -14.0, 16.0, center=False)
-    return T.fit_lag(keep(T.cross_correlation(pair)), window=(-1000, 2000))
+    pair = keep(T.prepare_lag_pair(V.lightcurves_dense_pair(spark, d), "view", "click", -14.0, 16.0, center=False))
+    ccf = keep(T.cross_correlation(pair).join(T.cross_correlation_errors(pair), ["burst_id", "lag"]))
+    return T.fit_lag(ccf, window=(-1000, 2000)).join(T.fine_grid_lag(ccf), "burst_id", "left")
