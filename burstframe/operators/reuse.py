@@ -18,10 +18,11 @@ def _root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/burstframe-{spark.sparkContext.applicationId}"
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, *partition_by: str) -> DataFrame:
+    """The frame written and read back; with ``partition_by`` a filter on these columns reads its own files only."""
     spark = df.sparkSession
     path = f"{_root(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
     return spark.read.schema(df.schema).parquet(path)
 
 

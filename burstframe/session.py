@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot series even when the split costs one more exchange above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows may carry arrays of many thousand values: batches for Python are bounded by bytes, too
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 
