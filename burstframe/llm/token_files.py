@@ -9,7 +9,8 @@ Layout of a folder (all integers little-endian):
 * ``shards`` and ``buckets``: Parquet tables that name the files.  A retried task writes files under another tag; files that no table names are leftovers.
 
 Documents are ordered by id (null first), rows of one id by a hash of their text; shards are even ranges of that order, so an id with a third of all rows
-is spread over many shards.  A key is (id, run): run 0 is the id's first shard and knows how many further shards hold the id.
+is spread over many shards.  The first key of each shard is found on the ids and hashes alone and sent to the tasks (one entry for each shard), so texts
+are encoded once and their ids shuffled once.  A key is (id, run): run 0 is the id's first shard and knows how many further shards hold the id.
 The perfect hash is a cascade of bit arrays: a level keeps the keys that meet no other key and hands on the rest; a key's slot is the number of bits set
 before its own.  Access costs one bucket, one slot, two positions and one read, whatever the size of the folder.
 """
@@ -19,6 +20,7 @@ from __future__ import annotations
 import re
 import struct
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +33,10 @@ from burstframe.llm.common import mix64
 from burstframe.operators.reuse import keep
 from burstframe.session import ensure_checkpoint_dir
 
-#: Bytes of ids in a shard, and keys in an index bucket.
+#: Bytes of text in a shard (its ids take about as many), and keys in an index bucket.
 SHARD_BYTES, BUCKET_KEYS = 16 << 20, 200_000
-#: Entries that a worker's memory holds before it is emptied, and the longest chunk that it remembers.
-REMEMBERED, LONGEST = 700_000, 48
+#: Chunks and pieces that a worker remembers at most (the oldest go first), and the longest chunk that it remembers.
+REMEMBERED, PIECES_KEPT, LONGEST = 1_400_000, 100_000, 48
 #: Bytes that one read of neighbouring records takes at most (a longer record is a read of its own).
 READ_BYTES = 4 << 20
 #: The published split of byte-level vocabularies (fixed value).
@@ -62,32 +64,43 @@ class Chunks(dict):
     def __init__(self, tokenizer, kind: str, lead: str = " "):
         super().__init__()
         self.tokenizer, self.kind, self.lead = tokenizer, kind, lead
-        self.model, self.names, self.pieces = tokenizer.model.tokenize, byte_names(), {}
+        self.model, self.names = tokenizer.model.tokenize, byte_names()
+        self.old: dict[str, bytes | None] = {}  # the half that has not been asked for lately
+        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes | None:
-        if not chunk and self.lead or chunk and (chunk[0].isspace() or chunk[-1].isspace() or "\u180e" in chunk):
+        if chunk in self.old:
+            found = self.old.pop(chunk)
+        elif not chunk and self.lead or chunk and (chunk[0].isspace() or chunk[-1].isspace() or "\u180e" in chunk):
             found = None
         else:
             found = self.whole(self.lead + chunk)
         if len(chunk) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.old = dict(self)
                 self.clear()
-                self.pieces.clear()
             self[chunk] = found
         return found
 
     def whole(self, text: str) -> bytes:
-        if len(text) > LONGEST or not PLAIN.fullmatch(text):
+        if len(text) > LONGEST or not (text.isprintable() and (text.isascii() or max(text) <= "\u024f") or PLAIN.fullmatch(text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            return self.piece(text)
         out = []
         for piece in PIECES.findall(text):
             ids = self.pieces.get(piece)
             if ids is None:
-                name = piece.encode().decode("latin1").translate(self.names)
-                ids = self.pieces[piece] = np.array([t.id for t in self.model(name)], self.kind).tobytes()
+                if len(self.pieces) >= PIECES_KEPT:
+                    self.pieces.clear()
+                ids = self.pieces[piece] = self.piece(piece)
             out.append(ids)
         return b"".join(out)
 
+    def piece(self, piece: str) -> bytes:
+        name = piece.encode().decode("latin1").translate(self.names)
+        return np.array([t.id for t in self.model(name)], self.kind).tobytes()
+
 
 class Encoder:
     """Whole texts to ids, equal to the library's ``encode(text, add_special_tokens=False)``."""
@@ -117,24 +130,32 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoded(docs: DataFrame, tokenizer: str, end: int, text: str = "text") -> DataFrame:
-    """Rows with ``ids`` (bytes in the width of the vocabulary, ``end`` last) in place of the text; null text has the end id only."""
-    from pyspark.sql.types import BinaryType, StructType
+def encoded(docs: DataFrame, tokenizer: str, end: int, bounds: list[tuple]) -> DataFrame:
+    """Rows of (doc_id, t1, t2, row, text) with ``ids`` (bytes in the width of the vocabulary, ``end`` last) and ``shard`` in place of the text."""
+    from pyspark.sql.types import BinaryType, IntegerType, StructType
 
-    kept = [c for c in docs.columns if c not in (text, "ids")]
-    rows = docs.select(*kept, F.col(text).cast("string").alias("__text"))
-    schema = StructType([*[rows.schema[c] for c in kept]]).add("ids", BinaryType())
+    kept = ["doc_id", "t1", "t2", "row"]
+    rows = docs.select(*kept, "text")
+    schema = StructType([*[rows.schema[c] for c in kept]]).add("ids", BinaryType()).add("shard", IntegerType())
+    shared = docs.sparkSession.sparkContext.broadcast(bounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, Encoder(tokenizer))
         last = np.array([end], encoder.kind).tobytes()
+        firsts = shared.value
         for batch in batches:
-            ids = [encoder.encode(t or "") + last for t in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(ids, pa.binary())], names=[*kept, "ids"])
+            ids = [encoder.encode(t or "") + last for t in batch.column(4).to_pylist()]
+            shard = [bisect_right(firsts, _place(*k)) - 1 for k in zip(*[c.to_pylist() for c in batch.columns[:4]])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary()), pa.array(shard, pa.int32())], names=[*kept, "ids", "shard"])
 
     return rows.mapInArrow(run, schema)
 
 
+def _place(doc_id, *rest: int) -> tuple:
+    """A row's place in the order of documents, to be compared."""
+    return (doc_id is not None, 0 if doc_id is None else doc_id, *rest)
+
+
 class PerfectHash:
     """A minimal perfect hash of distinct 128-bit keys (two unsigned 64-bit arrays)."""
 
@@ -234,15 +255,18 @@ class TokenFiles:
         spark = docs.sparkSession
         folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
         body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+        order = ["doc_id", "t1", "t2", "row"]
         rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("t1"), F.xxhash64(F.lit(7), body).alias("t2"),
                            F.monotonically_increasing_id().alias("row"), body.alias("text"))
-        ids = keep(encoded(rows, tokenizer, end))
-        total = ids.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0]
-        order = ["doc_id", "t1", "t2", "row"]
-        n_shards = max(1, -(-total // shard_bytes))
-        ranged = ids.repartitionByRange(n_shards, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+        keys = keep(rows.select(*order, F.octet_length("text").alias("size")))
+        n_shards = max(1, -(-(keys.agg(F.sum("size")).first()[0] or 0) // shard_bytes))
+        firsts = keys.select(*order).repartitionByRange(n_shards, *order).groupBy(F.spark_partition_id()).agg(F.min(F.struct(*order)).alias("k"))
+        bounds = sorted(_place(*r["k"]) for r in firsts.collect())  # one entry for each shard
+        bounds[:1] = [(False,)]  # nothing comes before the first shard
+        ids = encoded(rows, tokenizer, end, bounds)
+        ranged = ids.repartitionById(len(bounds), F.col("shard")).sortWithinPartitions("shard", *order).select("doc_id", "ids", "shard")
         width = 2 if Encoder(tokenizer).kind == "<u2" else 4
-        runs = keep(ranged.mapInArrow(_shard_writer(folder, width), f"doc_id {dict(ids.dtypes)['doc_id']}, shard long, tag string, record long, count long, n_ids long, edge boolean"))
+        runs = keep(ranged.mapInArrow(_shard_writer(folder, width), f"doc_id {dict(keys.dtypes)['doc_id']}, shard long, tag string, record long, count long, n_ids long, edge boolean"))
         shards = runs.groupBy("shard", "tag").agg(F.sum("count").alias("n_docs"), F.sum("n_ids").alias("n_ids"))
         earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
         shards.withColumn("start", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).write.parquet(f"{folder}/shards")
@@ -280,9 +304,7 @@ class TokenFiles:
 
 def _shard_writer(folder: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard, tag = TaskContext.get().partitionId(), uuid.uuid4().hex
+        shard, tag = None, uuid.uuid4().hex
         out = ends = None
         place = records = 0
         open_run = None  # [id, first record, records, ids]
@@ -299,6 +321,7 @@ def _shard_writer(folder: str, width: int):
             if not batch.num_rows:
                 continue
             if out is None:
+                shard = batch.column(2)[0].as_py()  # a partition is one shard
                 fs, path = _store(folder)
                 fs.create_dir(path, recursive=True)
                 out, ends = fs.open_output_stream(f"{path}/ids-{shard}-{tag}.bin"), fs.open_output_stream(f"{path}/off-{shard}-{tag}.bin")
