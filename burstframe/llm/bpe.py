@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from burstframe.llm.common import blocks
 
-#: Words whose codes a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 300_000
+#: Chunks whose codes a worker remembers (those not met lately go first), and the longest chunk that it remembers: together some 200 MB at most.
+REMEMBERED, LONGEST = 900_000, 64
 #: Control characters that Python's split takes for white space but the tokenizer does not.
 NOT_WHITE = ("\x1c", "\x1d", "\x1e", "\x1f")
 SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -47,7 +47,8 @@ class PairIndexBpe:
         vocab, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.names = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
+        names = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
+        self.names = [names.get(i, "") for i in range(max(names, default=-1) + 1)]
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + suffix] for s in symbols]
@@ -134,52 +135,67 @@ class PairIndexBpe:
         return [[x for x in sym[a:b] if x >= 0] for a, b in zip(starts, ends)]
 
     def remember(self, chunks: set[str], memory: dict) -> None:
-        """Put (little-endian ids, decoded text) of new chunks into ``memory``."""
+        """Put the little-endian ids of new chunks into ``memory``."""
         parts = {}
         for c in chunks:
             parts[c] = None if c in self.special else [c] if c.isalpha() else self.pieces.findall(c)
         words = list({w for p in parts.values() if p for w in p})
         codes = dict(zip(words, self.encode_words(words)))
-        names = self.names
         for c, p in parts.items():
-            ids = [self.special[c]] if p is None else [x for w in p for x in codes[w]]
-            memory[c] = (np.array(ids, "<u4").tobytes(), " ".join([names[x] for x in ids]))
+            memory[c] = np.array([self.special[c]] if p is None else [x for w in p for x in codes[w]], "<u4").tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
         """Names of the ids joined by spaces, as there is no decoder in the file; special tokens are kept."""
-        return " ".join([self.names[x] for x in ids.tolist()])
+        return " ".join(map(self.names.__getitem__, ids.tolist()))
 
 
-_MEMORY: dict = {}
+class Memory:
+    """Ids of the chunks met lately, in two halves: the older half goes when the younger is full."""
 
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Documents with ``n_tokens``, ``id_bytes`` (ids as little-endian unsigned 32-bit integers) and ``decoded``.
+    def encode(self, bpe: PairIndexBpe, texts: list[str]) -> list[bytes]:
+        if len(self.young) > REMEMBERED // 2:
+            self.old, self.young = self.young, {}
+        cut = [bpe.chunks(t) for t in texts]
+        new = set().union(*cut).difference(self.young)
+        for c in [c for c in new if c in self.old]:
+            self.young[c] = self.old.pop(c)
+            new.remove(c)
+        if new:
+            bpe.remember(new, self.young)
+        ids = [b"".join(map(self.young.__getitem__, chunks)) for chunks in cut]
+        for c in new:
+            if len(c) > LONGEST:
+                del self.young[c]
+        return ids
+
+
+_MEMORY: dict[str, Memory] = {}
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", arrays: bool = False) -> DataFrame:
+    """Documents with ``n_tokens``, ``id_bytes`` (ids as little-endian unsigned 32-bit integers) and ``decoded``, the text of these ids.
 
     Null text counts as empty and has no tokens; every row is encoded by itself, so repeats give equal results.  Special tokens are not added,
-    but their strings in a text are their ids.  Input columns with the names of results are replaced.
+    but their strings in a text are their ids.  Very long texts and chunks are encoded whole; chunks over ``LONGEST`` characters are not remembered.
+    An empty table gives an empty result.  Input columns with the names of results are replaced.  ``arrays`` adds ``ids`` as an array.
     """
-    made = ("n_tokens", "id_bytes", "decoded")
+    made = ("n_tokens", "id_bytes", "decoded", *(["ids"] if arrays else []))
     shared = docs.sparkSession.sparkContext.broadcast(PairIndexBpe(path))
 
-    @F.pandas_udf("n_tokens long, id_bytes binary, decoded string")
+    @F.pandas_udf("n_tokens long, id_bytes binary, decoded string" + (", ids array<int>" if arrays else ""))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = shared.value
-        memory = _MEMORY.setdefault(path, {})
+        bpe, memory = shared.value, _MEMORY.setdefault(path, Memory())
         for batch in batches:
             texts = [t or "" for t in batch]
-            out = []
-            for a, b in blocks([len(t) for t in texts]):
-                cut = [bpe.chunks(t) for t in texts[a:b]]
-                if len(memory) > REMEMBERED:
-                    memory.clear()
-                if new := set().union(*cut).difference(memory):
-                    bpe.remember(new, memory)
-                for chunks in cut:
-                    found = [f for c in chunks if (f := memory[c])[0]]
-                    ids = b"".join([f[0] for f in found])
-                    out.append((len(ids) // 4, ids, " ".join([f[1] for f in found])))
-            yield pd.DataFrame(out, columns=list(made))
+            raw = [ids for a, b in blocks([len(t) for t in texts]) for ids in memory.encode(bpe, texts[a:b])]
+            out = {"n_tokens": [len(x) // 4 for x in raw], "id_bytes": raw, "decoded": [bpe.decode(np.frombuffer(x, "<u4")) for x in raw]}
+            if arrays:
+                out["ids"] = [np.frombuffer(x, "<i4") for x in raw]
+            yield pd.DataFrame(out)
 
     keep = [c for c in docs.columns if c not in made or c == text]
     rows = docs.select(*keep, run(F.col(text).cast("string")).alias("__bpe"))

@@ -280,4 +280,4 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert sum(n.startswith("op") for n in names if n[2].isdigit()) == 10 and "pipeline" in names
+    assert sum(n.startswith("op") for n in names if n[2].isdigit()) == 13 and "pipeline" in names

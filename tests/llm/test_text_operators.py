@@ -44,7 +44,7 @@ def test_bpe_odd_characters(spark):
     for t in ("a\x1cb\x1d", "x\x85y\xa0z", "ΑΣ Σ", "İ ǅ ẞ", "aaaaaaa aaaa", "<|startoftext|>x<|endoftext|", "1½²Ⅷ٣", "é ̈", "'s't're DON'T", "　x​z", "\x00 \x7f"):
         memory = {}
         mine.remember(set(mine.chunks(t)), memory)
-        ids = np.frombuffer(b"".join(memory[c][0] for c in mine.chunks(t)), "<u4").tolist()
+        ids = np.frombuffer(b"".join(memory[c] for c in mine.chunks(t)), "<u4").tolist()
         assert ids == lib.encode(t, add_special_tokens=False).ids, t
 
 
@@ -259,3 +259,32 @@ def test_attention_gradients_and_windows():
     changed = rows.copy()
     changed[:, -1] = 3  # a later subword changes nothing before it
     assert np.allclose(model.forward(changed, first)[0][:, :-1], logp[:, :-1], atol=1e-5)
+
+
+def test_bpe_memory_is_bounded(monkeypatch):
+    """Two halves, old chunks promoted, long chunks not remembered; ids equal the library throughout."""
+    import random
+
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from burstframe.llm import bpe as B
+
+    monkeypatch.setattr(B, "REMEMBERED", 60)
+    path = P.path("word_bpe_49k.json")
+    lib, mine, memory, rng = Tokenizer.from_file(path), B.PairIndexBpe(path), B.Memory(), random.Random(3)
+    words = ["".join(rng.choices("abcdeé,.1", k=rng.randint(1, 6))) for _ in range(300)]
+    for _ in range(60):
+        texts = [" ".join(rng.choices(words, k=5)), "z" * 70 + " a", ""]
+        got = memory.encode(mine, texts)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(memory.young) <= 30 + 20 and len(memory.old) <= 50 and not any(len(c) > B.LONGEST for c in memory.young)
+
+
+def test_bpe_arrays(spark, docs):
+    import public_tokenizers as P
+
+    from burstframe.llm.bpe import encode
+
+    for r in encode(docs, P.path("word_bpe_49k.json"), arrays=True).collect():
+        assert r["ids"] == np.frombuffer(r["id_bytes"], "<i4").tolist() and r["n_tokens"] == len(r["ids"])
