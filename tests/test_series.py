@@ -147,3 +147,21 @@ def test_bootstrap_error_matches_resampling(spark, series):
             if c[-1] > 0:
                 d.append(np.interp(0.95, c / c[-1], a[idx, 1]) - np.interp(0.05, c / c[-1], a[idx, 1]))
         assert got[b] == pytest.approx(np.std(d), rel=0.1)
+
+
+@pytest.mark.parametrize("size,values", [(4, 1 << 18), (8, 24), (16, 1)])
+def test_lag_products_of_many_blocks(spark, size, values, monkeypatch):
+    """Long, short and one-bin series; few and single frequencies in a group; all lags against direct sums."""
+    monkeypatch.setattr(lags, "GROUP_VALUES", values)
+    rng = np.random.default_rng(size)
+    data = {name: rng.normal(size=(n, 2)) for name, n in (("a", 131), ("b", 64), ("c", 9), ("d", 1), ("e", 33))}
+    rows = [(name, i, float(v[i, 0]), float(v[i, 1]), len(v)) for name, v in data.items() for i in range(len(v))]
+    df = spark.createDataFrame(rows, "k string, pos long, x double, y double, n long").repartition(4)
+    got = {(r["k"], r["lag"]): r["sxy"] for r in lags.lag_products(df, ["k"], "pos", "x", "y", -F.col("n"), F.col("n"), "n", size).collect()}
+    for name, v in data.items():
+        n = len(v)
+        for lag, want in zip(range(1 - n, n), np.correlate(v[:, 1], v[:, 0], "full")):
+            assert got.pop((name, lag)) == pytest.approx(want, abs=1e-9)
+    assert not got
+    some = {r["lag"] for r in lags.lag_products(df.where("k = 'a'"), ["k"], "pos", "x", "y", F.lit(0), F.lit(5), "n", size).collect()}
+    assert some == set(range(6))
