@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from burstframe.operators.reuse import keep
 
 BLOCK, QUERY_BLOCK = 8192, 2048
-#: A block reranks so many members at least.
-FEW = 1024
 
 
 def usable(vector: Column) -> Column:
@@ -64,8 +62,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = 128,
            vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows with the largest cosine to each row that ``is_query`` selects, its own row left out.
 
-    Ties go to the smaller id.  Rows with a null id, unusable vectors and vectors of another length than most (ties: the longer) take no part; rows
-    that repeat an id with the same vector count once.  A query with fewer candidates gets all of them; an empty table gives an empty result.
+    Ties go to the smaller id.  Rows with a null id, unusable vectors and vectors of another length than most (ties: the longer) take no part.  An id is one
+    query and one candidate, however often it stands: with several vectors the best score of any pair counts, and an id is never its own
+    neighbour.  Each block reranks the ``rerank`` share of its members, whatever its size, and enough for ``k`` results.  A query with fewer candidates gets
+    all of them; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     rows = vectors.where(usable(F.col(vector)) & F.col(vec_id).isNotNull())
@@ -99,20 +99,32 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = 128,
             norms = np.linalg.norm(x, axis=1)
             files = Files(permutations(_unit(x), shared.value, prefix), len(shared.value))
             ids = block["ids"].to_numpy()
-            take = min(len(x), max(FEW, int(np.ceil(rerank * len(x)))))
+            take = min(len(x), max(k + 1, int(np.ceil(rerank * len(x)))))
             for h1, h2, q, perm in zip(queries["h1"], queries["h2"], y, permutations(_unit(y), shared.value, prefix)):
                 near = np.argpartition(files.footrule(perm), take - 1)[:take]
                 score = (x[near] @ q) / (norms[near] * np.linalg.norm(q))
-                least = np.partition(score, -min(k + 1, take))[-min(k + 1, take)]
-                found = sorted((-s, i) for j, s in zip(near[score >= least], score[score >= least]) for i in ids[j])[: k + 1]
+                wanted = k + 1
+                while True:  # more vectors while some of them belong to the same ids
+                    m = min(wanted, take)
+                    least = np.partition(score, -m)[-m]
+                    best_of: dict[int, float] = {}
+                    for j, s in zip(near[score >= least], score[score >= least]):
+                        for i in ids[j]:
+                            best_of[i] = max(s, best_of.get(i, -np.inf))
+                    if len(best_of) > k or m == take:
+                        break
+                    wanted *= 4
+                found = sorted((-s, i) for i, s in best_of.items())[: k + 1]
                 for column, values in zip(out, ([h1] * len(found), [h2] * len(found), [i for _, i in found], [-s for s, _ in found])):
                     column += values
         return pd.DataFrame(dict(zip(("h1", "h2", "found", "score"), out))).astype({"h1": "int64", "h2": "int64", "found": "int64", "score": "float64"})
 
     found = left.groupBy("b", "a").cogroup(right.groupBy("b", "a")).applyInPandas(best, "h1 long, h2 long, found long, score double")
     order = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), "found")
-    top = found.withColumn("i", F.row_number().over(order)).where(F.col("i") <= k + 1).select("h1", "h2", "found", "score")
+    single = found.groupBy("h1", "h2", "found").agg(F.max("score").alias("score"))
+    top = single.withColumn("i", F.row_number().over(order)).where(F.col("i") <= k + 1).select("h1", "h2", "found", "score")
     ask = rows.where("q").select("h1", "h2", F.col("vec_id").alias("query_id")).distinct()
-    mine = Window.partitionBy("query_id", "h1", "h2").orderBy(F.desc("score"), "found")
-    pairs = ask.join(top, ["h1", "h2"]).where("query_id != found").withColumn("rank", F.row_number().over(mine)).where(F.col("rank") <= k)
-    return pairs.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("found").alias("vec_id"), "score")
+    pairs = ask.join(top, ["h1", "h2"]).where("query_id != found").groupBy("query_id", "found").agg(F.max("score").alias("score"))
+    mine = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
+    ranked = pairs.withColumn("rank", F.row_number().over(mine)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("found").alias("vec_id"), "score")
