@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from burstframe.llm.common import blocks
 
-#: Chunks whose codes a worker remembers (those not met lately go first), and the longest chunk that it remembers: together some 200 MB at most.
-REMEMBERED, LONGEST = 900_000, 64
+#: Chunks whose codes a worker remembers (those not met lately go first), and the longest chunk that it remembers: together some 80 MB at most.
+REMEMBERED, LONGEST = 400_000, 64
+#: Characters of text that are encoded and handed on at once (a longer text by itself), so that results do not pile up in the worker.
+AT_ONCE = 1 << 20
 #: Control characters that Python's split takes for white space but the tokenizer does not.
 NOT_WHITE = ("\x1c", "\x1d", "\x1e", "\x1f")
 SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -191,11 +193,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", arrays: bool = False)
         bpe, memory = shared.value, _MEMORY.setdefault(path, Memory())
         for batch in batches:
             texts = [t or "" for t in batch]
-            raw = [ids for a, b in blocks([len(t) for t in texts]) for ids in memory.encode(bpe, texts[a:b])]
-            out = {"n_tokens": [len(x) // 4 for x in raw], "id_bytes": raw, "decoded": [bpe.decode(np.frombuffer(x, "<u4")) for x in raw]}
-            if arrays:
-                out["ids"] = [np.frombuffer(x, "<i4") for x in raw]
-            yield pd.DataFrame(out)
+            for a, b in blocks([len(t) for t in texts], AT_ONCE):
+                raw = memory.encode(bpe, texts[a:b])
+                out = {"n_tokens": [len(x) // 4 for x in raw], "id_bytes": raw, "decoded": [bpe.decode(np.frombuffer(x, "<u4")) for x in raw]}
+                if arrays:
+                    out["ids"] = [np.frombuffer(x, "<i4") for x in raw]
+                yield pd.DataFrame(out)
 
     keep = [c for c in docs.columns if c not in made or c == text]
     rows = docs.select(*keep, run(F.col(text).cast("string")).alias("__bpe"))
