@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from burstframe.operators import lag_fit
 from burstframe.operators.fit import Axis, curvature_errors, profile_fit
 from burstframe.operators.lag_fit import fine_grid_lag, fit_lag, lag_errors  # noqa: F401
-from burstframe.operators.lags import BLOCK, lag_products
+from burstframe.operators.lags import BLOCK, blocks, lag_products
 from burstframe.operators.lightcurve import KEYS, find_peak, rebin, regrid_linear
 from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach, dense_grid, running_sums, sliding, with_position
