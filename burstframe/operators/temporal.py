@@ -92,6 +92,12 @@ def t90_bootstrap_error(
         F.struct((F.col(pos) * 2).alias("o"), first_f.alias("f"), F.col("t").alias("t")),
         F.struct((F.col(pos) * 2 + 1).alias("o"), last_f.alias("f"), F.col("t").alias("t")),
     )))
+    return _resampled_deviation(sizes, pts, keys, lo, hi)
+
+
+def _resampled_deviation(sizes: DataFrame, pts: DataFrame, keys: Sequence[str], lo: float, hi: float) -> DataFrame:
+    """Deviation of the durations of resampled series given as (keys, _sim, order o, cumulative fraction f, time t)."""
+    sim = [*keys, "_sim"]
     f, pt = F.col("f"), F.struct("f", "t")
     agg = pts.groupBy(*sim).agg(
         F.min_by("t", "o").alias("_first"),
@@ -105,6 +111,29 @@ def t90_bootstrap_error(
         *keys, F.coalesce("t90_err", F.lit(0.0)).alias("t90_err"), F.coalesce("n_valid", F.lit(0)).alias("n_valid"))
 
 
+def t90_bootstrap_draw_order(
+    lc: DataFrame, n_sims: int = 100, confidence: float = 0.9, seed: int = 1,
+    keys: Sequence[str] = KEYS, pos: str = "bin_idx",
+) -> DataFrame:
+    """As :func:`t90_bootstrap_error`, but counts are cumulated in the order of the draws, so single durations may be negative.
+
+    ``pos`` numbers the bins of a series from 0 without gaps.  Draw i of simulation s picks bin floor(u * n), u being the first 52 bits of the md5 of
+    'seed|keys|s|i'; null keys are left out of that text.  The drawn bins come by a join on (series, bin), sums run over chunks of draws, so
+    neither a series nor a simulation has to fit a task.  Simulations without a positive total are skipped; a series without any has error 0.
+    """
+    keys = list(keys)
+    lo, hi = (1 - confidence) / 2, 1 - (1 - confidence) / 2
+    sim = [*keys, "_sim"]
+    sizes = lc.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    draws = attach(lc.select(*keys, F.col(pos).alias("o")), sizes, keys).withColumn("_sim", F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))))
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *keys, "_sim", "o")), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
+    draws = draws.select(*sim, "o", F.floor(u * F.col("_n")).cast("long").alias(pos))
+    drawn = keep(draws.join(lc.select(*keys, F.col(pos).cast("long").alias(pos), "t", (F.col("rate") * F.col("binsize")).alias("_c")), [*keys, pos]))
+    total = drawn.groupBy(*sim).agg(F.sum("_c").alias("_total")).filter("_total > 0")
+    pts = attach(running_sums(drawn, sim, "o", {"_cum": F.col("_c")}), total, sim).select(*sim, "o", (F.col("_cum") / F.col("_total")).alias("f"), "t")
+    return _resampled_deviation(sizes, pts, keys, lo, hi)
+
+
 def peak_flux(lc: DataFrame, binsize: float = 1.0, keys: Sequence[str] = KEYS) -> DataFrame:
     """Peak after rebinning to ``binsize``."""
     return find_peak(rebin(lc, binsize, keys), keys)

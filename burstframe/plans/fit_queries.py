@@ -202,6 +202,15 @@ def _(spark, d):
     return fit_fred_pulse(V.lightcurves_dense(spark, d))
 
 
+@query("fred_pulses_joint_fit")
+def _(spark, d):
+    """Up to three pulses a series in one joint fit, their number by BIC."""
+    from burstframe.operators.pulse_fit import fit_fred_pulses
+
+    out = fit_fred_pulses(V.lightcurves_dense(spark, d))
+    return out.select("burst_id", "band", "n_pulses", "chi_sq", "dof", "aic", "bic", "fit_success", F.posexplode_outer("pulses").alias("pulse", "p")).select("*", "p.*").drop("p")
+
+
 @query("spectral_lag_peak_fit")
 def _(spark, d):
     from burstframe.operators import temporal as T

@@ -57,6 +57,27 @@ def _(spark, d):
     return T.t90_bootstrap_error(V.lightcurves_dense(spark, d))
 
 
+@query("t90_bootstrap_draw_order", "lightcurves_dense", """
+WITH n AS (SELECT burst_id, band, count(*) AS n FROM lightcurves_dense GROUP BY 1, 2),
+d AS (SELECT burst_id, band, i AS sim, bin_idx AS o,
+        floor(('0x' || substr(md5(concat_ws('|', 1, burst_id, band, i, bin_idx)), 1, 13))::BIGINT::DOUBLE / 4503599627370496e0 * n)::BIGINT AS bin_idx
+      FROM lightcurves_dense JOIN n USING (burst_id, band), range(100) r(i)),
+c AS (SELECT burst_id, band, sim, o, t, sum(rate * binsize) OVER w AS c, sum(rate * binsize) OVER (PARTITION BY burst_id, band, sim) AS tot
+      FROM d JOIN lightcurves_dense USING (burst_id, band, bin_idx) WINDOW w AS (PARTITION BY burst_id, band, sim ORDER BY o)),
+f AS (SELECT *, c / tot AS f FROM c WHERE tot > 0),
+p AS (SELECT * FROM (VALUES (0, (1 - 0.9e0) / 2), (1, 1 - (1 - 0.9e0) / 2)) v(k, p)),
+b AS (SELECT burst_id, band, sim, k, p, arg_min(t, o) AS t0, arg_max(t, o) FILTER (WHERE f <= p) AS lt, arg_max(f, o) FILTER (WHERE f <= p) AS lf,
+        arg_min(t, o) FILTER (WHERE f > p) AS rt, arg_min(f, o) FILTER (WHERE f > p) AS rf FROM f, p GROUP BY ALL),
+x AS (SELECT burst_id, band, sim, k, CASE WHEN lf IS NULL THEN t0 WHEN rf IS NULL THEN lt ELSE (rt - lt) / (rf - lf) * (p - lf) + lt END AS t FROM b),
+e AS (SELECT burst_id, band, stddev_pop(y) AS err, count(*) AS k FROM (SELECT burst_id, band, sim, max(t) FILTER (WHERE k = 1) - max(t) FILTER (WHERE k = 0) AS y
+      FROM x GROUP BY 1, 2, 3) GROUP BY 1, 2)
+SELECT burst_id, band, round(coalesce(err, 0), 6) AS t90_err, coalesce(k, 0) AS n_valid FROM n LEFT JOIN e USING (burst_id, band)""")
+def _(spark, d):
+    """Resampled durations with counts cumulated in the order of the draws."""
+    out = T.t90_bootstrap_draw_order(V.lightcurves_dense(spark, d))
+    return out.select("burst_id", "band", r6("t90_err").alias("t90_err"), "n_valid")
+
+
 @query("peak_flux_at_resolution", "lightcurves", """
 WITH rb AS (SELECT burst_id, band, i, avg(t) AS t, avg(rate) AS rate FROM
               (SELECT *, bin_idx // 2 AS i FROM lightcurves) GROUP BY 1, 2, 3 HAVING count(*) = 2)

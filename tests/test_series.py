@@ -165,3 +165,27 @@ def test_lag_products_of_many_blocks(spark, size, values, monkeypatch):
     assert not got
     some = {r["lag"] for r in lags.lag_products(df.where("k = 'a'"), ["k"], "pos", "x", "y", F.lit(0), F.lit(5), "n", size).collect()}
     assert some == set(range(6))
+
+
+def test_bootstrap_in_draw_order_equals_a_loop(spark, series):
+    import hashlib
+
+    zero = spark.createDataFrame([("z", "x", i, i + 0.5, 0.0, 0.0, 0, 1.0) for i in range(4)], series.schema)
+    rows = series.unionAll(zero)
+    got = {r["burst_id"]: r for r in T.t90_bootstrap_draw_order(rows, 30, seed=4).collect()}
+    by = {}
+    for r in rows.orderBy("burst_id", "bin_idx").collect():
+        by.setdefault(r["burst_id"], []).append((r["t"], r["rate"] * r["binsize"]))
+    assert set(got) == set(by)
+    for burst, bins in by.items():
+        t, c = map(np.array, zip(*bins))
+        out = []
+        for s in range(30):
+            draw = [int(int(hashlib.md5(f"4|{burst}|x|{s}|{i}".encode()).hexdigest()[:13], 16) / 2**52 * len(t)) for i in range(len(t))]
+            cum = np.cumsum(c[draw])
+            if cum[-1] > 0:
+                f, x = cum / cum[-1], t[draw]
+                p = np.interp([(1 - 0.9) / 2, 1 - (1 - 0.9) / 2], f, x)
+                out.append(p[1] - p[0])
+        assert got[burst]["n_valid"] == len(out)
+        assert got[burst]["t90_err"] == pytest.approx(np.std(out) if out else 0.0, abs=1e-9)
