@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from burstframe.functions import text as X
-from burstframe.operators.series import attach
+from burstframe.operators.series import attach, with_position
+from burstframe.schemas import PARSED_CIRCULAR
 
 
 def split_circulars(archive: DataFrame, event: str = "event_code", text: str = "text") -> DataFrame:
@@ -84,6 +86,38 @@ def parse_responses(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("parsed", X.json_value(F.col(text)))
 
 
+def _typed(value: Column, kind: T.DataType, path: Column) -> tuple[Column, Column]:
+    """A variant as ``kind``, and the paths below it whose values do not fit (array of text)."""
+    absent = value.isNull() | F.is_variant_null(value)
+    none = F.array().cast("array<string>")
+
+    def checked(found: Column, below: Column = none) -> Column:
+        return F.when(absent, none).when(found.isNull(), F.array(path)).otherwise(below)
+
+    if isinstance(kind, T.StructType):
+        there = F.try_variant_get(value, "$", "map<string,variant>")
+        parts = [(f.name, *_typed(F.try_variant_get(value, f"$.{f.name}", "variant"), f.dataType,
+                                  F.when(path == "", F.lit(f.name)).otherwise(F.concat(path, F.lit(f".{f.name}"))))) for f in kind]
+        return F.when(there.isNotNull(), F.struct(*[v.alias(n) for n, v, _ in parts])), checked(there, F.concat(*[p for *_, p in parts]))
+    if isinstance(kind, T.ArrayType):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        inner = lambda v, i: _typed(v, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))
+        return F.transform(items, lambda v, i: inner(v, i)[0]), checked(items, F.flatten(F.transform(items, lambda v, i: inner(v, i)[1])))
+    found = F.try_variant_get(value, "$", kind.simpleString())
+    return found, checked(found)
+
+
+def typed_circulars(df: DataFrame, schema: T.StructType = PARSED_CIRCULAR, variant: str = "parsed") -> DataFrame:
+    """Adds the fields of ``schema`` taken from the variant, and ``problems``: the paths whose values do not fit, as 'flux_measurements[2].flux_value'.
+
+    Absent fields and JSON nulls are null and no problem; a value that cannot be cast is null and one; fields beyond the schema are left out.  A variant that is
+    no object has all fields null and the path ''; a null variant has no problems.  Columns of ``df`` with the name of a field are replaced.
+    """
+    value, problems = _typed(F.col(variant), schema, F.lit(""))
+    out = df.withColumn("__typed", value).withColumn("problems", problems)
+    return out.withColumns({f.name: F.col(f"__typed.{f.name}") for f in schema}).drop("__typed")
+
+
 def parsed_only(df: DataFrame) -> DataFrame:
     return df.filter("parsed IS NOT NULL")
 
@@ -96,8 +130,7 @@ def parse_counts(df: DataFrame, *keys: str) -> DataFrame:
 def burst_summary(parsed: DataFrame, key: str = "burst_id", seq: str = "seq") -> DataFrame:
     """One record per burst: scalars of the first circular, merged instruments, counts of the rest.
 
-    Flux rows and findings of a burst are unbounded, so they stay long: see
-    :func:`flux_table` and :func:`key_findings`.
+    For the lists themselves see :func:`burst_record`, :func:`flux_table` and :func:`key_findings`.
     """
     head = ["coordinates", "redshift", "t90", "spectral_parameters"]
     first = parsed.groupBy(key).agg(
@@ -110,6 +143,37 @@ def burst_summary(parsed: DataFrame, key: str = "burst_id", seq: str = "seq") ->
     return out.select(key, "_f.*", "instruments", "sources_count", "n_flux", F.coalesce("n_findings", F.lit(0)).alias("n_findings"))
 
 
+#: Entries of a list in one row of the merged record.
+PART = 10_000
+
+
+def burst_record(parsed: DataFrame, key: str = "burst_id", seq: str = "seq", size: int = PART) -> DataFrame:
+    """Merged record per burst with its lists: scalars of the first circular, all flux rows in the order of circulars, distinct sorted instruments and findings.
+
+    A burst has one row for each ``size`` entries of its longest list (``part`` from 0); nearly always that is one row, while a burst
+    with very many circulars does not have to fit one.  Scalars and ``sources_count`` stand in every part; a list that has ended is empty.  Null lists count as
+    empty, null entries are left out; circulars with the same ``seq`` are ordered by their content, those without a burst take no part.
+    """
+    head = [c for c in ("grb_name", "trigger_time", "coordinates", "redshift", "t90", "spectral_parameters") if c in parsed.columns]
+    content = F.xxhash64(*[c for c in ("grb_name", "redshift", "t90", "flux_measurements", "instruments", "key_findings") if c in parsed.columns])
+    rows = parsed.withColumn("_c", content)
+    first = rows.groupBy(key).agg(F.min_by(F.struct(F.lit(True).alias("_any"), *head), F.struct(seq, "_c")).alias("_f"), F.count(F.lit(1)).alias("sources_count"))
+
+    def parts(entries: DataFrame, order: list[str], name: str) -> DataFrame:
+        placed = with_position(entries, [key], order, "_pos").withColumn("part", F.floor(F.col("_pos") / F.lit(size)).cast("long"))
+        return placed.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_pos", "_e"))).alias("_l")).select(key, "part", F.col("_l._e").alias(name))
+
+    flux = rows.select(key, F.col(seq).alias("_s"), "_c", F.posexplode("flux_measurements").alias("_i", "_e")).where("_e IS NOT NULL")
+    lists = [parts(flux, ["_s", "_c", "_i"], "flux_measurements")]
+    for name in ("instruments", "key_findings"):
+        lists.append(parts(rows.select(key, F.explode(name).alias("_e")).where("_e IS NOT NULL").distinct(), ["_e"], name))
+    out = first.select(key, F.lit(0).cast("long").alias("part"))
+    for one in lists:
+        out = out.join(one, [key, "part"], "full")
+    empty = {n: F.coalesce(n, F.array().cast(out.schema[n].dataType)) for n in ("flux_measurements", "instruments", "key_findings")}
+    return out.withColumns(empty).join(first, key).select(key, "part", *[f"_f.{c}" for c in head], *empty, "sources_count")
+
+
 def key_findings(parsed: DataFrame, key: str = "burst_id") -> DataFrame:
     return parsed.select(key, F.explode("key_findings").alias("finding")).distinct()
 

@@ -213,6 +213,41 @@ def apply_overrides(intervals: DataFrame, overrides: DataFrame, keys: Sequence[s
         "method": F.when(changed, "user_adjusted").otherwise(F.col("method"))}).drop("_s", "_e", "_ok")
 
 
+def review_analysis(
+    lc: DataFrame, result: DataFrame, overrides: DataFrame, keys: Sequence[str] = KEYS, model: str = "polynomial"
+) -> DataFrame:
+    """The result of :func:`detector_analysis` after a review; only the series with a new interval are computed again.
+
+    ``overrides`` has at most one row per series: tstart, tstop (null keeps what stands) and accept (null counts as true).  A series with a new start or stop gets
+    its background and durations anew and the method 'user_adjusted'; one that is not accepted keeps its values.  Both, and accepted ones, have the decision in
+    ``note``.  Series without an interval, or without a review, stay as they are.  ``model`` is 'polynomial' or 'flat' (mean counts before the burst).
+    """
+    keys = list(keys)
+    ov = overrides.select(*keys, F.col("tstart").cast("double").alias("_s"), F.col("tstop").cast("double").alias("_e"), F.coalesce("accept", F.lit(True)).alias("_ok"))
+    rows = attach(result, ov, keys, "left").withColumn("_new", F.coalesce(
+        F.col("_ok") & F.col("tstart").isNotNull() & (F.col("_s").isNotNull() | F.col("_e").isNotNull()), F.lit(False)))
+    rows = keep(rows)
+    start, stop = F.coalesce("_s", "tstart"), F.coalesce("_e", "tstop")
+    todo = keep(rows.where("_new").select(*keys, start.alias("tstart"), stop.alias("tstop")))
+    part = lc.join(todo.select(*keys), keys, "left_semi")
+    if model == "polynomial":
+        part = keep(part)
+    bg = keep(polynomial_background(part, todo, keys)) if model == "polynomial" else None
+    new = net_durations(part, todo, bg, keys)
+    if bg is not None:
+        new = attach(attach(todo.select(*keys), bg, keys, "left"), new, keys, "left")
+    fresh = [c for c in new.columns if c not in keys and c in result.columns]
+    out = attach(rows, new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in fresh]), keys, "left")
+    said = (F.when(F.col("_new"), F.concat(F.lit("interval adjusted to ["), start.cast("string"), F.lit(", "), stop.cast("string"), F.lit("]")))
+            .when(~F.col("_ok"), "automatic result rejected").when(F.col("_ok") & F.col("tstart").isNotNull(), "automatic result accepted"))
+    changed = {c: F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(c)) for c in fresh}
+    empty = F.when(F.col("_new") & F.col("_n_t90").isNull(), "no significant counts in burst region")
+    before = F.when(F.col("_new"), empty).otherwise(F.nullif("note", F.lit(""))) if "note" in result.columns else empty
+    changed |= {"tstart": F.when(F.col("_new"), start).otherwise(F.col("tstart")), "tstop": F.when(F.col("_new"), stop).otherwise(F.col("tstop")),
+                "method": F.when(F.col("_new"), "user_adjusted").otherwise(F.col("method")), "note": F.concat_ws("; ", before, said)}
+    return out.withColumns(changed).select(*result.columns, *[c for c in ("note",) if c not in result.columns])
+
+
 def detector_analysis(lc: DataFrame, keys: Sequence[str] = KEYS, overrides: DataFrame | None = None) -> DataFrame:
     """Intervals, consensus, background and durations; one row per series with a status."""
     keys = list(keys)

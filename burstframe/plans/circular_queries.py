@@ -269,6 +269,50 @@ def _(spark, d):
     return C.burst_summary(parsed(spark, d)).withColumn("instruments", F.array_join("instruments", "|"))
 
 
+@query("merged_circular_lists", "", """
+WITH o AS (SELECT *, o_custkey AS burst_id, o_orderkey AS k FROM orders),
+h AS (SELECT burst_id, arg_min(k % 500, k)::DOUBLE AS t90, count(*) AS sources_count FROM o GROUP BY 1),
+fl AS (SELECT burst_id, string_agg(o_orderpriority || ' ' || round(o_totalprice)::BIGINT::VARCHAR, '|' ORDER BY k, i) AS flux_measurements FROM o, range(2) r(i) WHERE i < 1 + k % 2 GROUP BY 1),
+ins AS (SELECT burst_id, string_agg(DISTINCT x, '|' ORDER BY x) AS instruments FROM (SELECT burst_id, unnest([o_orderpriority, o_orderstatus]) AS x FROM o) GROUP BY 1),
+kf AS (SELECT burst_id, string_agg(DISTINCT 'finding ' || (k % 7)::VARCHAR, '|' ORDER BY 'finding ' || (k % 7)::VARCHAR) AS key_findings FROM o GROUP BY 1)
+SELECT burst_id, 0 AS part, t90, flux_measurements, instruments, key_findings, sources_count FROM h JOIN fl USING (burst_id) JOIN ins USING (burst_id) JOIN kf USING (burst_id)""")
+def _(spark, d):
+    """Merged records with flux rows, instruments and findings as lists (joined to text here, for the comparison)."""
+    flux = F.transform("flux_measurements", lambda m: F.concat_ws(" ", m["instrument"], F.round(m["flux_value"]).cast("long").cast("string")))
+    return C.burst_record(parsed(spark, d)).select(
+        "burst_id", "part", "t90", F.array_join(flux, "|").alias("flux_measurements"), F.array_join("instruments", "|").alias("instruments"),
+        F.array_join("key_findings", "|").alias("key_findings"), "sources_count")
+
+
+def circular_json(spark, d):
+    """Parsed circulars as JSON text with values that do not fit in some of them."""
+    k = F.col("o_orderkey")
+    value = F.when(k % 17 == 0, F.lit('"bright"')).when(k % 19 == 0, F.lit('"12.5"')).otherwise((k % 100).cast("string"))
+    row = F.concat(F.lit('{"flux_value": '), value, F.lit(', "units": "mJy", "other": 1}'))
+    flux = F.when(k % 13 == 0, row).otherwise(F.concat(F.lit('[{"units": null}, '), row, F.lit("]")))
+    z = F.when(k % 11 == 0, F.lit('"unknown"')).otherwise(F.concat(F.lit('{"z": '), (k % 70).cast("string"), F.lit("}")))
+    text = F.concat(F.lit('{"grb_name": "GRB'), k.cast("string"), F.lit('", "redshift": '), z, F.lit(', "flux_measurements": '), flux, F.lit(', "instruments": ["XRT", "BAT"]}'))
+    return V.table(spark, d, "orders").select(k.alias("seq"), F.when(k % 23 == 0, F.lit("[1, 2]")).otherwise(text).alias("text"))
+
+
+@query("typed_circulars", "", """
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 23 = 0 AS bad FROM orders)
+SELECT k AS seq, CASE WHEN NOT bad THEN 'GRB' || k::VARCHAR END AS grb_name, CASE WHEN NOT bad AND k % 11 <> 0 THEN (k % 70)::DOUBLE END AS z,
+       CASE WHEN NOT bad AND k % 13 <> 0 THEN 2 ELSE 0 END AS n_flux,
+       CASE WHEN NOT bad AND k % 13 <> 0 AND k % 17 <> 0 THEN CASE WHEN k % 19 = 0 THEN 12.5e0 ELSE (k % 100)::DOUBLE END END AS flux_value,
+       CASE WHEN NOT bad THEN 'XRT BAT' END AS instruments, CASE WHEN bad THEN 1 ELSE 0 END
+         + CASE WHEN NOT bad AND k % 11 = 0 THEN 1 ELSE 0 END + CASE WHEN NOT bad AND (k % 13 = 0 OR k % 17 = 0) THEN 1 ELSE 0 END AS n_problems,
+       CASE WHEN bad THEN '' ELSE concat_ws(' ', CASE WHEN k % 11 = 0 THEN 'redshift' END,
+         CASE WHEN k % 13 = 0 THEN 'flux_measurements' WHEN k % 17 = 0 THEN 'flux_measurements[1].flux_value' END) END AS problems
+FROM o""")
+def _(spark, d):
+    """Recovered JSON taken apart by the nested schema of a parsed circular, with the paths that do not fit."""
+    t = C.typed_circulars(C.parse_responses(circular_json(spark, d)))
+    return t.select("seq", "grb_name", F.col("redshift.z").alias("z"), F.greatest(F.size("flux_measurements"), F.lit(0)).cast("long").alias("n_flux"),
+                    F.try_element_at("flux_measurements", F.lit(2))["flux_value"].alias("flux_value"), F.array_join("instruments", " ").alias("instruments"),
+                    F.size("problems").cast("long").alias("n_problems"), F.array_join("problems", " ").alias("problems"))
+
+
 @query("flux_table", "", """
 SELECT o_custkey AS burst_id, o_orderkey AS seq, o_totalprice / 100 AS time_seconds_since_trigger, o_totalprice AS flux_value,
        o_totalprice * 0.1::DOUBLE AS flux_error, 'mJy' AS units, o_orderpriority AS instrument

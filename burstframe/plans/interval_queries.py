@@ -161,6 +161,40 @@ def _(spark, d):
     return I.apply_overrides(consensus(lc), ov, K).select("burst_id", "tstart", "tstop", "method")
 
 
+def reviews(lc):
+    """A new interval, a new start, a rejection or nothing, by the length of the series' name."""
+    n = F.length("burst_id") % 4
+    return lc.select(*K).distinct().select(*K, F.when(n < 2, F.lit(-3.0)).alias("tstart"), F.when(n == 0, F.lit(3.0)).alias("tstop"), (n != 2).alias("accept"))
+
+
+@query("interval_review", "lightcurves_dense", net_sql("lightcurves_dense", f"""{CONS_CTES},
+ov AS (SELECT burst_id, band, tstart AS t0, tstop AS t1, length(burst_id) % 4 AS n FROM cons),
+iv AS (SELECT burst_id, band, CASE WHEN n < 2 THEN -3e0 ELSE t0 END AS tstart, CASE WHEN n = 0 THEN 3e0 ELSE t1 END AS tstop FROM ov),""") + """
+SELECT burst_id, round(tstart, 6) AS tstart, round(tstop, 6) AS tstop, CASE WHEN n < 2 THEN 'user_adjusted' ELSE 'combined' END AS method,
+       CASE WHEN n < 2 THEN 'adjusted' WHEN n = 2 THEN 'rejected' ELSE 'accepted' END AS decision,
+       round(b - a, 6) AS t90, round(a, 6) AS t90_start, round(d - c, 6) AS t50, round(c, 6) AS t50_start
+FROM ov JOIN iv USING (burst_id, band) LEFT JOIN q USING (burst_id, band)""")
+def _(spark, d):
+    """Reviewed intervals with durations computed again for the series that changed."""
+    from burstframe.operators.reuse import keep
+
+    lc = V.lightcurves_dense(spark, d)
+    found = keep(consensus(lc))
+    result = keep(attach(found, I.net_durations(lc, found, None, K), K, "left"))
+    out = I.review_analysis(lc, result, reviews(lc), K, "flat")
+    return out.select("burst_id", r6("tstart").alias("tstart"), r6("tstop").alias("tstop"), "method", F.regexp_extract("note", "(adjusted|rejected|accepted)", 1).alias("decision"),
+                      *[r6(c).alias(c) for c in ("t90", "t90_start", "t50", "t50_start")])
+
+
+@query("detector_review")
+def _(spark, d):
+    """The whole detector analysis, then a review of it with polynomial backgrounds."""
+    from burstframe.operators.reuse import keep
+
+    lc = V.lightcurves_dense(spark, d)
+    return I.review_analysis(lc, keep(I.detector_analysis(lc, K)), reviews(lc), K)
+
+
 @query("detector_analysis")
 def _(spark, d):
     return I.detector_analysis(V.lightcurves_dense(spark, d), K)

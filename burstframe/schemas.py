@@ -58,24 +58,32 @@ TABLES = {
 }
 UNIQUE_KEYS = {"bursts": ["burst_name"], "circulars": ["circular_number"]}
 
-# Parsed circular record, as the JSON contract states it.
+# Fields of a parsed circular, as the JSON contract states them.
 FLUX_ROW = T.StructType([
-    T.StructField("time", T.DoubleType()), T.StructField("time_unit", T.StringType()),
-    T.StructField("instrument", T.StringType()), T.StructField("band", T.StringType()),
-    T.StructField("flux", T.DoubleType()), T.StructField("flux_error", T.DoubleType()),
-    T.StructField("flux_units", T.StringType()), T.StructField("is_upper_limit", T.BooleanType()),
+    T.StructField("time_seconds_since_trigger", T.DoubleType()), T.StructField("wavelength_microns", T.DoubleType()),
+    T.StructField("frequency_hz", T.DoubleType()), T.StructField("energy_band_kev", T.StringType()),
+    T.StructField("flux_value", T.DoubleType()), T.StructField("flux_error", T.DoubleType()), T.StructField("units", T.StringType()),
+    T.StructField("instrument", T.StringType()), T.StructField("observation_type", T.StringType()),
 ])
 PARSED_CIRCULAR = T.StructType([
     T.StructField("grb_name", T.StringType()),
+    T.StructField("trigger_time", T.StringType()),
     T.StructField("coordinates", T.StructType([
-        T.StructField("ra", T.DoubleType()), T.StructField("dec", T.DoubleType()),
-        T.StructField("error_radius", T.DoubleType())])),
-    T.StructField("redshift", T.DoubleType()),
-    T.StructField("t90", T.DoubleType()),
-    T.StructField("spectral_parameters", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("ra_degrees", T.DoubleType()), T.StructField("dec_degrees", T.DoubleType()),
+        T.StructField("ra_hms", T.StringType()), T.StructField("dec_dms", T.StringType()),
+        T.StructField("positional_uncertainty_arcmin", T.DoubleType())])),
+    T.StructField("redshift", T.StructType([
+        T.StructField("z", T.DoubleType()), T.StructField("z_uncertainty", T.DoubleType()), T.StructField("measurement_type", T.StringType())])),
+    T.StructField("t90", T.StructType([T.StructField("value_seconds", T.DoubleType()), T.StructField("uncertainty_seconds", T.DoubleType())])),
+    T.StructField("spectral_parameters", T.StructType([
+        T.StructField("epeak_kev", T.DoubleType()), T.StructField("epeak_uncertainty", T.DoubleType()),
+        T.StructField("photon_index_alpha", T.DoubleType()), T.StructField("alpha_uncertainty", T.DoubleType()),
+        T.StructField("high_energy_index_beta", T.DoubleType()), T.StructField("beta_uncertainty", T.DoubleType()),
+        T.StructField("fit_method", T.StringType())])),
     T.StructField("flux_measurements", T.ArrayType(FLUX_ROW)),
     T.StructField("instruments", T.ArrayType(T.StringType())),
     T.StructField("key_findings", T.ArrayType(T.StringType())),
+    T.StructField("source_references", T.ArrayType(T.StringType())),
 ])
 
 # ---- fixed values -------------------------------------------------------------------------
