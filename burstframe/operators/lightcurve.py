@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstframe.operators.reuse import keep
-from burstframe.operators.series import attach, dense_grid, first_max, median_by_position, sliding, with_position
+from burstframe.operators.series import asof_merge, attach, dense_grid, first_max, median_by_position, sliding, with_position
 
 KEYS = ("burst_id", "band")
 
@@ -300,42 +300,16 @@ def smooth(
 def regrid_linear(
     source: DataFrame, target: DataFrame, keys: Sequence[str], values: Sequence[str], t: str = "t"
 ) -> DataFrame:
-    """Linear interpolation of ``source`` at the times of ``target``; 0 outside the source range.
-
-    An as-of join without pairing rows: source segments (t_i, t_i+1) and targets meet in
-    cells of the time axis, and each target takes the one segment that covers it.
-    """
-    src = with_position(source.select(*keys, t, *values), keys, [t], "_pos")
-
-    def build(spec):
-        return {"_t1": F.lead(t, 1).over(spec), **{f"_{v}1": F.lead(v, 1).over(spec) for v in values}}
-
-    seg = keep(sliding(src, keys, "_pos", 1, build))
-    width = seg.groupBy(*keys).agg(
-        F.min(t).alias("_lo"), F.max(t).alias("_hi"),
-        F.greatest((F.max(t) - F.min(t)) / F.greatest(F.count(F.lit(1)) - 1, F.lit(1)), F.lit(1e-12)).alias("_cw"),
-    )
-    first_cell = F.floor((F.col(t) - F.col("_lo")) / F.col("_cw")).cast("long")
-    last_cell = F.floor((F.coalesce(F.col("_t1"), F.col(t)) - F.col("_lo")) / F.col("_cw")).cast("long")
-    seg = attach(seg, width, keys)
-    seg_cells = seg.select(
-        *keys, F.col(t).alias("_t0"), "_t1", *[F.col(v).alias(f"_{v}0") for v in values],
-        *[f"_{v}1" for v in values],
-        F.explode(F.sequence(first_cell, last_cell)).alias("_cell"),
-    )
-    tgt = attach(target, width, keys, "left").withColumn("_cell", first_cell).drop("_lo", "_hi", "_cw")
-    at = F.col(f"g.{t}")
-    covers = (F.col("s._t0") == at) | ((F.col("s._t0") < at) & (F.col("s._t1") > at))
-    same = [F.col(f"g.{k}") == F.col(f"s.{k}") for k in [*keys, "_cell"]]
-    joined = tgt.alias("g").join(seg_cells.alias("s"), [*same, covers], "left")
+    """Linear interpolation of ``source`` at the times of ``target``; 0 outside the source range."""
+    kept = [c for c in target.columns if c not in values]
+    rows = asof_merge(source, target.select(*kept), keys, t, values)
+    at, t0, t1 = F.col(t), F.col(f"_left.{t}"), F.col(f"_right.{t}")
     out = []
     for v in values:
-        v0, v1 = F.col(f"s._{v}0"), F.col(f"s._{v}1")
-        frac = (F.col(f"g.{t}") - F.col("s._t0")) / (F.col("s._t1") - F.col("s._t0"))
-        lin = F.when(F.col(f"g.{t}") == F.col("s._t0"), v0).otherwise(v0 + (v1 - v0) * frac)
+        v0, v1 = F.col(f"_left.{v}"), F.col(f"_right.{v}")
+        lin = F.when(at == t0, v0).otherwise(v0 + (v1 - v0) * ((at - t0) / (t1 - t0)))
         out.append(F.coalesce(lin, F.lit(0.0)).alias(v))
-    kept = [c for c in target.columns if c not in values]
-    return joined.select(*[F.col(f"g.{c}") for c in kept], *out)
+    return rows.select(*kept, *out)
 
 
 def merge_bands(

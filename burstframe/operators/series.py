@@ -122,6 +122,31 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos:
     return out.drop("_rn", "_off", "_all", "_part", "_tie")
 
 
+def asof_merge(source: DataFrame, target: DataFrame, keys: Sequence[str], t: str, payload: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` with ``_left``, the last source row of the series at or before ``t``, and ``_right``, the first one after it (structs of t and payload).
+
+    Source and target rows are sorted together and cut into even ranges, whatever the spacing of the times; inside a range the neighbours are carried along the
+    order, and the last and first source row of each range are carried over the ranges without one.  Target rows stay one each: of source rows at the same time the
+    last in the order counts.  Source rows without a time are left out; keys are not null.
+    """
+    keys = list(keys)
+    one = F.struct(F.col(t).alias(t), *payload)
+    side = source.where(F.col(t).isNotNull()).select(*keys, F.col(t).alias("_at"), F.lit(0).alias("_kind"), one.alias("_s"))
+    goal = target.select(*keys, F.col(t).cast(source.schema[t].dataType).alias("_at"), F.lit(1).alias("_kind"), F.struct(*target.columns).alias("_g"))
+    rows = ranged(side.unionByName(goal, allowMissingColumns=True), keys, ["_at", "_kind"])
+    order = ["_at", "_kind", "_tie"]
+    back = [F.desc(c) for c in order]
+    ends = rows.where("_kind = 0").groupBy(*keys, "_part").agg(F.max_by("_s", F.struct(*order)).alias("_last"), F.min_by("_s", F.struct(*order)).alias("_first"))
+    ends = rows.select(*keys, "_part").distinct().join(ends, [*keys, "_part"], "left")
+    near = Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*keys, "_part", F.last("_last", ignorenulls=True).over(near.orderBy("_part")).alias("_before"),
+                       F.last("_first", ignorenulls=True).over(near.orderBy(F.desc("_part"))).alias("_after"))
+    local = Window.partitionBy(*keys, "_part").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.select("*", F.last("_s", ignorenulls=True).over(local.orderBy(*order)).alias("_l"), F.last("_s", ignorenulls=True).over(local.orderBy(*back)).alias("_r"))
+    out = found.where("_kind = 1").join(ends, [*keys, "_part"], "left")
+    return out.select("_g.*", F.coalesce("_l", "_before").alias("_left"), F.coalesce("_r", "_after").alias("_right"))
+
+
 def dense_grid(per_key: DataFrame, n: Column, idx: str = "bin_idx", size: int = CHUNK) -> DataFrame:
     """One row per (key, 0..n-1); produced chunk by chunk so no long array is built."""
     n = n.cast("long")

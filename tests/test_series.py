@@ -189,3 +189,31 @@ def test_bootstrap_in_draw_order_equals_a_loop(spark, series):
                 out.append(p[1] - p[0])
         assert got[burst]["n_valid"] == len(out)
         assert got[burst]["t90_err"] == pytest.approx(np.std(out) if out else 0.0, abs=1e-9)
+
+
+def test_interpolation_of_clustered_times_in_even_ranges(spark, monkeypatch):
+    """Times that differ by powers of ten, many ties, few ranges of rows: as numpy, one row a target."""
+    from burstframe.operators.lightcurve import regrid_linear
+
+    rng = np.random.default_rng(8)
+    src, tgt = [], []
+    for k in ("a", "b", "c"):
+        x = np.unique(np.concatenate([10 ** rng.uniform(-6, 6, 200), [0.0, 1.0, 2.0]]))
+        y = rng.normal(size=len(x))
+        at = np.concatenate([10 ** rng.uniform(-7, 7, 300), x[:20], [1.0] * 5, [-3.0]])
+        if k != "c":
+            src += [(k, float(a), float(b)) for a, b in zip(x, y)]
+        tgt += [(k, i, float(a), float(np.interp(a, x, y, left=0, right=0)) if k != "c" else 0.0) for i, a in enumerate(at)]
+    src.append(("a", None, 5.0))
+    tgt.append(("a", 999, None, 0.0))
+    source = spark.createDataFrame(src, "k string, t double, rate double")
+    target = spark.createDataFrame(tgt, "k string, i int, t double, want double")
+    got = regrid_linear(source, target, ["k"], ["rate"]).collect()
+    assert len(got) == len(tgt)
+    for r in got:
+        assert r["rate"] == pytest.approx(r["want"], rel=1e-9, abs=1e-9)
+    near = {(r["k"], r["i"]): r for r in S.asof_merge(source, target, ["k"], "t", ["rate"]).collect()}
+    assert near[("c", 0)]["_left"] is None and near[("c", 0)]["_right"] is None
+    parts = S.ranged(source.where("t IS NOT NULL"), ["k"], ["t"]).groupBy("_part").count().collect()
+    assert max(p["count"] for p in parts) <= 3 * len(src) / len(parts)
+    assert regrid_linear(source.limit(0), target, ["k"], ["rate"]).where("rate <> 0").count() == 0
