@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from burstframe.operators.lightcurve import KEYS
 from burstframe.operators.reuse import keep
-from burstframe.operators.series import attach, running_sums, with_position
+from burstframe.operators.series import asof_merge, attach, running_sums, with_position
 
 #: Bins of one chunk of the search.
 CHUNK_BINS = 1 << 16
@@ -217,13 +217,12 @@ def greedy_block_edges(lc: DataFrame, keys: Sequence[str] = KEYS, gamma: float =
 def block_statistics(lc: DataFrame, edges: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Mean rate, error and width per block; both ends closed, so a bin on an edge counts twice."""
     keys = list(keys)
-    # cells as wide as the mean block turn the range join into an equi-join
-    span = edges.groupBy(*keys).agg(F.min("t_lo").alias("_a"), F.greatest(
-        (F.max("t_hi") - F.min("t_lo")) / F.count(F.lit(1)), F.lit(1e-9)).alias("_w"), F.count(F.lit(1)).alias("_nb"))
-    cell = lambda c: F.floor((F.col(c) - F.col("_a")) / F.col("_w")).cast("long")
-    blocks = attach(edges, span, keys).withColumn("_c", F.explode(F.sequence(cell("t_lo"), cell("t_hi")))).drop("_a", "_w", "_nb")
-    rows = attach(lc, span, keys).withColumn("_c", cell("t")).drop("_a", "_w", "_nb")
-    hit = rows.join(blocks, [*keys, "_c"]).filter("t >= t_lo AND t <= t_hi")
+    before = edges.select(*keys, (F.col("block") + 1).alias("block"), F.col("t_hi").alias("_before"))
+    blocks = edges.join(before, [*keys, "block"], "left").select(*keys, F.col("t_lo").alias("t"), "block", "t_hi", "_before")
+    at = asof_merge(blocks, lc.select(*keys, "t", "rate", "rate_err", "binsize"), keys, "t", ["block", "t_hi", "_before"])
+    own, on_edge = F.col("t") <= F.col("_left.t_hi"), (F.col("t") == F.col("_left.t")) & (F.col("t") == F.col("_left._before"))
+    both = F.array_compact(F.array(F.when(own, F.col("_left.block")), F.when(on_edge, F.col("_left.block") - 1)))
+    hit = at.select(*keys, "rate", "rate_err", "binsize", F.explode(both).alias("block"))
     stats = hit.groupBy(*keys, "block").agg(
         F.avg("rate").alias("rate"), F.count(F.lit(1)).alias("n"),
         (F.sqrt(F.sum(F.col("rate_err") * F.col("rate_err"))) / F.count(F.lit(1))).alias("rate_err"),

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from burstframe.operators.blocks import bayesian_block_edges
 from burstframe.operators.lightcurve import KEYS
 from burstframe.operators.reuse import keep
-from burstframe.operators.series import attach, running_sums, sliding, with_position
+from burstframe.operators.series import asof_merge, attach, running_sums, sliding, with_position
 
 PRE = -10.0
 COLS = ("tstart", "tstop", "snr", "confidence", "method")
@@ -62,14 +62,11 @@ def block_interval(lc: DataFrame, keys: Sequence[str] = KEYS, p0: float = 0.01)
     """Blocks above the mean of the two lowest by two deviations, else the highest block."""
     keys = list(keys)
     edges = keep(bayesian_block_edges(lc, keys, "events", p0))
-    span = edges.groupBy(*keys).agg(
-        F.min("t_lo").alias("_a"), F.greatest((F.max("t_hi") - F.min("t_lo")) / F.count(F.lit(1)), F.lit(1e-9)).alias("_w"),
-        F.count(F.lit(1)).alias("_nb")).filter("_nb >= 2")
-    cell = lambda c: F.floor((F.col(c) - F.col("_a")) / F.col("_w")).cast("long")
-    cells = attach(edges, span, keys).withColumn("_c", F.explode(F.sequence(cell("t_lo"), cell("t_hi"))))
-    rows = attach(lc.select(*keys, "t", "counts"), span, keys).withColumn("_c", cell("t")).select(*keys, "_c", "t", "counts")
-    sums = rows.join(cells, [*keys, "_c"]).filter("t >= t_lo AND t < t_hi").groupBy(*keys, "block", "t_lo", "t_hi").agg(
-        (F.sum("counts") / (F.col("t_hi") - F.col("t_lo"))).alias("r"))
+    several = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nb")).filter("_nb >= 2").drop("_nb")
+    starts = attach(edges, several, keys).select(*keys, F.col("t_lo").alias("t"), "block", "t_lo", "t_hi")
+    at = asof_merge(starts, lc.select(*keys, "t", "counts"), keys, "t", ["block", "t_lo", "t_hi"]).filter("t < _left.t_hi")
+    sums = at.groupBy(*keys, F.col("_left.block").alias("block"), F.col("_left.t_lo").alias("t_lo"), F.col("_left.t_hi").alias("t_hi")).agg(F.sum("counts").alias("_sum")).select(
+        *keys, "block", "t_lo", "t_hi", (F.col("_sum") / (F.col("t_hi") - F.col("t_lo"))).alias("r"))
     # two lowest and the highest rate without a window: nested min over (rate, block)
     rec = F.struct("r", "block")
     low1 = sums.groupBy(*keys).agg(F.min(rec).alias("_l1"), F.max(F.struct("r", -F.col("block"), "t_lo", "t_hi")).alias("_top"),
