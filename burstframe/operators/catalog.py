@@ -11,7 +11,13 @@ from burstframe.operators.series import attach
 
 
 def insert_unique(table: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(table after the insert, rejected rows).
+    """(table after the insert, rejected rows) by the rule of :func:`unique_rows`."""
+    accepted, rejected = unique_rows(table, new, key)
+    return table.unionByName(accepted), rejected
+
+
+def unique_rows(table: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``new`` that the table takes, rejected rows with their ``reason``).
 
     A new row is rejected when its key exists already, or repeats inside the batch: the first by content stays, all its other copies and the
     other contents are rejected.  Equal rows are counted, not moved, so a key with very many copies is one row.
@@ -33,7 +39,7 @@ def insert_unique(table: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame
         many = rows.where("_k > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))))
         return many.select("_r.*", F.lit(reason).alias("reason"))
 
-    return table.unionByName(accepted), copies(known, "key exists").unionByName(copies(rest, "repeated in batch"))
+    return accepted, copies(known, "key exists").unionByName(copies(rest, "repeated in batch"))
 
 
 def append(table: DataFrame, new: DataFrame) -> DataFrame:

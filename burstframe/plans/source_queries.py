@@ -239,6 +239,20 @@ def _(spark, d):
     return K.duplicate_keys(names, "bursts")
 
 
+@query("catalog_append_and_export", "", """
+WITH o AS (SELECT o_orderkey // 7 AS n, count(*) AS a, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS e FROM orders GROUP BY 1)
+SELECT n AS circular_number, 'circular ' || n::VARCHAR AS title, CASE WHEN e > 0 THEN a ELSE 0 END AS n_exists, CASE WHEN e > 0 THEN e - 1 ELSE a - 1 END AS n_repeated FROM o""")
+def _(spark, d):
+    """Two batches into the table of circulars, the table read back, and what was rejected for each number."""
+    root, n = scratch(spark), F.floor(F.col("o_orderkey") / 7).cast("long")
+    rows = V.table(spark, d, "orders").select("o_orderkey", n.alias("circular_number"), F.concat(F.lit("circular "), n.cast("string")).alias("title"))
+    rejected = K.append_rows(rows.where("o_orderkey % 2 = 0"), root, "circulars").unionByName(K.append_rows(rows, root, "circulars"))
+    count = lambda reason: F.count(F.when(F.col("reason") == reason, 1))
+    why = rejected.groupBy("circular_number").agg(count("key exists").alias("n_exists"), count("repeated in batch").alias("n_repeated"))
+    out = K.written_table(spark, root, "circulars").join(why, "circular_number", "left")
+    return out.select("circular_number", "title", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_exists", "n_repeated")])
+
+
 @query("circular_archive_scan", "archive", """
 SELECT substr(event_code, 1, 4) || '01X' AS event_code, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM archive GROUP BY 1""")
 def _(spark, d):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstframe.functions.spectral_models import flux_density_factor
+from burstframe.operators.catalog import unique_rows
+from burstframe.operators.reuse import keep
 from burstframe.schemas import TABLES, UNIQUE_KEYS
 
 
@@ -42,6 +44,34 @@ def create_tables(spark: SparkSession, root: str, buckets: int = 16) -> None:
         w.mode("ignore").saveAsTable(name)
 
 
+def written_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A catalog table written below ``root``; empty before its first rows, other names are refused."""
+    if name not in TABLES:
+        raise ValueError(f"unknown table {name}; known: {sorted(TABLES)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}") if there else spark.createDataFrame([], TABLES[name])
+
+
+def append_rows(new: DataFrame, root: str, name: str) -> DataFrame:
+    """Append to a catalog table below ``root`` and return the rejected rows with their ``reason``.
+
+    Missing columns become null, columns that the table lacks are left out.  A table with a unique key takes the first row of a key that it does not hold yet; null
+    counts as a key inside a batch only.  Both sides are settled before anything is written, so a retry of a failed job sees the old table.  One writer at a time.
+    """
+    spark = new.sparkSession
+    table = written_table(spark, root, name)
+    have = set(new.columns)
+    batch = new.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name]])
+    if name not in UNIQUE_KEYS:
+        batch.write.mode("append").parquet(f"{root}/{name}")
+        return batch.limit(0).withColumn("reason", F.lit(""))
+    batch = keep(batch)
+    accepted, rejected = (keep(x) for x in unique_rows(table, batch, UNIQUE_KEYS[name][0]))
+    accepted.write.mode("append").parquet(f"{root}/{name}")
+    return rejected
+
+
 def duplicate_keys(df: DataFrame, name: str) -> DataFrame:
     """Keys that occur more than once in a table with a unique key."""
     key = UNIQUE_KEYS.get(name)

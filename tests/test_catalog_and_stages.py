@@ -29,6 +29,22 @@ def test_update_takes_nulls_and_stamps(spark):
     assert got["b"]["v"] == 2.0 and got["b"]["updated_at"].year == 2020
 
 
+def test_append_keeps_keys_unique(spark, tmp_path):
+    root = str(tmp_path / "written")
+    assert sinks.written_table(spark, root, "bursts").count() == 0
+    rows = spark.createDataFrame([("a", 1.0, "x"), ("a", 1.0, "x"), ("b", None, "x")], "burst_name string, redshift double, beyond string")
+    assert [(r["burst_name"], r["reason"]) for r in sinks.append_rows(rows, root, "bursts").collect()] == [("a", "repeated in batch")]
+    again = spark.createDataFrame([("a", 2.0), ("c", 3.0)], "burst_name string, redshift double")
+    assert [(r["redshift"], r["reason"]) for r in sinks.append_rows(again, root, "bursts").collect()] == [(2.0, "key exists")]
+    got = sorted((r["burst_name"], r["redshift"]) for r in sinks.written_table(spark, root, "bursts").collect())
+    assert got == [("a", 1.0), ("b", None), ("c", 3.0)]
+    for _ in range(2):
+        assert sinks.append_rows(rows, root, "observations").count() == 0
+    assert sinks.written_table(spark, root, "observations").count() == 6
+    with pytest.raises(ValueError):
+        sinks.append_rows(rows, root, "secrets")
+
+
 def test_tables_and_export(spark, tmp_path):
     sinks.create_tables(spark, str(tmp_path / "tables"), buckets=2)
     assert sinks.export_table(spark, "bursts").count() == 0
