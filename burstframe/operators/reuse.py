@@ -2,34 +2,64 @@
 
 ``keep`` writes the frame as a Parquet table under the cluster's checkpoint folder and reads it
 back: later readers prune columns, see true sizes, start from a short lineage, and the
-data outlives any executor.  ``discard`` removes the tables of this application.
+data outlives any executor.  Shuffle files of the write go once the table stands.  ``drop`` removes single
+tables, ``discard`` all tables of this application.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from burstframe.session import ensure_checkpoint_dir
 
 
+#: Spark then deletes the shuffle files of a statement at its end; a later run of the same plan would write them again.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/burstframe-{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
 def keep(df: DataFrame, *partition_by: str) -> DataFrame:
     """The frame written and read back; with ``partition_by`` a filter on these columns reads its own files only."""
     spark = df.sparkSession
     path = f"{_root(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=list(partition_by) or None)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path, partitionBy=list(partition_by) or None)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop(*kept: DataFrame) -> None:
+    """Delete the tables behind frames that ``keep`` returned; neither they nor frames built on them must be used again."""
+    for df in kept:
+        _delete(df.sparkSession, df.kept_at)
 
 
 def discard(spark: SparkSession) -> None:
     """Delete every kept table of this application; frames built on them must not be used again."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _root(spark))
 
 
 def spread(scan: DataFrame) -> DataFrame:
