@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstframe.operators.reuse import keep
+from burstframe.operators.reuse import drop, keep
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -18,6 +18,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round links what lies above a node, then what lies below it, to the smallest neighbour.  Minima are combined before the shuffle and
     joins are split by AQE where a node has very many neighbours; the number of rounds grows with the log of the longest path.
+    The result is a kept table; the links of a round are deleted when those of the next are written.
     """
     edges = keep(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(edges)
@@ -27,9 +28,12 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), "m").where("a != m").unionAll(low.select("a", "m"))
-        edges = keep(small.select("a", F.col("m").alias("b")).distinct())
+        before, edges = edges, keep(small.select("a", F.col("m").alias("b")).distinct())
+        drop(before)
         new = _state(edges)
         if new == state:
             break
         state = new
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(edges.select("b", "b").distinct())
+    out = keep(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(edges.select("b", "b").distinct()))
+    drop(edges)
+    return out

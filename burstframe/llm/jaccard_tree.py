@@ -11,6 +11,8 @@ sizes allow is too small, or when everything below is linked already; what is le
 nearly all copies while each set is sent once; the last round takes every shared prefix shingle whose nodes are not yet in one component,
 which makes the result complete.  Nodes that meet under several keys are joined once, in the tree of their family, unless that is larger
 than a block.  Large groups are cut into blocks that meet in pairs, so a task holds at most two blocks.
+
+Prefixes, sets and links are written tables that are deleted as soon as the step that reads them has written its own.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from burstframe.llm.common import arrow_map, as_bytes, blocks, lists, mix64, text_key
 from burstframe.llm.graph import components
-from burstframe.operators.reuse import keep
+from burstframe.operators.reuse import drop, keep
 
 #: One document in so many shows which shingles are frequent; the list has so many entries at most (8 bytes each).
 SAMPLE, FREQUENT = 64, 200_000
@@ -308,16 +310,18 @@ class JaccardJoin:
         return arrow_map(texts, "nid long, n long, members array<long>", step)
 
     def _round(self, keyed: DataFrame, comps: DataFrame, members: DataFrame, overlapping: bool) -> DataFrame:
-        """Links among nodes that share a key (key, nid), for keys whose nodes are in several components."""
+        """Links among nodes that share a key (key, nid), for keys whose nodes are in several components; a kept table."""
         rows = keyed.join(comps, "nid")
         marks = [F.sum(F.xxhash64(F.lit(i), "nid").cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
         mixed = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("total"), F.count("*").alias("m"), *marks).where("x != y")
         mixed = mixed.groupBy("m", "h0", "h1").agg(F.min(F.struct("key", "total")).alias("g")).select("g.*")  # keys of the same nodes: once
         rows = rows.join(mixed, "key").select("key", "nid", "comp", "n", "total")
+        used = []
         if overlapping:  # nodes that share several keys meet once, in their family, unless it is too large
             rows = keep(rows)
             first = rows.groupBy("key").agg(F.min("nid").alias("b"))
-            family = keep(components(rows.join(first, "key").select(F.col("nid").alias("a"), "b")))
+            family = components(rows.join(first, "key").select(F.col("nid").alias("a"), "b"))
+            used = [rows, family]
             sized = family.select(F.col("node").alias("nid"), F.col("root").alias("family")).join(rows.select("nid", "comp", "n").distinct(), "nid")
             small = sized.groupBy("family").agg(F.sum("n").alias("total")).where(F.col("total") <= BLOCK)
             rest = sized.select("nid", "family").join(small, "family", "left_anti").select("nid")
@@ -330,7 +334,10 @@ class JaccardJoin:
         dealt = rows.withColumn("o", F.explode(F.sequence(F.lit(0), parts - 1)))
         dealt = dealt.select(F.xxhash64("kind", "key").alias("key"), F.least(part, "o").alias("i"), F.greatest(part, "o").alias("j"), "nid", "comp")
         dealt = dealt.join(members.select("nid", "members"), "nid").select("key", "i", "j", "nid", "comp", "members")
-        return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_join_groups(self.num, self.den), "a long, b long")
+        dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        links = keep(dealt.mapInArrow(_join_groups(self.num, self.den), "a long, b long"))
+        drop(*used)
+        return links
 
     def classes(self, docs: DataFrame) -> DataFrame:
         """(id, n_shingles, component_id, t1) for every row of ``docs``; t1 is a hash of the text.
@@ -345,6 +352,9 @@ class JaccardJoin:
         first = ["n", *[f"a{j}" for j in range(KEYS)], "prefix"]
         nodes = some.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.min(F.struct("id", "t1")).alias("at"), *[F.first(c).alias(c) for c in first])
         nodes = keep(nodes.withColumn("nid", F.monotonically_increasing_id()))
+        plain = keep(sketch.select("id", "n", "d1", "d2", "t1"))
+        named = keep(nodes.select("d1", "d2", "nid", "least"))
+        drop(sketch)
         n = F.col("n")
         alone = n - F.ceil(n * F.lit(self.num) / F.lit(float(self.den)) - F.lit(1e-9))
         found = F.greatest(F.lit(1), F.floor(alone * self.share))
@@ -353,15 +363,17 @@ class JaccardJoin:
         twice = tokens.groupBy("key").count().where("count > 1").select("key")
         hits = tokens.join(twice, "key", "left_semi").groupBy("nid").count()
         able = able.join(hits, "nid").where(F.col("count") >= found)
-        able = keep(able.select("nid", "n", F.col("at.id").alias("id"), F.col("at.t1").alias("t1"), *[f"a{j}" for j in range(KEYS)]))
-        members = keep(self._sets(rows, able))
+        likely = keep(able.select("nid", "n", F.col("at.id").alias("id"), F.col("at.t1").alias("t1"), *[f"a{j}" for j in range(KEYS)]))
+        drop(nodes)
+        members = keep(self._sets(rows, likely))
         tokens = members.select("nid", "n", F.explode("members").alias("key"))
         twice = tokens.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
         rare = Window.partitionBy("nid").orderBy("df", "key")
         ranked = tokens.join(twice, "key").withColumns({"i": F.row_number().over(rare), "common": F.count("*").over(Window.partitionBy("nid"))})
         # shingles of one node only come first; where they fill the prefix the node cannot link
         tokens = keep(ranked.where(F.col("i") <= alone + 1 - (n - F.col("common"))).select("nid", "n", "key"))
-        able = keep(able.join(tokens.select("nid").distinct(), "nid", "left_semi"))
+        able = keep(likely.join(tokens.select("nid").distinct(), "nid", "left_semi"))
+        drop(likely)
         comps = able.select("nid", F.col("nid").alias("comp"))
         links = None
         minimal = [able.select("nid", "n", F.col(f"a{j}").alias("key")) for j in range(KEYS)]
@@ -369,22 +381,24 @@ class JaccardJoin:
         for m in minimal[2:]:
             others = others.unionAll(m)
         for keyed, overlapping in ((minimal[0], False), (others, True), (tokens, True)):
-            new = keep(self._round(keyed, comps, members, overlapping))
-            if new.isEmpty():
-                continue
-            links = keep(components(new if links is None else links.unionAll(new))).select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = links.select(F.col("a").alias("nid"), F.col("b").alias("root"))
-            comps = able.select("nid").join(roots, "nid", "left").select("nid", F.coalesce("root", "nid").alias("comp"))
-        named = nodes.select("d1", "d2", "nid", "least")
+            new = self._round(keyed, comps, members, overlapping)
+            if not new.isEmpty():
+                before, links = links, components(new if links is None else new.unionAll(links))
+                if before is not None:
+                    drop(before)
+                roots = links.select(F.col("node").alias("nid"), "root")
+                comps = able.select("nid").join(roots, "nid", "left").select("nid", F.coalesce("root", "nid").alias("comp"))
+            drop(new)
+        drop(members, tokens, able)
         if links is not None:
-            named = named.join(links.select(F.col("a").alias("nid"), F.col("b").alias("root")), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+            named = named.join(links.select(F.col("node").alias("nid"), "root"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
             smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
             named = named.join(smallest, "root")
         else:
             named = named.withColumn("component_id", F.col("least"))
         named = named.select("d1", "d2", "component_id")
-        out = some.select("id", "n", "d1", "d2", "t1").join(named, ["d1", "d2"]).select("id", "n", "component_id", "t1")
-        return out.unionAll(sketch.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "t1")).withColumnRenamed("n", "n_shingles")
+        out = plain.where("n > 0").join(named, ["d1", "d2"]).select("id", "n", "component_id", "t1")
+        return out.unionAll(plain.where("n = 0").select("id", "n", F.col("id").alias("component_id"), "t1")).withColumnRenamed("n", "n_shingles")
 
     def representatives(self, docs: DataFrame) -> DataFrame:
         """One document of each component, with all columns: that of the smallest id.
