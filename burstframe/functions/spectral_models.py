@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from burstframe.functions.arithmetic import SPARK, Arrays, Columns
+
 # Pivot energy (keV), keV in erg as used for fluxes, light speed (cm/s), Mpc (cm).
 PIVOT = 100.0
 KEV_ERG = 1.602e-9
@@ -16,34 +18,34 @@ MPC_CM = 3.086e24
 
 
 def _x(e: Column) -> Column:
-    return e / F.lit(PIVOT)
+    return e / PIVOT
 
 
-def band(e: Column, alpha: Column, beta: Column, epeak: Column, norm: Column) -> Column:
+def band(e: Column, alpha: Column, beta: Column, epeak: Column, norm: Column, x: Columns | Arrays = SPARK) -> Column:
     """Exponential cutoff below (alpha - beta) Ep / (2 + alpha), power law above, joined smoothly."""
-    brk = (alpha - beta) * epeak / (alpha + F.lit(2.0))
-    low = norm * F.pow(_x(e), alpha) * F.exp(-(alpha + F.lit(2.0)) * e / epeak)
-    high = norm * F.pow(_x(brk), alpha - beta) * F.exp(beta - alpha) * F.pow(_x(e), beta)
-    return F.when(e < brk, low).otherwise(high)
+    brk = (alpha - beta) * epeak / (alpha + 2.0)
+    low = norm * x.pow(_x(e), alpha) * x.exp(-(alpha + 2.0) * e / epeak)
+    high = norm * x.pow(_x(brk), alpha - beta) * x.exp(beta - alpha) * x.pow(_x(e), beta)
+    return x.when(e < brk, low, high)
 
 
-def cutoff_power_law(e: Column, alpha: Column, epeak: Column, norm: Column) -> Column:
-    return norm * F.pow(_x(e), alpha) * F.exp(-(alpha + F.lit(2.0)) * e / epeak)
+def cutoff_power_law(e: Column, alpha: Column, epeak: Column, norm: Column, x: Columns | Arrays = SPARK) -> Column:
+    return norm * x.pow(_x(e), alpha) * x.exp(-(alpha + 2.0) * e / epeak)
 
 
-def power_law(e: Column, index: Column, norm: Column) -> Column:
-    return norm * F.pow(_x(e), index)
+def power_law(e: Column, index: Column, norm: Column, x: Columns | Arrays = SPARK) -> Column:
+    return norm * x.pow(_x(e), index)
 
 
-def blackbody(e: Column, kt: Column, norm: Column) -> Column:
-    z = F.greatest(F.lit(-100.0), F.least(F.lit(100.0), e / kt))
-    return norm * e * e / (F.exp(z) - F.lit(1.0))
+def blackbody(e: Column, kt: Column, norm: Column, x: Columns | Arrays = SPARK) -> Column:
+    z = x.clip(-100.0, 100.0, e / kt)
+    return norm * e * e / (x.exp(z) - 1.0)
 
 
-def smooth_broken_power_law(e, a1, a2, e_break, norm, delta: float = 0.3) -> Column:
-    x = e / e_break
-    bend = F.pow(F.pow(x, -a1 * F.lit(delta)) + F.pow(x, -a2 * F.lit(delta)), F.lit(-1.0 / delta))
-    return norm * F.pow(_x(e), -a1) * bend
+def smooth_broken_power_law(e, a1, a2, e_break, norm, delta: float = 0.3, x: Columns | Arrays = SPARK) -> Column:
+    r = e / e_break
+    bend = x.pow(x.pow(r, -a1 * delta) + x.pow(r, -a2 * delta), -1.0 / delta)
+    return norm * x.pow(_x(e), -a1) * bend
 
 
 # name -> (parameter names, builder)

@@ -14,8 +14,8 @@ from burstframe.operators.series import attach, running_sums, with_position
 KEYS = ("burst_id",)
 
 
-def _decay(p: dict[str, Column]) -> Column:
-    return F.pow(F.col("t"), -p["decay_index"])
+def _decay(p: dict, x) -> Column:
+    return x.pow(x.col("t"), -p["decay_index"])
 
 
 def _with_norm_range(points: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,9 +55,9 @@ def broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     pts = _anchors(rows.filter("n >= 4"), keys, {
         "_f0": _at(F.lit(0), "flux"), "_tlo": _at(F.lit(1), "t"), "_thi": _at(F.col("n") - 2, "t")})
 
-    def model(p):
-        x = F.ln(F.col("t") / p["t_break"]) * p["smoothness"]
-        return F.col("_f0") * F.pow(F.exp(x * p["alpha1"]) + F.exp(x * p["alpha2"]), -F.lit(1.0) / p["smoothness"])
+    def model(p, x):
+        u = x.ln(x.col("t") / p["t_break"]) * p["smoothness"]
+        return x.col("_f0") * x.pow(x.exp(u * p["alpha1"]) + x.exp(u * p["alpha2"]), -1.0 / p["smoothness"])
 
     axes = [Axis("alpha1", 0.1, 3.0, 5), Axis("alpha2", 1.0, 5.0, 5), Axis("t_break", "_tlo", "_thi", 6, True),
             Axis("smoothness", 0.5, 5.0, 3, True)]
@@ -71,13 +71,11 @@ def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS) -> Data
         "_f0": _at(F.lit(0), "flux"), "_t1": _at(F.lit(1), "t"), "_t2": _at(F.lit(2), "t"),
         "_t3": _at(F.col("n") - 3, "t"), "_t4": _at(F.col("n") - 2, "t")})
 
-    def model(p):
-        t = F.col("t")
-        knee = F.pow(p["t_break2"] / p["t_break1"], -p["alpha2"])
-        return F.col("_f0") * (
-            F.when(t < p["t_break1"], F.pow(t / p["t_break1"], -p["alpha1"]))
-            .when(t < p["t_break2"], F.pow(t / p["t_break1"], -p["alpha2"]))
-            .otherwise(knee * F.pow(t / p["t_break2"], -p["alpha3"])))
+    def model(p, x):
+        t = x.col("t")
+        knee = x.pow(p["t_break2"] / p["t_break1"], -p["alpha2"])
+        late = x.when(t < p["t_break2"], x.pow(t / p["t_break1"], -p["alpha2"]), knee * x.pow(t / p["t_break2"], -p["alpha3"]))
+        return x.col("_f0") * x.when(t < p["t_break1"], x.pow(t / p["t_break1"], -p["alpha1"]), late)
 
     axes = [Axis("alpha1", 0.1, 3.0, 4), Axis("alpha2", 0.5, 3.0, 4), Axis("alpha3", 1.0, 5.0, 4),
             Axis("t_break1", "_t1", "_t3", 4, True), Axis("t_break2", "_t2", "_t4", 4, True)]
@@ -200,9 +198,9 @@ def energy_injection(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     pts = _with_norm_range(_anchors(rows.filter("n >= 4"), keys, {
         "_tlo": _at(F.lit(1), "t"), "_thi": _at(F.col("n") - 2, "t")}), keys)
 
-    def model(p):
-        t, a, te = F.col("t"), p["alpha0"], p["injection_end"]
-        return F.when(t < te, F.pow(t, F.lit(0.5) - a)).otherwise(F.pow(te, F.lit(0.5) - a) * F.pow(t / te, -a))
+    def model(p, x):
+        t, a, te = x.col("t"), p["alpha0"], p["injection_end"]
+        return x.when(t < te, x.pow(t, 0.5 - a), x.pow(te, 0.5 - a) * x.pow(t / te, -a))
 
     fit = profile_fit(pts, keys, [Axis("alpha0", 0.5, 5.0, 19), Axis("injection_end", "_tlo", "_thi", 12, True)], model,
                       norm_bounds=("_f_lo", "_f_hi"), min_points=4)

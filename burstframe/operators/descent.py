@@ -7,13 +7,14 @@ of one row per series.  A series leaves the loop when it has converged, so late
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burstframe.functions.arithmetic import SPARK
 from burstframe.operators.reuse import keep
 
 #: A series has converged when a step that is hardly damped gains less than GAIN of the statistic (or GAIN at all), or no damping finds a gain.
@@ -28,7 +29,7 @@ def _sums(axes, model, stat: str, y: str, err: str | None, trial: list[Column])
 
     def at(i: int | None, sign: float) -> Column:
         p = {a.name: a.unscale(t + (steps[j] * F.lit(sign * 1e-5) if i == j else F.lit(0.0))) for j, (a, t) in enumerate(zip(axes, trial))}
-        return model(p)
+        return model(p, SPARK)
 
     rows = [at(None, 0.0).alias("_m")]
     rows += [F.try_divide(at(i, 1.0) - at(i, -1.0), F.lit(2e-5) * steps[i]).alias(f"_d{i}") for i in range(len(axes))]
@@ -49,16 +50,16 @@ def _sums(axes, model, stat: str, y: str, err: str | None, trial: list[Column])
     return rows, out
 
 
-def _local(f: pd.DataFrame, stat: str, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def local_shape(f: Mapping[str, np.ndarray], stat: str, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Statistic, norm, offset, gradient and curvature per series from the sums."""
-    col = lambda c: f[c].to_numpy(np.float64)
-    a = np.zeros((len(f), n, n))
+    col = lambda c: np.asarray(f[c], np.float64)
+    a = np.zeros((len(f["_nlo"]), n, n))
     for i in range(n):
         for j in range(i, n):
             a[:, i, j] = a[:, j, i] = col(f"a_{i}_{j}")
     b, c = (np.stack([col(f"{k}_{i}") for i in range(n)], 1) for k in "bc")
     lo, hi = col("_nlo"), col("_nhi")
-    zero = np.zeros(len(f))
+    zero = np.zeros(len(lo))
     with np.errstate(all="ignore"):
         if stat == "cash":
             norm = np.clip(col("s_n") / col("s_e"), lo, hi)
@@ -90,6 +91,53 @@ def _local(f: pd.DataFrame, stat: str, n: int) -> tuple[np.ndarray, np.ndarray,
         return value, norm, shift, grad, 2 * norm[:, None, None] ** 2 * (a - outer)
 
 
+def fresh(trial: np.ndarray) -> dict[str, np.ndarray]:
+    """State of descents that have not begun; ``trial`` has a row for each."""
+    r, n = trial.shape
+    return {"trial": trial.copy(), "best": np.full((r, n), np.nan), "grad": np.zeros((r, n)), "curve": np.zeros((r, n, n)), "norm": np.zeros(r), "shift": np.zeros(r),
+            "stat": np.full(r, np.inf), "damp": np.full(r, 1e-3), "first": np.ones(r, bool), "done": np.zeros(r, bool), "converged": np.zeros(r, bool)}
+
+
+def advance(old: Mapping[str, np.ndarray], shape: tuple, ok: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> dict[str, np.ndarray]:
+    """States after the trial of each row was evaluated: better trials are taken, and the next trial is a damped step from the best point."""
+    value, norm, shift, grad, curve = shape
+    r, n = old["trial"].shape
+    first = old["first"]
+    ok = ok & np.isfinite(value) & np.isfinite(grad).all(1) & np.isfinite(curve).all((1, 2))
+    better = ok & (first | (value < old["stat"]))
+    lost = first & ~better  # nothing to go on
+    with np.errstate(all="ignore"):
+        pick = lambda new, none, was: np.where(_wide(better, new), new, np.where(_wide(lost, new), none, was))
+        best = np.where((better | lost)[:, None], old["trial"], old["best"])
+        g, h = pick(grad, 0.0, old["grad"]), pick(curve, np.eye(n), old["curve"])
+        s, a, k = pick(value, np.inf, old["stat"]), pick(norm, 0.0, old["norm"]), pick(shift, 0.0, old["shift"])
+        damp = np.where(better, np.maximum(old["damp"] / 8, 1e-9), np.where(lost, old["damp"], old["damp"] * 8))
+        gain = np.where(first, np.inf, old["stat"] - value)
+        good = np.where(better, (gain <= GAIN * np.maximum(1.0, np.abs(s))) & (damp <= FREE), ~lost & (damp > DAMPED))
+        done = good | lost
+        width = np.maximum(hi - lo, TINY)
+        free = ~(((best <= lo) & (g > 0)) | ((best >= hi) & (g < 0)))  # others are held at their limits
+        both = free[:, :, None] & free[:, None, :]
+        hh = np.where(both, h * width[:, :, None] * width[:, None, :], 0.0)
+        diag = np.where(free, np.einsum("rii->ri", hh), 0.0)
+        diag = np.maximum(diag, 1e-12 * np.maximum(1e-300, np.abs(diag).max(1, initial=0))[:, None] + 1e-30)
+        system = hh + np.where(np.eye(n, dtype=bool) & both, (damp[:, None] * diag)[:, :, None], 0.0)
+        slope = np.where(free, g * width, 0.0)
+        solvable = ~done & free.any(1) & np.isfinite(system).all((1, 2)) & np.isfinite(slope).all(1)
+        step = np.zeros((r, n))
+        if solvable.any():
+            inverse = np.linalg.pinv(system[solvable], rtol=n * np.finfo(float).eps, hermitian=True)
+            step[solvable] = -np.einsum("rij,rj->ri", inverse, slope[solvable]) * width[solvable]
+        to = np.clip(best + step, lo, hi)
+        still = ~done & (np.abs(to - best).max(1) <= 1e-12 * width.max(1))
+    return {"trial": to, "best": best, "grad": g, "curve": h, "norm": a, "shift": k, "stat": s, "damp": damp, "first": np.zeros(r, bool), "done": done | still,
+            "converged": good | still}
+
+
+def _wide(mark: np.ndarray, like: np.ndarray) -> np.ndarray:
+    return mark.reshape(-1, *[1] * (like.ndim - 1))
+
+
 def descend(points: DataFrame, keys: Sequence[str], start: DataFrame, axes, model: Callable, stat: str, y: str, err: str | None, norm_bounds, offset_bounds,
             allowed: Callable | None) -> DataFrame:
     """Local minima from starts: keys, axis values, ``norm``, ``offset``, ``stat``, ``converged``.
@@ -120,45 +168,16 @@ def descend(points: DataFrame, keys: Sequence[str], start: DataFrame, axes, mode
         for f in batches:
             if not len(f):
                 continue
-            value, norm, shift, grad, curve = _local(f, stat, n)
-            trial = np.stack(f["trial"].to_numpy())
+            first = f["old_best"].isna().to_numpy()
+            old = {k: f[f"old_{k}"].to_numpy(np.float64) for k in ("norm", "shift", "stat", "damp")}
+            old |= {k: np.stack([np.zeros(z) if v is None else np.asarray(v) for v in f[f"old_{k}"]]) for k, z in (("best", n), ("grad", n), ("curve", n * n))}
+            old |= {"trial": np.stack(f["trial"].to_numpy()), "first": first, "curve": old["curve"].reshape(-1, n, n)}
             lo, hi = (np.stack([f[f"_{k}{i}"].to_numpy(np.float64) for i in range(n)], 1) for k in ("lo", "hi"))
+            new = advance(old, local_shape(f, stat, n), f["_ok"].fillna(False).to_numpy(bool), lo, hi)
+            new["curve"] = new["curve"].reshape(len(f), n * n)
             out = f[ids].copy()
-            new = {k: [] for k in ("trial", "best", "grad", "curve", "norm", "shift", "stat", "damp", "done", "converged")}
-            old = {k: f[f"old_{k}"].to_numpy() for k in ("best", "grad", "curve", "norm", "shift", "stat", "damp")}
-            for r in range(len(f)):
-                first = old["best"][r] is None
-                ok = bool(f["_ok"].iat[r]) and np.isfinite(value[r]) and np.isfinite(grad[r]).all() and np.isfinite(curve[r]).all()
-                better = ok and (first or value[r] < old["stat"][r])
-                damp, done, good = float(old["damp"][r]), False, False
-                if better:
-                    gain = np.inf if first else old["stat"][r] - value[r]
-                    best, g, h, s, a, k = trial[r], grad[r], curve[r], value[r], norm[r], shift[r]
-                    damp = max(damp / 8, 1e-9)
-                    done = good = bool(gain <= GAIN * max(1.0, abs(s)) and damp <= FREE)
-                elif first:  # nothing to go on
-                    best, g, h, s, a, k, done = trial[r], np.zeros(n), np.eye(n), np.inf, 0.0, 0.0, True
-                else:
-                    best, g, h, s, a, k = (np.asarray(old["best"][r]), np.asarray(old["grad"][r]), np.asarray(old["curve"][r]).reshape(n, n), old["stat"][r], old["norm"][r],
-                                           old["shift"][r])
-                    damp *= 8
-                    done = good = damp > DAMPED
-                step = np.zeros(n)
-                width = np.maximum(hi[r] - lo[r], TINY)
-                free = ~(((best <= lo[r]) & (g > 0)) | ((best >= hi[r]) & (g < 0)))  # others are held at their limits
-                if free.any() and not done:
-                    i = np.flatnonzero(free)
-                    scale = 1 / width[i]
-                    hh = h[np.ix_(i, i)] / np.outer(scale, scale)
-                    diag = np.maximum(np.diag(hh), 1e-12 * max(1e-300, np.abs(np.diag(hh)).max(initial=0)) + 1e-30)
-                    step[i] = -np.linalg.lstsq(hh + damp * np.diag(diag), g[i] / scale, rcond=None)[0] * width[i]
-                to = np.clip(best + step, lo[r], hi[r])
-                if not done and np.abs(to - best).max() <= 1e-12 * width.max():
-                    done = good = True
-                for name, x in zip(new, (to, best, g, h.ravel(), a, k, s, damp, done, good)):
-                    new[name].append(x)
-            for name, x in new.items():
-                out[name] = x
+            for k in ("trial", "best", "grad", "curve", "norm", "shift", "stat", "damp", "done", "converged"):
+                out[k] = list(new[k]) if new[k].ndim > 1 else new[k]
             yield out
 
     finished, state = None, keep(state)

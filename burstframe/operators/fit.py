@@ -1,9 +1,10 @@
 """Distributed grid-profile fits: one operator for every curve fit.
 
 Shape parameters run over a grid, the normalisation (and an offset, if any) has a closed form, so a fit
-is one aggregate of a few sums per (series, grid point) followed by the best few.  The grid is exploded inside
-the scan of the points (no join).  From these starts every series descends (``descent.py``) until it has converged; ``fit_success``
-needs that.  Partial sums combine map-side, so the number of points per series does not matter.
+is a few sums per (series, grid point) followed by the best few; from these starts every series descends until it has converged; ``fit_success``
+needs that.  Series of at most ``local_fit.POINTS`` points are packed into rows and fitted there (``local_fit.py``).  For longer ones the grid is
+exploded inside the scan of the points (no join), a round of the descent is one aggregate (``descent.py``), and partial sums combine map-side, so the
+number of points per series does not matter.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burstframe.functions.arithmetic import SPARK, Arrays, Columns
+from burstframe.operators import local_fit
 from burstframe.operators.descent import descend
 from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach
@@ -92,7 +95,7 @@ def _evaluate(points, keys, axes, model, stat, y, err, n_grid, values, norm_boun
     p = {k: F.col(f"_p_{k}") for k in params}
     if allowed is not None:
         grid = grid.filter(allowed(p))
-    grid = grid.withColumn("_m", model(p))
+    grid = grid.withColumn("_m", model(p, SPARK))
     sums = grid.groupBy(*keys, "_g").agg(
         *_sum_columns(stat, y, err), F.count(F.lit(1)).alias("_n"),
         *[F.first(f"_p_{k}").alias(k) for k in params], *[F.first(c).alias(c) for c in per_key_cols])
@@ -125,7 +128,7 @@ def profile_fit(
     points: DataFrame,
     keys: Sequence[str],
     axes: Sequence[Axis],
-    model: Callable[[dict[str, Column]], Column],
+    model: Callable[[dict, Columns | Arrays], Column],
     stat: str = "chi2",
     y: str = "flux",
     err: str | None = "flux_err",
@@ -139,13 +142,35 @@ def profile_fit(
 ) -> DataFrame:
     """Best parameters per key: shape axes, ``norm`` (``offset``), ``stat``, ``n_points``, ``converged``, ``fit_success``.
 
-    ``model`` maps parameter columns to the unit-norm model at a point.  ``stat`` is chi2, chi2_offset or cash.  The descent begins at the
+    ``model`` maps parameters to the unit-norm model at a point; its second argument has the columns and functions it may use (``functions/arithmetic.py``), as it
+    is evaluated on Spark columns and on arrays.  ``stat`` is chi2, chi2_offset or cash.  The descent begins at the
     ``starts`` best grid points, or at ``start`` (keys and axis values) without a grid; ``refine=False`` stops at the grid, whose
     best point counts as a success.
     """
     limits = [v for a in axes for v in (a.lo, a.hi) if isinstance(v, str)]
     bound_cols = [b for bs in (norm_bounds, offset_bounds) if bs for b in bs if isinstance(b, str)]
     per_key = list(dict.fromkeys(limits + bound_cols))
+    sizes = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_np"))
+    long = sizes.where(F.col("_np") > local_fit.POINTS)
+    some_long = start is not None or not long.isEmpty()
+    out = None
+    if start is None:
+        short = points if not some_long else attach(points, sizes.where(F.col("_np") <= local_fit.POINTS), keys).drop("_np")
+        short = short.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys) or "true")
+        out = keep(local_fit.fit_packed(short, keys, axes, model, stat, y, err, norm_bounds, offset_bounds, allowed, starts, refine, per_key))
+    if some_long:
+        rows = points if start is not None else points.join(long.select(*keys), list(keys), "left_semi")
+        far = _fit_rounds(rows, keys, axes, model, stat, y, err, refine, starts, start, norm_bounds, offset_bounds, per_key, allowed)
+        out = far if out is None else out.unionByName(far)
+    ok = (F.col("_np") >= min_points) & F.col("stat").isNotNull() & F.col("converged")
+    names = [a.name for a in axes] + ["norm"] + (["offset"] if stat == "chi2_offset" else [])
+    return out.select(
+        *keys, *[F.when(ok, F.col(n)).alias(n) for n in names], F.when(ok, F.col("stat")).alias("stat"),
+        F.col("_np").alias("n_points"), F.coalesce("converged", F.lit(False)).alias("converged"), F.coalesce(ok, F.lit(False)).alias("fit_success"))
+
+
+def _fit_rounds(points, keys, axes, model, stat, y, err, refine, starts, start, norm_bounds, offset_bounds, per_key, allowed) -> DataFrame:
+    """Fits of series of any length: one aggregate for the grid and one for each round of the descent."""
     points = _clustered(points, keys)
     common = (keys, axes, model, stat, y, err)
     sizes = [a.n for a in axes]
@@ -165,19 +190,16 @@ def profile_fit(
         best = found.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in found.columns if c not in keys]), "stat").alias("_w")).select(*keys, "_w.*")
         best = best.where(F.col("stat") < float("inf"))
     else:
-        best = best.withColumn("converged", F.lit(True))
+        best = best.drop("_s").withColumn("converged", F.lit(True))
+    if "offset" not in best.columns:
+        best = best.withColumn("offset", F.lit(0.0))
     seen = points.groupBy(*keys).agg(F.first("_np").alias("_np"))
-    out = attach(seen, best, keys, "left")
-    ok = (F.col("_np") >= min_points) & F.col("stat").isNotNull() & F.col("converged")
-    names = [a.name for a in axes] + ["norm"] + (["offset"] if stat == "chi2_offset" else [])
-    return out.select(
-        *keys, *[F.when(ok, F.col(n)).alias(n) for n in names], F.when(ok, F.col("stat")).alias("stat"),
-        F.col("_np").alias("n_points"), F.coalesce("converged", F.lit(False)).alias("converged"), F.coalesce(ok, F.lit(False)).alias("fit_success"))
+    return attach(seen, best, keys, "left").select(*keys, *[a.name for a in axes], "norm", "offset", "stat", "converged", "_np")
 
 
 def curvature_errors(
     points: DataFrame, keys: Sequence[str], fits: DataFrame, names: Sequence[str],
-    model: Callable[[dict[str, Column]], Column], stat: str = "chi2", y: str = "flux", err: str | None = "flux_err",
+    model: Callable[[dict, Columns | Arrays], Column], stat: str = "chi2", y: str = "flux", err: str | None = "flux_err",
     rel_step: float = 1e-3,
 ) -> DataFrame:
     """sqrt(2 / f'') per parameter (``x_err``) and 1 / sqrt(f'') (``x_err_compat``), others held fixed.
@@ -192,7 +214,7 @@ def curvature_errors(
         b = F.col(f"_b_{n}")
         h = F.greatest(F.abs(b), F.lit(1e-3)) * F.lit(rel_step)
         p[n] = b + F.when(F.col("_v") == 2 * i + 1, h).when(F.col("_v") == 2 * i + 2, -h).otherwise(F.lit(0.0))
-    value = model({n: p[n] for n in names}) * p["norm"]
+    value = model({n: p[n] for n in names}, SPARK) * p["norm"]
     if stat == "cash":
         e = F.greatest(value * F.col("exposure") * F.col("area"), F.lit(1e-10))
         term = F.lit(2.0) * (e - F.col(y) * F.ln(e))

@@ -67,8 +67,8 @@ def fit_model(
     axes = _axes()[model]
     names, build = MODELS[model]
 
-    def unit(p):
-        return build(F.col("energy"), *[p[n] for n in names], F.lit(1.0))
+    def unit(p, x):
+        return build(x.col("energy"), *[p[n] for n in names], 1.0, x=x)
 
     # the Band break needs alpha > -2 and alpha > beta
     allowed = (lambda p: (p["alpha"] > -2.0) & (p["alpha"] > p["beta"])) if model == "Band" else None
