@@ -207,9 +207,12 @@ def _(spark, d):
 SELECT burst_id, floor(t)::BIGINT AS slice, round(sum(energy * energy) / sum(energy), 6) AS epeak, count(*) AS n
 FROM photons WHERE isfinite(energy) GROUP BY 1, 2""")
 def _(spark, d):
-    e = F.col("energy")
-    return V.photons(spark, d).filter(~F.isnan("energy")).groupBy("burst_id", F.floor("t").cast("long").alias("slice")).agg(
-        r6(F.sum(e * e) / F.sum(e)).alias("epeak"), F.count(F.lit(1)).alias("n"))
+    e, inf = F.col("energy"), F.lit(float("inf"))
+    sums = V.photons(spark, d).filter(~F.isnan("energy")).groupBy("burst_id", F.floor("t").cast("long").alias("slice")).agg(
+        F.sum(e * e).alias("ee"), F.sum(e).alias("e"), F.count(F.lit(1)).alias("n"))
+    # energies that add up to zero: not a number, or infinite where they cancel, as in SQL
+    none = F.when(F.col("ee") == 0, F.lit(float("nan"))).otherwise(inf)
+    return sums.select("burst_id", "slice", r6(F.when(F.col("e") == 0, none).otherwise(F.try_divide("ee", "e"))).alias("epeak"), "n")
 
 
 @query("spectral_slices", "photons", """
