@@ -281,3 +281,15 @@ def test_registered(spark):
 
     names = entry.queries()
     assert sum(n.startswith("op") for n in names if n[2].isdigit()) == 13 and "pipeline" in names
+
+
+def test_repetition_verdict_has_an_effect(spark, tmp_path):
+    """A text that passes the base rule but repeats a long passage is not kept; the same words without the repeat are."""
+    from burstframe.llm.queries import QUERIES
+
+    words = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(words)), (1, " ".join(words + words[:20])), (2, " ".join(words[:40]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: r for r in QUERIES["op6_repetition"](spark, str(tmp_path)).collect()}
+    assert [out[k]["base_failed"] for k in range(3)] == [False, False, True]
+    assert [out[k]["kept"] for k in range(3)] == [True, False, False]
