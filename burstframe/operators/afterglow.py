@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstframe.operators.fit import Axis, curvature_errors, profile_fit
+from burstframe.operators.local_fit import POINTS, TOGETHER, blocks, flat, packed_points
 from burstframe.operators.reuse import keep
 from burstframe.operators.series import attach, running_sums, with_position
 
@@ -86,15 +89,17 @@ def double_broken_power_law(rows: DataFrame, keys: Sequence[str] = KEYS) -> Data
 def detect_plateau(rows: DataFrame, keys: Sequence[str] = KEYS, n_grid: int = 99) -> DataFrame:
     """Sliding-window decay fits; plateau where the index is under 0.5.
 
-    A window holds max(3, n // 10) points, so it grows with the series; a window's sums are two running sums
-    added (see :func:`_window_indices`), so a series is never multiplied by its window.
+    A window holds max(3, n // 10) points, so it grows with the series.  Series of at most ``POINTS`` points are fitted where they are packed
+    (:func:`_packed_indices`); of longer ones a window's sums are two running sums added (:func:`_window_indices`), so they are never multiplied by their window.
     """
     keys = list(keys)
     w = F.greatest(F.lit(3), F.floor(F.col("n") / 10)).cast("long")
     base = keep(rows.filter("n >= 10").select(*keys, "pos", "n", "t", "flux", "flux_err").withColumn("_w", w))
-    best = _window_indices(base, keys, n_grid)
-    flat = best.filter("abs(_alpha) < 0.5").select(*keys, (F.col("_s") + F.floor(F.col("_w") / 2)).alias("pos"), "_alpha")
-    mid = flat.join(base.select(*keys, "pos", "t"), [*keys, "pos"])
+    best = _packed_indices(base.where(F.col("n") <= POINTS), keys, n_grid)
+    if not base.where(F.col("n") > POINTS).isEmpty():
+        best = best.unionByName(_window_indices(base.where(F.col("n") > POINTS), keys, n_grid))
+    low = best.filter("abs(_alpha) < 0.5").select(*keys, (F.col("_s") + F.floor(F.col("_w") / 2)).alias("pos"), "_alpha")
+    mid = low.join(base.select(*keys, "pos", "t"), [*keys, "pos"])
     span = keep(mid.groupBy(*keys).agg(F.min("t").alias("start_time"), F.max("t").alias("end_time"), F.avg("_alpha").alias("mean_alpha")))
     level = attach(base, span, keys).filter(F.col("t").between(F.col("start_time"), F.col("end_time"))).groupBy(*keys).agg(
         F.avg("flux").alias("plateau_level"))
@@ -103,6 +108,64 @@ def detect_plateau(rows: DataFrame, keys: Sequence[str] = KEYS, n_grid: int = 99
         "has_plateau", F.col("start_time").isNotNull())
 
 
+def _packed_indices(base: DataFrame, keys: list[str], n_grid: int) -> DataFrame:
+    """Best index per window (``_s``, ``_w``, ``_alpha``) of packed series; a part of a window on one side of a block border without any usable point leaves index 0 of the grid."""
+    a = 0.1 + 4.9 * np.arange(n_grid) / (n_grid - 1.0)
+    columns = ["pos", "_w", "t", "flux", "_wt"]
+    rows = packed_points(base.withColumn("_wt", F.lit(1.0) / (F.col("flux_err") * F.col("flux_err"))), keys, columns)
+    kinds = ", ".join(f"`{k}` {base.schema[k].dataType.simpleString()}" for k in keys)
+
+    def best(size: np.ndarray, v: dict[str, np.ndarray], nulls: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(series, first position, window, index) of all windows of a block of series, whose points are in order."""
+        first = np.cumsum(size) - size
+        w = v["_w"][first].astype(np.int64)
+        none = np.zeros(len(v["pos"]), bool)
+        lost = nulls.get("flux", none) | nulls.get("_wt", none)
+        flux, wt = np.where(lost, 0.0, v["flux"]), np.where(lost, 0.0, v["_wt"])
+        late = nulls.get("t", none)
+        m = np.power(np.where(late, 1.0, v["t"])[:, None], -a)
+        m = np.where(late[:, None], 0.0, m)
+        terms = ((flux * wt)[:, None] * m, wt[:, None] * m * m, (flux * flux * wt)[:, None])
+        seen = np.concatenate([[0], np.cumsum(~(lost | late))])
+        low, high = np.where(lost, np.inf, flux), np.where(lost, -np.inf, flux)
+        out = []
+        for k in np.unique(w):
+            of = np.flatnonzero((w == k) & (size > k))
+            n = size[of] - k
+            owner = np.repeat(of, n)
+            start = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            at = first[owner] + start
+            fm, mm, ff = (sum(q[at + j] for j in range(k)) for q in terms)
+            lo, hi = low[at], high[at]
+            for j in range(1, k):
+                lo, hi = np.minimum(lo, low[at + j]), np.maximum(hi, high[at + j])
+            norm = np.maximum(lo[:, None] * 0.5, np.fmin(hi[:, None] * 2.0, np.where(mm == 0, np.nan, fm / mm)))
+            chi = ff - 2.0 * norm * fm + norm * norm * mm
+            border = np.where(start % k == 0, at + k, at + k - start % k)
+            usable = (seen[border] > seen[at]) & ((border == at + k) | (seen[at + k] > seen[border]))
+            g = np.argmin(np.where(np.isnan(chi) | ~usable[:, None], np.inf, chi), axis=1)
+            out.append((owner, start, np.full(len(at), k), a[g]))
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size, values, nulls = flat(batch, columns)
+            order = np.lexsort((values["pos"], np.repeat(np.arange(len(size)), size)))
+            values, nulls = {c: x[order] for c, x in values.items()}, {c: x[order] for c, x in nulls.items()}
+            end = np.cumsum(size)
+            for i, j in blocks(size, TOGETHER // 8):
+                part = slice(end[i] - size[i], end[j - 1])
+                with np.errstate(all="ignore"):
+                    owner, start, w, index = best(size[i:j], {c: x[part] for c, x in values.items()}, {c: x[part] for c, x in nulls.items()})
+                at = pa.array(owner + i)
+                yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(k)).take(at) for k in keys], pa.array(start), pa.array(w), pa.array(index)],
+                                                 names=[*keys, "_s", "_w", "_alpha"])
+
+    return rows.mapInArrow(run, f"{kinds}, _s bigint, _w bigint, _alpha double")
+
+
 def _window_indices(base: DataFrame, keys: list[str], n_grid: int) -> DataFrame:
     """Best index per window from running sums.
 
@@ -216,8 +279,11 @@ def multi_band_fit(
 
     For a fixed break the bands decouple, and inside a band the points before and after the break meet only in
     the norm.  So each point is summed for its own side's indices only; pairs of indices are formed from those
-    sums, per (burst, break, band), and chi2 adds up over bands.  Norms stay in [0.01, 100].
+    sums, per (burst, break, band), and chi2 adds up over bands.  Norms stay in [0.01, 100].  Points are dealt by burst once; the sums over the
+    grid are formed and used up in the same task, so no grid point is shuffled.
     """
+    n_parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = points.repartition(n_parts, burst)
     span = points.groupBy(burst).agg(F.count_distinct(band).alias("_nb"), F.min("t").alias("_a"), F.max("t").alias("_z"))
     tb = F.exp(F.ln("_a") + (F.ln("_z") - F.ln("_a")) * (F.col("_tb") + 1) / F.lit(n_tb + 1.0))
     grid = attach(points, span.filter("_nb >= 2 AND _z > _a"), [burst]).withColumn(

@@ -41,3 +41,40 @@ def test_short_series_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(fits, "descend", lambda *a: pytest.fail("rounds for short series"))
     out = A.power_law_decay(decays(spark).where(F.col("burst_id") != "lost"))
     assert out.where("fit_success").count() == 6 and len(written) == 1
+
+
+def test_packed_windows_equal_running_sums(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = []
+    for k, n in enumerate((9, 10, 37, 64)):
+        t = np.arange(1.0, n + 1)
+        f = 5 * t**-0.4 * np.exp(0.2 * rng.standard_normal(n))
+        rows += [(f"b{k}", float(x), None if k == 3 and i % 7 == 0 else float(y), None if k == 3 and i % 7 == 0 else float(0.1 * y)) for i, (x, y) in enumerate(zip(t, f))]
+    rows = A.numbered(spark.createDataFrame(rows, "burst_id string, t double, flux double, flux_err double"))
+    base = rows.filter("n >= 10").withColumn("_w", F.greatest(F.lit(3), F.floor(F.col("n") / 10)).cast("long"))
+    key = ("burst_id", "_s", "_w")
+    packed = {tuple(r[c] for c in key): r["_alpha"] for r in A._packed_indices(base, ["burst_id"], 99).collect()}
+    sums = {tuple(r[c] for c in key): r["_alpha"] for r in A._window_indices(base, ["burst_id"], 99).collect()}
+    assert len(packed) == 7 + 34 + 58 and packed == pytest.approx(sums)
+    whole = {r["burst_id"]: r.asDict() for r in A.detect_plateau(rows).collect()}
+    monkeypatch.setattr(A, "POINTS", 0)
+    for r in A.detect_plateau(rows).collect():
+        assert whole[r["burst_id"]] == {k: v if v is None or isinstance(v, (str, bool)) else pytest.approx(v) for k, v in r.asDict().items()}
+
+
+def test_multi_band_grid_is_not_shuffled(spark):
+    points = spark.createDataFrame([("a", b, float(t), 9.0 * t**-1.5, 0.1) for b in "xy" for t in range(1, 12)], "burst_id string, band string, t double, flux double, flux_err double")
+    plan = A.multi_band_fit(points)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(burst_id" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("_tb" in line or "_side" in line)]
+
+
+def test_epeak_of_empty_energy(spark, tmp_path):
+    from datetime import datetime
+
+    from burstframe.plans import QUERIES
+
+    rows = [(1, "view", datetime(2024, 1, 16), 0.0), (2, "view", datetime(2024, 1, 16), 3.0), (2, "view", datetime(2024, 1, 16), 1.0)]
+    spark.createDataFrame(rows, "user_id long, event_type string, ts timestamp_ntz, value double").write.parquet(str(tmp_path / "events.parquet"))
+    out = {r["burst_id"]: r for r in QUERIES["epeak_evolution_series"](spark, str(tmp_path)).collect()}
+    assert np.isnan(out[1]["epeak"]) and out[1]["n"] == 1 and out[2]["epeak"] == 2.5
