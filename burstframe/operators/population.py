@@ -215,7 +215,8 @@ def cross_match(
     """Alerts within ``window`` of a burst (and ``radius`` degrees); unmatched bursts stay with NULLs.
 
     Time cells one window wide plus, when a radius is given, declination strips one radius high: only alerts in
-    neighbouring cells meet a burst, so a crowded time span is further split over the sky.
+    neighbouring cells meet a burst, so a crowded time span is further split over the sky.  Both sides are shuffled by cell: the size
+    of the burst table says nothing of its nine copies, which would be broadcast.
     """
     cell = lambda c: F.floor(F.col(c) / F.lit(window)).cast("long")
     near = F.explode(F.array(*[cell(time) + k for k in (-1, 0, 1)]))
@@ -228,7 +229,7 @@ def cross_match(
         b = b.withColumn("_d", F.explode(F.array(*[strip("_bdec") + k for k in (-1, 0, 1)])))
         a = a.withColumn("_d", strip("_adec"))
         on.append("_d")
-    hit = b.join(a, on).filter(F.abs(F.col("_at") - F.col("_bt")) <= window)
+    hit = a.join(b.hint("merge"), on).filter(F.abs(F.col("_at") - F.col("_bt")) <= window)
     cols = [key, "alert_id", (F.col("_at") - F.col("_bt")).alias("dt")]
     if radius:
         sep = separation(F.col("_bra"), F.col("_bdec"), F.col("_ara"), F.col("_adec"))
