@@ -36,7 +36,9 @@ def quad_files(spark, d, tag):
     cols = [F.col("t"), *[c for i in range(4) for c in (F.col(f"r{i}"), F.sqrt(f"r{i}"))]]
     line = F.concat(F.lit("  "), F.concat_ws("   ", *[c.cast("string") for c in cols]))
     name = F.concat(F.lit("GRB"), F.lpad(F.col("burst_id").cast("string"), 6, "0"), F.lit("A"), F.lit(tag))
-    quad(spark, d).select(name.alias("file"), line.alias("value")).repartition("file").write.partitionBy("file").text(path)
+    rows = quad(spark, d).select(name.alias("file"), line.alias("value"))
+    # the count is explicit: a file costs far more than its rows, and AQE would merge the small partitions into one task
+    rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file").write.partitionBy("file").text(path)
     return path
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 
 from burstframe.operators import population as P
+from burstframe.plans import source_queries as Q
 
 
 def apart(a, b):
@@ -29,3 +32,12 @@ def test_cross_match_broadcasts_no_exploded_bursts(spark, tmp_path):
     want = {(x[0], y[0]) for x in b for y in a if abs(x[1] - y[1]) <= 5 and apart(x[2:], y[2:]) <= 30}
     assert {(r["burst_id"], r["alert_id"]) for r in out.collect() if r["alert_id"] is not None} == want and want
     assert {r["burst_id"] for r in out.collect()} == {x[0] for x in b}
+
+
+def test_files_of_bursts_are_written_by_several_tasks(spark, tmp_path):
+    start = datetime(2024, 1, 10)
+    rows = [(i, start + timedelta(hours=7 * i % 500), i % 40, "view", float(i % 500)) for i in range(800)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    path = Path(Q.quad_files(spark, str(tmp_path), "_lc").removeprefix("file:"))
+    files = list(path.rglob("part-*.txt"))
+    assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 1
