@@ -9,6 +9,7 @@ from pathlib import Path
 import numpy as np
 
 from burstframe.operators import population as P
+from burstframe.operators import reuse
 from burstframe.plans import source_queries as Q
 
 
@@ -41,3 +42,11 @@ def test_files_of_bursts_are_written_by_several_tasks(spark, tmp_path):
     path = Path(Q.quad_files(spark, str(tmp_path), "_lc").removeprefix("file:"))
     files = list(path.rglob("part-*.txt"))
     assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 1
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reuse, "SPREAD_ROWS", 100)
+    spark.range(5000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    out = reuse.spread(spark.read.parquet(str(tmp_path / "t")))
+    sizes = out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 5000 and max(sizes) <= 200 and out.distinct().count() == 5000
