@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import uuid
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -41,6 +43,10 @@ REMEMBERED, PIECES_KEPT, LONGEST = 1_400_000, 100_000, 48
 READ_BYTES = 4 << 20
 #: The published split of byte-level vocabularies (fixed value).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The same split of printable ASCII.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+| +(?![^ ])| +")
+#: Marks of ASCII, which are a piece by themselves after a letter.
+MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 SINGLE = re.compile("(?<=[^\\s\u180e]) (?=[^\\s\u180e])")
 #: Texts on whose classes of characters all libraries agree.
 PLAIN = re.compile("[\t\n\r -~\u00a1-\u024f]*")
@@ -54,6 +60,18 @@ def byte_names() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
 
 
+class Names(dict):
+    """The name of each character met (of texts of plain Latin letters) in a byte-level vocabulary."""
+
+    def __init__(self):
+        super().__init__()
+        self.bytes = byte_names()
+
+    def __missing__(self, char: str) -> str:
+        name = self[char] = "".join(self.bytes[b] for b in char.encode())
+        return name
+
+
 class Chunks(dict):
     """Ids (as bytes) of chunks by the library, remembered; ``None`` where a chunk may not be cut off at its spaces.
 
@@ -64,13 +82,19 @@ class Chunks(dict):
     def __init__(self, tokenizer, kind: str, lead: str = " "):
         super().__init__()
         self.tokenizer, self.kind, self.lead = tokenizer, kind, lead
-        self.model, self.names = tokenizer.model.tokenize, byte_names()
+        self.model, self.names = tokenizer.model.tokenize, Names()
+        self.space, self.code = self.names[" "], {"<u2": "H", "<u4": "I"}[kind]
+        self.marks = {c: self.word(c) for c in MARKS}
         self.old: dict[str, bytes | None] = {}  # the half that has not been asked for lately
         self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes | None:
         if chunk in self.old:
             found = self.old.pop(chunk)
+        elif chunk.isascii() and chunk.isalpha():
+            found = self.word(self.lead + chunk)
+        elif chunk[-1:] in MARKS and chunk[:-1].isalpha() and len(chunk) < LONGEST and max(chunk) <= "\u024f":  # a word and a mark are two pieces
+            found = self[chunk[:-1]] + self.marks[chunk[-1]]
         elif not chunk and self.lead or chunk and (chunk[0].isspace() or chunk[-1].isspace() or "\u180e" in chunk):
             found = None
         else:
@@ -83,23 +107,38 @@ class Chunks(dict):
         return found
 
     def whole(self, text: str) -> bytes:
-        if len(text) > LONGEST or not (text.isprintable() and (text.isascii() or max(text) <= "\u024f") or PLAIN.fullmatch(text)):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        plain = text.isprintable()
+        ascii_ = plain and text.isascii()
+        if len(text) > LONGEST or not (ascii_ or plain and max(text) <= "\u024f" or PLAIN.fullmatch(text)):
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
             return self.piece(text)
         out = []
-        for piece in PIECES.findall(text):
+        for piece in (ASCII_PIECES if ascii_ else PIECES).findall(text):
             ids = self.pieces.get(piece)
+            if ids is None and self.lead and piece[0] == " ":
+                ids = self.get(piece[1:])  # the word stood by itself before
             if ids is None:
                 if len(self.pieces) >= PIECES_KEPT:
                     self.pieces.clear()
-                ids = self.pieces[piece] = self.piece(piece)
+                ids = self.pieces[piece] = self.word(piece) if ascii_ else self.piece(piece)
             out.append(ids)
         return b"".join(out)
 
     def piece(self, piece: str) -> bytes:
-        name = piece.encode().decode("latin1").translate(self.names)
-        return np.array([t.id for t in self.model(name)], self.kind).tobytes()
+        return self.packed([t.id for t in self.model("".join(map(self.names.__getitem__, piece)))])
+
+    def word(self, piece: str) -> bytes:
+        """Ids of a piece of printable ASCII, where only the space has another name."""
+        if len(piece) > LONGEST:
+            return self.packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        return self.packed([t.id for t in self.model(piece.replace(" ", self.space))])
+
+    def packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
 
 class Encoder:

@@ -57,6 +57,18 @@ def test_memory_is_bounded(monkeypatch):
         assert len(encoder.chunks) + len(encoder.chunks.old) <= 50
 
 
+def test_word_with_mark_is_not_tokenized_again():
+    from burstframe.llm.token_files import Encoder
+
+    encoder, library, met = Encoder(PATH), _library(), []
+    model = encoder.chunks.model
+    encoder.chunks.model = lambda name: met.append(name) or model(name)
+    texts = ["x strange añejo", "x strange, añejo. strange; strange,\nañejo! 漢字, ²,"]
+    for text in texts:
+        assert encoder.encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, encoder.kind).tobytes()
+    assert sum("strange" in n for n in met) == 1 and sum(n.endswith("ejo") for n in met if n.startswith("Ġ")) == 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 20000])
 def test_perfect_hash(n):
     from burstframe.llm.token_files import SLOT, PerfectHash, _pack, _unpack
