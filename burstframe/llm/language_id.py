@@ -29,8 +29,9 @@ from burstframe.operators.reuse import keep
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BASE = 0x9E3779B97F4A7C15
-#: Distinct words that a task counts before it hands over their n-grams, and that a worker remembers scores of.
-WORDS = 300_000
+#: Distinct words, of all languages together, that a task counts before it hands over their n-grams, and that a worker remembers scores of;
+#: characters of words that are cut into n-grams at once.
+WORDS, CHARACTERS = 300_000, 1 << 18
 #: One text in so many calibrates.
 CALIBRATE = 32
 #: Rejection begins this far on the way from a language's own texts to those of the others, plus this many nats over the root of the length.
@@ -62,13 +63,22 @@ def grams(words: list[str], order: int):
 
 
 def _ngram_batch(lang: str, counts: Counter, order: int) -> Iterator[dict]:
-    words = list(counts)
-    times = np.fromiter(counts.values(), np.int64, len(words))
-    for n, k, x, s, b, word, _ in grams(words, order):
-        keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
-        c = np.bincount(inverse, weights=times[word], minlength=len(keys)).astype(np.int64)
-        yield {"lang": pa.array([lang] * len(keys), pa.string()), "n": np.full(len(keys), n, np.int32), "k": keys.view(np.int64), "x": x[first].view(np.int64),
-               "s": s[first].view(np.int64), "b": b[first], "c": c}
+    """N-grams of the words; so many words are cut at once that their arrays stay small, and equal n-grams are summed before the next ones."""
+    words, whole = list(counts), {}
+    for a, b in blocks([len(w) + 2 for w in words], CHARACTERS):
+        times = np.fromiter((counts[w] for w in words[a:b]), np.int64, b - a)
+        for n, *columns, word, _ in grams(words[a:b], order):
+            part = _summed(*columns, times[word])
+            whole[n] = _summed(*map(np.concatenate, zip(whole[n], part))) if n in whole else part
+    for n, (k, x, s, first, c) in whole.items():
+        yield {"lang": pa.array([lang] * len(k), pa.string()), "n": np.full(len(k), n, np.int32), "k": k.view(np.int64), "x": x.view(np.int64),
+               "s": s.view(np.int64), "b": first, "c": c}
+
+
+def _summed(k: np.ndarray, x: np.ndarray, s: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each n-gram once with the sum of its counts."""
+    keys, first, inverse = np.unique(k, return_index=True, return_inverse=True)
+    return keys, x[first], s[first], b[first], np.bincount(inverse, weights=c, minlength=len(keys)).astype(np.int64)
 
 
 def ngram_counts(docs: DataFrame, lang: str, text: str, order: int) -> DataFrame:
@@ -80,10 +90,10 @@ def ngram_counts(docs: DataFrame, lang: str, text: str, order: int) -> DataFrame
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for name, t in zip(langs, texts):
                 kept.setdefault(name, Counter()).update(letter_words(t or ""))
-            for name, counts in kept.items():
-                if len(counts) > WORDS:
+            if sum(map(len, kept.values())) > WORDS:
+                while kept:
+                    name, counts = kept.popitem()
                     yield from (pa.RecordBatch.from_pydict(x) for x in _ngram_batch(name, counts, order))
-                    kept[name] = Counter()
         for name, counts in kept.items():
             if counts:
                 yield from (pa.RecordBatch.from_pydict(x) for x in _ngram_batch(name, counts, order))

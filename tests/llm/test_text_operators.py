@@ -288,3 +288,24 @@ def test_bpe_arrays(spark, docs):
 
     for r in encode(docs, P.path("word_bpe_49k.json"), arrays=True).collect():
         assert r["ids"] == np.frombuffer(r["id_bytes"], "<i4").tolist() and r["n_tokens"] == len(r["ids"])
+
+
+def test_ngram_counting_is_bounded(spark, monkeypatch):
+    """Words of all languages together are bounded, and cut into n-grams in small blocks; each block's counts are summed before they leave."""
+    from burstframe.llm import language_id as L
+
+    counts = Counter({"".join(chr(97 + (i * j) % 26) for j in range(1, 9)): i + 1 for i in range(500)})
+    cut, grams = [], L.grams
+    monkeypatch.setattr(L, "grams", lambda words, order: (cut.append(sum(map(len, words))), grams(words, order))[1])
+    whole = list(L._ngram_batch("x", counts, 3))
+    monkeypatch.setattr(L, "CHARACTERS", 100)
+    cut.clear()
+    parts = list(L._ngram_batch("x", counts, 3))
+    assert max(cut) <= 100 and [p["k"].tolist() for p in parts] == [w["k"].tolist() for w in whole]
+    assert all((p[c] == w[c]).all() for p, w in zip(parts, whole) for c in ("n", "x", "s", "b", "c"))
+
+    rows = [(lang, f"{lang}a{i} b{i % 7} c") for i in range(60) for lang in ("aa", "bb", "cc")]
+    docs = spark.createDataFrame([(a, "".join(chr(97 + int(c)) if c.isdigit() else c for c in t)) for a, t in rows], "lang string, text string").coalesce(1)
+    want = sorted(map(tuple, L.ngram_counts(docs, "lang", "text", 3).collect()))
+    monkeypatch.setattr(L, "WORDS", 20)
+    assert sorted(map(tuple, L.ngram_counts(docs, "lang", "text", 3).collect())) == want
