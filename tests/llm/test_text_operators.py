@@ -309,3 +309,37 @@ def test_ngram_counting_is_bounded(spark, monkeypatch):
     want = sorted(map(tuple, L.ngram_counts(docs, "lang", "text", 3).collect()))
     monkeypatch.setattr(L, "WORDS", 20)
     assert sorted(map(tuple, L.ngram_counts(docs, "lang", "text", 3).collect())) == want
+
+
+def test_words_encoded_together():
+    """Many words as one text give the subwords of each by itself, also where words hold other white space."""
+    import random
+
+    import public_tokenizers
+
+    from burstframe.llm import lm_scoring as S
+
+    subwords, rng = S.Subwords.read(public_tokenizers.path("byte_bpe_50k.tiktoken")), random.Random(2)
+    plain = ["".join(rng.choices("abé'sx1.-日_", k=rng.randint(1, 7))).encode() for _ in range(1500)]
+    odd = ["".join(rng.choices("a's\xa0\x85\x1c　", k=rng.randint(1, 4))).encode() for _ in range(300)]
+    for words in (plain, [*odd, b"\xff", b"'s"], [w for pair in zip(plain, odd) for w in pair], []):
+        assert subwords.encode(words) == [c for w in words for c in subwords.encode([w])]
+        assert [b"".join(subwords._encoding.decode_single_token_bytes(i) for i in c) for c in subwords.encode(words)] == [
+            b" " + w.decode("utf-8", "replace").encode() for w in words]
+
+
+def test_scoring_deletes_its_tables(spark, docs, monkeypatch):
+    """Counts, beginnings and histograms go before the result is read; it needs three small tables."""
+    import os
+
+    import public_tokenizers
+
+    from burstframe.llm import lm_scoring as S
+    from burstframe.operators import reuse
+
+    monkeypatch.setattr(S, "NODES", 40)
+    made = []
+    monkeypatch.setattr(S, "keep", lambda df, *a: (made.append(reuse.keep(df, *a)), made[-1])[1])
+    out = S.score(docs.limit(200), F.lit(True), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert sum(os.path.isdir(t.kept_at.removeprefix("file:")) for t in made) == 3 and len(made) == 6
+    assert out.count() == docs.limit(200).count()
