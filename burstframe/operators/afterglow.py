@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -279,15 +280,165 @@ def multi_band_fit(
 
     For a fixed break the bands decouple, and inside a band the points before and after the break meet only in
     the norm.  So each point is summed for its own side's indices only; pairs of indices are formed from those
-    sums, per (burst, break, band), and chi2 adds up over bands.  Norms stay in [0.01, 100].  Points are dealt by burst once; the sums over the
-    grid are formed and used up in the same task, so no grid point is shuffled.
+    sums, per (burst, break, band), and chi2 adds up over bands.  Norms stay in [0.01, 100].  Points are dealt by burst once and packed; a point then
+    meets every break as a row with its powers (:func:`_powers`), and sums and pairs of whole bursts are numpy blocks (:func:`_best_breaks`).  Bursts of more than
+    ``POINTS`` points keep one aggregate per grid point (:func:`_long_bands`).
     """
-    n_parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    points = points.repartition(n_parts, burst)
-    span = points.groupBy(burst).agg(F.count_distinct(band).alias("_nb"), F.min("t").alias("_a"), F.max("t").alias("_z"))
-    tb = F.exp(F.ln("_a") + (F.ln("_z") - F.ln("_a")) * (F.col("_tb") + 1) / F.lit(n_tb + 1.0))
-    grid = attach(points, span.filter("_nb >= 2 AND _z > _a"), [burst]).withColumn(
-        "_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))).withColumn("_x", F.col("t") / tb)
+    ends = points.groupBy(burst).agg((F.min(band) < F.max(band)).alias("_two"), F.min("t").alias("_a"), F.max("t").alias("_z"), F.count(F.lit(1)).alias("_n"))
+    span = keep(ends.withColumn("_some", F.col("_two") & (F.col("_z") > F.col("_a"))))
+    points = points.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), burst).withColumn("_o", F.monotonically_increasing_id())
+    good = span.filter("_some").select(burst, "_a", "_z", "_n")
+    rows = attach(points, good.filter(F.col("_n") <= POINTS), [burst])
+    out = _best_breaks(_powers(rows, burst, band, n_tb, n_alpha), points, burst, band, n_tb, n_alpha)
+    long = good.filter(F.col("_n") > POINTS)
+    if not long.isEmpty():
+        out = out.unionByName(_long_bands(attach(points, long, [burst]), long, burst, band, n_tb, n_alpha))
+    return attach(span.select(burst), out, [burst], "left").withColumn("fit_success", F.col("chi_sq").isNotNull())
+
+
+def _break(k: Column | int, n_tb: int) -> Column:
+    return F.exp(F.ln("_a") + (F.ln("_z") - F.ln("_a")) * (F.lit(k) + 1) / F.lit(n_tb + 1.0))
+
+
+def _indices(n_alpha: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grids of the index before and after the break."""
+    g = np.arange(n_alpha)
+    return 0.1 + 2.9 * g / (n_alpha - 1.0), 0.5 + 4.5 * g / (n_alpha - 1.0)
+
+
+def _powers(rows: DataFrame, burst: str, band: str, n_tb: int, n_alpha: int) -> DataFrame:
+    """A row for every (burst, point, break), in this order, with the powers of the time for the indices of its side; what belongs to a point stands at its first break.
+
+    Points keep the order in which they were dealt (``_o``), so sums do not depend on how a group was collected.
+    """
+    w = F.lit(1.0) / (F.col("flux_err") * F.col("flux_err"))
+    one = rows.groupBy(burst).agg(F.first("_a").alias("_a"), F.first("_z").alias("_z"), F.collect_list(
+        F.struct("_o", F.col(band).alias("b"), F.col("t").cast("double").alias("t"), F.col("flux").cast("double").alias("f"), w.alias("w"))).alias("_r"))
+    one = one.select(burst, F.monotonically_increasing_id().alias("_row"), F.array(*[_break(k, n_tb) for k in range(n_tb)]).alias("_tbs"), F.sort_array("_r").alias("_r"))
+    grid = one.select(burst, "_row", "_tbs", F.explode("_r").alias("_p")).select(burst, "_row", "_p", F.posexplode("_tbs").alias("_k", "_tb"))
+    grid = grid.withColumn("_x", F.col("_p.t") / F.col("_tb"))
+    side = F.col("_x") >= 1
+    first = lambda c: F.when(F.col("_k") == 0, c)
+    return grid.select("_row", first(F.col(burst)).alias("burst"), first(F.col("_p.b")).alias("band"), first(F.col("_p.f")).alias("flux"), first(F.col("_p.w")).alias("w"), "_tb", "_x",
+                       *[F.pow("_x", F.when(side, F.lit(-float(late))).otherwise(F.lit(-float(early)))).alias(f"_m{i}")
+                         for i, (early, late) in enumerate(zip(*_indices(n_alpha)))])
+
+
+def _best_breaks(rows: DataFrame, points: DataFrame, burst: str, band: str, n_tb: int, n_alpha: int) -> DataFrame:
+    """The best break of every burst of :func:`_powers`, whose rows come burst by burst."""
+    early, late = _indices(n_alpha)
+    powers = [f"_m{i}" for i in range(n_alpha)]
+
+    def fit(rows: pa.Table) -> pa.RecordBatch:
+        """Whole bursts; sums go over the points in the order of the rows, over bands in their own order, and a sum over nothing but nulls is null."""
+        point = rows.select(["_row", "burst", "band", "flux", "w"]).take(pa.array(np.arange(0, len(rows), n_tb)))
+        number = point["_row"].to_numpy()
+        names = point["band"].combine_chunks().dictionary_encode()
+        place = np.empty(len(names.dictionary) + 1, np.int64)
+        place[pc.array_sort_indices(names.dictionary).to_numpy()] = np.arange(1, len(place))
+        place[-1] = 0  # a null band comes first
+        code = place[names.indices.fill_null(len(place) - 1).to_numpy(zero_copy_only=False)]
+        order = np.lexsort((code, number))
+        number, code = number[order], code[order]
+        start = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (code[1:] != code[:-1])])  # of each band of a burst
+        of_burst = np.flatnonzero(np.r_[True, number[start][1:] != number[start][:-1]])
+        flux, w = (point[c].to_numpy()[order] for c in ("flux", "w"))
+        usable, weighted = ~_nulls(point, "flux", "w")[order], ~_nulls(point, "w")[order]
+        x = rows["_x"].to_numpy().reshape(-1, n_tb)[order]
+        timed = ~_nulls(rows, "_x").reshape(-1, n_tb)[order]
+        after = timed & (x >= 1)
+        add = _adder(start, len(number))
+        f, w = np.where(usable, flux, 0.0)[:, None, None], np.where(weighted, w, 0.0)[:, None, None]
+        m = np.stack([rows[c].to_numpy().reshape(-1, n_tb)[order] for c in powers], axis=2)
+        m[~timed] = 0
+        fm, mm, ff = f * m * w, m * m * w, (f * f * w)[:, :, 0]
+        sums, n, lost = [], 0, False
+        for side in (timed & ~after, after):
+            some = add((side & usable[:, None]).astype(np.int64))
+            count = add(side.astype(np.int64))
+            n, lost = n + count, lost | (count > 0) & (some == 0)
+            sums.append((add(np.where(side[:, :, None], fm, 0.0)), add(np.where(side[:, :, None], mm, 0.0)), add(np.where(side, ff, 0.0))))
+        found = []
+        for c in range(0, len(start), 256):
+            fm, mm = (sums[0][k][c : c + 256, :, :, None] + sums[1][k][c : c + 256, :, None, :] for k in (0, 1))
+            ff = (sums[0][2] + sums[1][2])[c : c + 256, :, None, None]
+            norm = np.fmax(0.01, np.fmin(100.0, fm / mm))
+            chi = (ff - 2.0 * norm * fm + norm * norm * mm).reshape(len(ff), n_tb, -1)
+            best = np.argmin(np.where(np.isnan(chi), np.inf, chi), axis=2)
+            found.append((best, *(np.take_along_axis(v.reshape(chi.shape), best[:, :, None], 2)[:, :, 0] for v in (chi, norm))))
+        best, chi, norm = (np.concatenate(v) for v in zip(*found))
+        best, norm = np.where(lost, 0, best), np.where(lost, 100.0, norm)
+        add = _adder(of_burst, len(start))
+        total, known = add(np.where(lost, 0.0, chi)), add((~lost).astype(np.int64)) > 0
+        k = np.argmin(np.where(known, np.where(np.isnan(total), np.inf, total), -np.inf), axis=1)
+        one = np.arange(len(of_burst))
+        bands = np.diff(np.r_[of_burst, len(start)])
+        at = (np.arange(len(start)), np.repeat(k, bands))
+        index = best[at]
+        first = pa.array(order[start])
+        fits = pa.StructArray.from_arrays([pa.array(early[index // n_alpha]), pa.array(late[index % n_alpha]), pa.array(norm[at])], ["alpha1", "alpha2", "norm"])
+        entries = pa.StructArray.from_arrays([point["band"].combine_chunks().take(first), fits], ["band", "fit"])
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[of_burst, len(start)].astype(np.int32)), entries)
+        head = order[start[of_burst]]
+        points_used = add(n)[one, k]
+        return pa.RecordBatch.from_arrays([
+            point["burst"].combine_chunks().take(pa.array(head)), rows["_tb"].combine_chunks().take(pa.array(head * n_tb + k)),
+            pa.array(total[one, k], mask=~known[one, k]), lists, pa.array(points_used - 1 - 3 * bands)], names=["burst", "t_break", "chi_sq", "entries", "dof"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        with np.errstate(all="ignore"):
+            for batch in batches:
+                held.append(batch)
+                size += batch.num_rows
+                if size < TOGETHER // 4 or not batch.num_rows:
+                    continue
+                rows = pa.Table.from_batches(held)
+                number = batch.column(0)
+                whole = len(rows) - int((np.asarray(rows["_row"]) == number[len(number) - 1].as_py()).sum())  # the last burst may go on
+                if whole:
+                    yield from _parts(rows.slice(0, whole))
+                    held = rows.slice(whole).to_batches()
+                    size -= whole
+            if size:
+                yield from _parts(pa.Table.from_batches(held))
+
+    def _parts(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        number = rows["_row"].to_numpy()
+        begin = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+        for a, b in blocks(np.diff(np.r_[begin, len(number)]), TOGETHER // 8):
+            yield fit(rows.slice(begin[a], (begin[b] if b < len(begin) else len(number)) - begin[a]))
+
+    kind = {c: points.schema[c].dataType.simpleString() for c in (burst, band)}
+    found = rows.mapInArrow(run, f"burst {kind[burst]}, t_break double, chi_sq double, "
+                                 f"entries array<struct<band:{kind[band]},fit:struct<alpha1:double,alpha2:double,norm:double>>>, dof bigint")
+    return found.select(F.col("burst").alias(burst), "t_break", "chi_sq", F.map_from_entries(F.array_sort("entries")).alias("bands"), "dof")
+
+
+def _adder(start: np.ndarray, end: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Function that adds the rows of each group, one after the other (``np.add.reduceat`` adds the first one last); ``start`` are the first rows of the groups."""
+    size = np.diff(np.r_[start, end])
+    later = [(at, start[at] + r) for r in range(1, int(size.max())) for at in [np.flatnonzero(size > r)]]
+
+    def add(v: np.ndarray) -> np.ndarray:
+        out = v[start]
+        for at, rows in later:
+            out[at] += v[rows]
+        return out
+
+    return add
+
+
+def _nulls(rows: pa.Table, *columns: str) -> np.ndarray:
+    """Rows with a null in one of the columns."""
+    return np.logical_or.reduce([rows[c].is_null().to_numpy() for c in columns])
+
+
+def _long_bands(points: DataFrame, span: DataFrame, burst: str, band: str, n_tb: int, n_alpha: int) -> DataFrame:
+    """What :func:`_best_breaks` returns, with an aggregate per grid point; the sums over the grid are formed and used up in the same task, so no grid point is shuffled."""
+    tb = _break(F.col("_tb"), n_tb)
+    grid = points.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tb - 1)))).withColumn("_x", F.col("t") / tb)
     side = (F.col("_x") >= 1).cast("int")
     steps = F.explode(F.sequence(F.lit(0), F.lit(n_alpha - 1)))
     alpha = lambda s, g: F.when(s == 0, F.lit(0.1) + F.lit(2.9) * g / F.lit(n_alpha - 1.0)).otherwise(
@@ -318,9 +469,8 @@ def multi_band_fit(
         F.sum("b.chi").alias("chi_sq"), F.sum("b.n").alias("_np"), F.count(F.lit(1)).alias("_k"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(band), F.struct("b.alpha1", "b.alpha2", "b.norm"))))).alias("bands"))
     win = total.groupBy(burst).agg(F.min_by(F.struct("_tb", "chi_sq", "bands", "_np", "_k"), F.struct("chi_sq", "_tb")).alias("w"))
-    out = attach(win.select(burst, "w.*"), span, [burst]).select(
+    return attach(win.select(burst, "w.*"), span, [burst]).select(
         burst, tb.alias("t_break"), "chi_sq", "bands", (F.col("_np") - F.lit(1) - F.lit(3) * F.col("_k")).alias("dof"))
-    return attach(span.select(burst), out, [burst], "left").withColumn("fit_success", F.col("chi_sq").isNotNull())
 
 
 def normalised(points: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

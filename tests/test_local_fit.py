@@ -78,3 +78,80 @@ def test_epeak_of_empty_energy(spark, tmp_path):
     spark.createDataFrame(rows, "user_id long, event_type string, ts timestamp_ntz, value double").write.parquet(str(tmp_path / "events.parquet"))
     out = {r["burst_id"]: r for r in QUERIES["epeak_evolution_series"](spark, str(tmp_path)).collect()}
     assert np.isnan(out[1]["epeak"]) and out[1]["n"] == 1 and out[2]["epeak"] == 2.5
+
+
+BANDS = "burst_id string, band string, t double, flux double, flux_err double"
+
+
+def band_points(seed=3):
+    """Bursts with repeated rows, missing values, one band, one time, early times and a missing key."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(40):
+        for _ in range(int(rng.integers(2, 18))):
+            rows.append((f"b{i}", "xyz"[int(rng.integers(0, 3))], float(rng.integers(1, 60)), float(rng.uniform(0.5, 40)), float(rng.uniform(0.1, 2))))
+    rows += rows[:30]
+    rows += [("b1", "x", None, 3.0, 0.3), ("b2", "y", 4.0, None, None), ("b3", "q", 5.0, None, 0.5), ("b4", "r", None, 2.0, 0.2), ("one", "x", 1.0, 2.0, 0.1), ("one", "x", 2.0, 2.0, 0.1),
+             ("same", "x", 3.0, 2.0, 0.1), ("same", "y", 3.0, 2.0, 0.1), ("early", "x", 0.0, 2.0, 0.1), ("early", "y", 3.0, 2.0, 0.1), (None, "x", 1.0, 2.0, 0.1), (None, "y", 4.0, 1.0, 0.1),
+             ("lost", "x", 1.0, None, None), ("lost", "y", 9.0, None, None)]
+    return rows
+
+
+def least_chi(points, n_tb=20, n_alpha=10):
+    """Least chi2 of complete points by plain loops."""
+    t = [p[2] for p in points]
+    best = np.inf
+    for k in range(n_tb):
+        tb = np.exp(np.log(min(t)) + (np.log(max(t)) - np.log(min(t))) * (k + 1) / (n_tb + 1.0))
+        chi = 0.0
+        for name in sorted({p[1] for p in points}):
+            x, f, w = (np.array([v(p) for p in points if p[1] == name]) for v in (lambda p: p[2] / tb, lambda p: p[3], lambda p: 1 / p[4] ** 2))
+            found = []
+            for a in range(n_alpha):
+                for b in range(n_alpha):
+                    m = np.where(x >= 1, x ** -(0.5 + 4.5 * b / (n_alpha - 1)), x ** -(0.1 + 2.9 * a / (n_alpha - 1)))
+                    norm = max(0.01, min(100.0, (f * m * w).sum() / (m * m * w).sum()))
+                    found.append((w * (f - norm * m) ** 2).sum())
+            chi += min(found)
+        best = min(best, chi)
+    return best
+
+
+def plain(df):
+    return {r["burst_id"]: (r["t_break"], r["chi_sq"], r["dof"], r["fit_success"],
+                            r["bands"] and {k: tuple(v) for k, v in r["bands"].items()}) for r in df.collect()}
+
+
+def test_multi_band_blocks_equal_loops_and_the_way_of_long_bursts(spark, monkeypatch):
+    rows = band_points()
+    points = spark.createDataFrame(rows, BANDS)
+    got = plain(A.multi_band_fit(points))
+    assert len(got) == 45 and [got[k][3] for k in ("one", "same", None, "lost", "early")] == [False, False, False, False, True]
+    assert got["early"] == (None, 0.0, -7, True, {"x": (0.1, 0.5, 100.0), "y": (0.1, 0.5, 100.0)})
+    for i in range(5, 40):
+        own = [r for r in rows if r[0] == f"b{i}"]
+        if len({r[1] for r in own}) > 1 and len({r[2] for r in own}) > 1:
+            chi = least_chi(own)
+            assert got[f"b{i}"][1] == pytest.approx(chi, abs=1e-7, rel=1e-9) and got[f"b{i}"][2] == len(own) - 1 - 3 * len({r[1] for r in own})
+    for most in (9, 0):  # some bursts the one way, some the other, then all the other way
+        monkeypatch.setattr(A, "POINTS", most)
+        assert plain(A.multi_band_fit(points)) == got
+
+
+def test_multi_band_blocks_do_not_depend_on_batches(spark):
+    """Bursts that go over the borders of batches, and blocks of one burst, give the same fits."""
+    points = spark.createDataFrame(band_points(4), BANDS).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = plain(A.multi_band_fit(points))
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        assert plain(A.multi_band_fit(points)) == got
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_multi_band_pairs_are_no_rows(spark):
+    """A point is a row for each break, with the powers of its side as columns; neither indices nor pairs of them become rows."""
+    points = spark.createDataFrame(band_points(), BANDS)
+    plan = A.multi_band_fit(points)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "_side" not in plan and "_s0" not in plan
